@@ -310,7 +310,7 @@ def oracle_sql() -> dict[str, str]:
         "composite_stats": f"WITH {_PX} SELECT zone, r, c, " + ", ".join(
             f"round(avg({b}), 9) AS {b}_mean, round(stddev_samp({b}), 9) AS {b}_std, "
             f"round(min({b}), 9) AS {b}_min, round(max({b}), 9) AS {b}_max"
-            for b in ("ndvi", "ndwi", "b04")
+            for b in ("ndvi", "ndwi", "b8a")
         ) + ", count(*) AS n_obs FROM obs GROUP BY ALL",
         "composite_30d": f"""WITH {_PX},
             w AS (SELECT *, time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start FROM obs)

@@ -344,7 +344,7 @@ def ndvi_quantiles(spark, sf_dir):
 
 @query
 def composite_stats_query(spark, sf_dir):
-    return rounded(composite_stats(_obs(spark, sf_dir), bands=("ndvi", "ndwi", "b04")))
+    return rounded(composite_stats(_obs(spark, sf_dir), bands=("ndvi", "ndwi", "b8a")))
 
 
 @query
