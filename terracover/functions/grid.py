@@ -1,4 +1,4 @@
-"""Grid addresses, product-name parsing, bounds and map projection."""
+"""Grid addresses, product-name parsing and bounds."""
 
 from __future__ import annotations
 
@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 LAT_RANGE = (-5.0, 15.0)
 LON_RANGE = (-80.0, -66.0)
 
-# WGS84 ellipsoid and UTM parameters.
-WGS84_A = 6378137.0
-WGS84_F = 1 / 298.257223563
-UTM_K0 = 0.9996
-UTM_EASTING = 500000.0
-UTM_NORTHING_SOUTH = 10000000.0
 
 
 def pixel_center(origin: Column, step: Column, index: Column) -> Column:
@@ -53,62 +47,3 @@ def bounds_check(left: Column, bottom: Column, right: Column, top: Column,
     lat = (bottom >= lat_range[0]) & (top <= lat_range[1])
     lon = (left >= lon_range[0]) & (right <= lon_range[1])
     return F.struct(lat.alias("lat_valid"), lon.alias("lon_valid"), (lat & lon).alias("valid"))
-
-
-def utm_forward(lon: Column, lat: Column, utm_zone: Column, south: Column) -> tuple[Column, Column]:
-    """Easting and northing by the transverse Mercator series (Snyder 1987, 8-9 to 8-15)."""
-    e2 = WGS84_F * (2 - WGS84_F)
-    ep2 = e2 / (1 - e2)
-    phi = F.radians(lat)
-    lam = F.radians(lon - (utm_zone * 6 - 183))
-    sin, cos, tan = F.sin(phi), F.cos(phi), F.tan(phi)
-    n = F.lit(WGS84_A) / F.sqrt(1 - e2 * sin * sin)
-    t, c, a = tan * tan, ep2 * cos * cos, cos * lam
-    m = WGS84_A * (
-        (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * phi
-        - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * F.sin(2 * phi)
-        + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * F.sin(4 * phi)
-        - (35 * e2**3 / 3072) * F.sin(6 * phi)
-    )
-    a2, a4 = a * a, a * a * a * a
-    east = UTM_K0 * n * a * (
-        1 + (1 - t + c) * a2 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a4 / 120
-    ) + UTM_EASTING
-    north = UTM_K0 * (
-        m + n * tan * (
-            a2 / 2 + (5 - t + 9 * c + 4 * c * c) * a4 / 24
-            + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a4 * a2 / 720
-        )
-    )
-    return east, north + F.when(south, F.lit(UTM_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-
-
-def utm_inverse(east: Column, north: Column, utm_zone: Column, south: Column) -> tuple[Column, Column]:
-    """Longitude and latitude in degrees (Snyder 1987, 8-17 to 8-25)."""
-    e2 = WGS84_F * (2 - WGS84_F)
-    ep2 = e2 / (1 - e2)
-    e1 = (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
-    y = north - F.when(south, F.lit(UTM_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-    mu = y / UTM_K0 / (WGS84_A * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
-    phi = (
-        mu
-        + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu)
-        + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu)
-        + (151 * e1**3 / 96) * F.sin(6 * mu)
-        + (1097 * e1**4 / 512) * F.sin(8 * mu)
-    )
-    sin, cos, tan = F.sin(phi), F.cos(phi), F.tan(phi)
-    c, t = ep2 * cos * cos, tan * tan
-    n = F.lit(WGS84_A) / F.sqrt(1 - e2 * sin * sin)
-    r = F.lit(WGS84_A * (1 - e2)) / F.pow(1 - e2 * sin * sin, F.lit(1.5))
-    d = (east - UTM_EASTING) / (n * UTM_K0)
-    d2, d4 = d * d, d * d * d * d
-    lat = phi - (n * tan / r) * (
-        d2 / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * d4 / 24
-        + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * d4 * d2 / 720
-    )
-    lon = d * (
-        1 - (1 + 2 * t + c) * d2 / 6
-        + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * d4 / 120
-    ) / cos
-    return F.degrees(lon) + (utm_zone * 6 - 183), F.degrees(lat)

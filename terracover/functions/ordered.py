@@ -1,7 +1,8 @@
 """Order statistics of an ascending array column.
 
-``sort_array`` puts NULL first, so with ``n`` non-null elements the values are the last
-``n`` entries; every expression is NULL when ``n`` is 0.
+Missing readings are carried as NaN, which sorts last: the values are the first ``n``
+entries and every expression is NULL when ``n`` is 0. Arrays without NULL elements sort
+as plain doubles.
 """
 
 from __future__ import annotations
@@ -35,9 +36,19 @@ def blend(rule: str, low: Column, high: Column, weight: Column) -> Column:
     return low + (high - low) * weight
 
 
+def reading(column: Column) -> Column:
+    """Never-null double; NULL becomes NaN."""
+    return F.coalesce(column.cast("double"), F.lit(float("nan")))
+
+
+def n_readings(values: Column) -> Column:
+    """Entries before the first NaN of a sorted array."""
+    first_gap = F.array_position(values, float("nan"))
+    return F.when(first_gap == 0, F.size(values)).otherwise(first_gap - 1)
+
+
 def array_quantile(values: Column, n: Column, rule: str, q: float = 0.5) -> Column:
-    """Quantile of a sorted array holding ``n`` non-null values."""
+    """Quantile of a sorted array whose first ``n`` entries are readings."""
     low, high, weight = positions(rule, q, n)
-    start = F.size(values) - n
-    pick = lambda index: F.get(values, F.when(n > 0, (start + index).cast("int")))
+    pick = lambda index: F.get(values, F.when(n > 0, index.cast("int")))
     return blend(rule, pick(low), pick(high), weight)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terracover.operators.morphology import dilate_flags
 from terracover.operators.quantiles import histogram_quantiles
-from terracover.operators.ranking import GROUP_LIMIT
+from terracover.operators.ranking import GROUP_LIMIT, largest_group
 from terracover.sources.staging import stage
 
 SCENE = ("zone", "scene")
@@ -52,17 +52,15 @@ def scene_thresholds(
         .agg(F.count(F.lit(1)).alias("n")),
         "nir_counts",
     )
-    per_value = lambda hist: hist.groupBy(*keys, "nir").agg(F.sum("n").alias("n"))
-    bright = stage(
-        histogram_quantiles(
-            per_value(counts), keys, "nir", "n", {"bright": ("linear", CLOUD_QUANTILE)}, limit
-        ),
-        "bright",
+    # Values per scene bound every group below; usually they are few and one plan remains.
+    bounded = largest_group(counts, keys) <= limit
+    quantile = lambda hist, name, q: histogram_quantiles(
+        hist.groupBy(*keys, "nir").agg(F.sum("n").alias("n")),
+        keys, "nir", "n", {name: ("linear", q)}, limit, bounded,
     )
+    bright = quantile(counts, "bright", CLOUD_QUANTILE)
     left = counts.join(bright, keys).where(~(F.col("low") & (F.col("nir") > F.col("bright"))))
-    dark = histogram_quantiles(
-        per_value(left), keys, "nir", "n", {"dark": ("linear", SHADOW_QUANTILE)}, limit
-    )
+    dark = quantile(left, "dark", SHADOW_QUANTILE)
     return stage(bright.join(dark, keys, "left"), "thresholds")
 
 

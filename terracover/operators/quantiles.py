@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracover.functions.ordered import array_quantile, blend, positions
+from terracover.functions.ordered import array_quantile, blend, n_readings, positions, reading
 from terracover.operators.ranking import GROUP_LIMIT, heavy_groups, running_totals
 
 # (rule, q) pairs, see terracover.functions.ordered.positions
@@ -20,12 +20,14 @@ MEDIAN = ("median", 0.5)
 
 def histogram_quantiles(
     hist: DataFrame, keys, value: str, weight: str, wanted: dict[str, tuple[str, float]],
-    limit: int = GROUP_LIMIT,
+    limit: int = GROUP_LIMIT, bounded: bool = False,
 ) -> DataFrame:
-    """Quantiles per ``keys`` from one row per ``(keys, value)`` with count ``weight``."""
-    totals = running_totals(
-        hist.where(F.col(value).isNotNull()), keys, value, [weight], limit=limit
-    )
+    """Quantiles per ``keys`` from one row per ``(keys, value)`` with count ``weight``.
+
+    NULL and NaN values are ignored. ``bounded`` states that no group exceeds ``limit``.
+    """
+    readings = hist.where(F.col(value).isNotNull() & ~F.isnan(value))
+    totals = running_totals(readings, keys, value, [weight], limit=limit, bounded=bounded)
     cum, n = F.col(f"cum_{weight}"), F.col(f"total_{weight}")
     picks, outputs = [], []
     for name, (rule, q) in wanted.items():
@@ -44,23 +46,27 @@ def _gathered(df, keys, wanted, count_name):
     columns = sorted({column for column, _, _ in wanted.values()})
     # Gathering does not shrink rows, so they are shuffled flat and gathered once.
     looks = df.repartition(*keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(count_name),
-        F.collect_list(F.struct(*columns)).alias("looks"),
-        *(F.count(c).cast("int").alias(f"n_{c}") for c in columns),
+        F.collect_list(F.struct(*(reading(F.col(c)).alias(c) for c in columns))).alias("looks")
     )
+    # One array per column, handled by one lambda per rule: code generated per column
+    # would outgrow what the JVM compiles.
+    series = F.array(*(F.col("looks").getField(c) for c in columns))
     ordered = looks.select(
-        *keys, count_name,
-        *(f"n_{c}" for c in columns),
-        *(F.sort_array(F.col("looks").getField(c)).alias(f"sorted_{c}") for c in columns),
-    )
-    return ordered.select(
-        *keys,
-        *(
-            array_quantile(F.col(f"sorted_{c}"), F.col(f"n_{c}"), rule, q).alias(name)
-            for name, (c, rule, q) in wanted.items()
-        ),
-        count_name,
-    )
+        *keys, F.size("looks").cast("bigint").alias(count_name),
+        F.transform(series, lambda v: F.sort_array(v)).alias("series"),
+    ).withColumn("filled", F.transform("series", n_readings))
+    slot, picked = {c: i for i, c in enumerate(columns)}, {}
+    for i, (rule, q) in enumerate(sorted({(rule, q) for _, rule, q in wanted.values()})):
+        members = sorted({c for c, *pair in wanted.values() if tuple(pair) == (rule, q)})
+        subset = lambda name: F.array(*(F.get(name, F.lit(slot[c])) for c in members))
+        ordered = ordered.withColumn(
+            f"rule_{i}",
+            F.zip_with(subset("series"), subset("filled"), lambda v, n: array_quantile(v, n, rule, q)),
+        )
+        for name, (c, *pair) in wanted.items():
+            if tuple(pair) == (rule, q):
+                picked[name] = F.get(f"rule_{i}", F.lit(members.index(c))).alias(name)
+    return ordered.select(*keys, *(picked[name] for name in wanted), count_name)
 
 
 def _counted(df, keys, wanted, count_name, limit):
@@ -87,16 +93,18 @@ def _counted(df, keys, wanted, count_name, limit):
 
 def group_quantiles(
     df: DataFrame, keys, wanted: dict[str, tuple[str, str, float]],
-    count_name: str = "n_obs", limit: int = GROUP_LIMIT,
+    count_name: str = "n_obs", limit: int = GROUP_LIMIT, at_most: DataFrame | None = None,
 ) -> DataFrame:
     """``wanted`` maps an output name to ``(column, rule, q)``; adds the row count.
 
-    NULL readings are ignored by the quantiles and counted in ``count_name``.
+    NULL and NaN readings are ignored by the quantiles and counted in ``count_name``.
+    ``at_most`` may name a cheaper table with at least the rows of ``df`` per key, on
+    which group sizes are checked (e.g. ``df`` before an expensive filter).
     """
     keys = list(keys)
     columns = sorted({column for column, _, _ in wanted.values()})
     df = df.select(*keys, *columns)
-    heavy = heavy_groups(df, keys, limit)
+    heavy = heavy_groups(df if at_most is None else at_most, keys, limit)
     if heavy is None:
         return _gathered(df, keys, wanted, count_name)
     usual = _gathered(df.join(heavy, keys, "left_anti"), keys, wanted, count_name)

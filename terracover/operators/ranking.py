@@ -11,35 +11,41 @@ from terracover.sources.staging import stage
 GROUP_LIMIT = 100_000
 
 
+def largest_group(df: DataFrame, keys) -> int:
+    """Rows of the largest ``keys`` group (all rows without keys)."""
+    counted = df.groupBy(*keys).count()
+    return counted.agg(F.max("count")).first()[0] or 0
+
+
 def heavy_groups(df: DataFrame, keys, limit: int = GROUP_LIMIT) -> DataFrame | None:
     """Keys with more than ``limit`` rows as a staged table, or None if there are none.
 
     At most ``rows / limit`` keys qualify; staging gives Spark their exact size, so they
     are broadcast only when they fit under the session's threshold.
     """
-    counted = df.groupBy(*keys).count()
-    largest = counted.agg(F.max("count")).first()[0] or 0
-    if largest <= limit:
+    if largest_group(df, keys) <= limit:
         return None
+    counted = df.groupBy(*keys).count()
     return stage(counted.where(F.col("count") > limit).select(*keys), "heavy")
 
 
 def running_totals(
-    df: DataFrame, keys, order: str, sums, descending: bool = False, limit: int = GROUP_LIMIT
+    df: DataFrame, keys, order: str, sums, descending: bool = False, limit: int = GROUP_LIMIT,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add ``cum_<s>`` (inclusive, in ``order``) and ``total_<s>`` per ``keys`` group.
 
     ``df`` must be pre-aggregated to one row per ``(keys, order)``. Groups within
-    ``limit`` use one window. A larger group is range-partitioned into slices on
-    ``(keys, order)``, each slice is summed on its own, and the slice offsets (at most
-    one row per slice and key) are joined back, so no task holds a whole group.
+    ``limit`` use one window; ``bounded`` states that this holds and skips the check.
+    A larger group is range-partitioned into slices on ``(keys, order)``, each slice is
+    summed on its own, and the slice offsets (at most one row per slice and key) are
+    joined back, so no task holds a whole group.
     """
     keys, sums = list(keys), list(sums)
-    table = stage(df, "totals")
-    if keys:
-        largest = table.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    else:
-        largest = table.count()
+    table, largest = df, 0
+    if not bounded:
+        table = stage(df, "totals")
+        largest = largest_group(table, keys)
     direction = F.col(order).desc() if descending else F.col(order).asc()
     if largest <= limit:
         group = Window.partitionBy(*keys)

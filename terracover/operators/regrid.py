@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terracover.functions.grid import utm_forward, utm_inverse
+from terracover.operators.projection import with_lonlat, with_utm
 
 
 def bilinear(targets: DataFrame, source: DataFrame, keys, bands) -> DataFrame:
@@ -60,39 +60,31 @@ def scaled_targets(extent: DataFrame, numerator: int, denominator: int) -> DataF
     )
 
 
-def geographic_grid(scenes: DataFrame) -> DataFrame:
+def geographic_grid(scenes: DataFrame, keys) -> DataFrame:
     """Geographic grid covering each UTM scene, with about the same number of cells.
 
     ``scenes``: keys plus utm_zone, south, east0, north0, pixel (metres), height, width.
     Adds lon0, lat0, step, t_height, t_width. The bounds are those of the four projected
     corners, cells are square, and the diagonal keeps its number of cells.
     """
+    keys = list(keys)
     east1 = F.col("east0") + F.col("pixel") * F.col("width")
     north1 = F.col("north0") - F.col("pixel") * F.col("height")
-    corners = [
-        utm_inverse(e, n, F.col("utm_zone"), F.col("south"))
-        for e in (F.col("east0"), east1)
-        for n in (F.col("north0"), north1)
-    ]
-    bounded = scenes.withColumns(
-        {
-            "lon0": F.least(*(lon for lon, _ in corners)),
-            "lon1": F.greatest(*(lon for lon, _ in corners)),
-            "lat0": F.greatest(*(lat for _, lat in corners)),
-            "lat1": F.least(*(lat for _, lat in corners)),
-        }
+    corner = lambda e, n: F.struct(e.alias("corner_e"), n.alias("corner_n"))
+    corners = F.array(*(corner(e, n) for e in (F.col("east0"), east1) for n in (F.col("north0"), north1)))
+    placed = with_lonlat(scenes.select("*", F.inline(corners)), "corner_e", "corner_n")
+    rest = [c for c in scenes.columns if c not in keys]
+    bounded = placed.groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in rest),
+        F.min("lon").alias("lon0"), F.max("lon").alias("lon1"),
+        F.max("lat").alias("lat0"), F.min("lat").alias("lat1"),
     )
-    span = lambda a, b: F.col(a) - F.col(b)
-    diagonal = F.sqrt(F.pow(span("lon1", "lon0"), F.lit(2)) + F.pow(span("lat0", "lat1"), F.lit(2)))
+    wide, high = F.col("lon1") - F.col("lon0"), F.col("lat0") - F.col("lat1")
     cells = F.sqrt((F.col("height") * F.col("height") + F.col("width") * F.col("width")).cast("double"))
+    size = lambda span: F.greatest(F.lit(1), F.floor(span / F.col("step") + 0.5)).cast("int")
     return (
-        bounded.withColumn("step", diagonal / cells)
-        .withColumns(
-            {
-                "t_width": F.greatest(F.lit(1), F.floor(span("lon1", "lon0") / F.col("step") + 0.5)).cast("int"),
-                "t_height": F.greatest(F.lit(1), F.floor(span("lat0", "lat1") / F.col("step") + 0.5)).cast("int"),
-            }
-        )
+        bounded.withColumn("step", F.sqrt(wide * wide + high * high) / cells)
+        .withColumns({"t_width": size(wide), "t_height": size(high)})
         .drop("lon1", "lat1")
     )
 
@@ -101,18 +93,17 @@ def reprojected_targets(grids: DataFrame, keys) -> DataFrame:
     """Cells of ``geographic_grid`` with their fractional position in the UTM scene."""
     keys = list(keys)
     rows = grids.select("*", F.explode(F.expr("sequence(0, t_height - 1)")).alias("r")).repartition(*keys, "r")
-    cells = rows.select("*", F.explode(F.expr("sequence(0, t_width - 1)")).alias("c"))
-    lon = F.col("lon0") + F.col("step") * (F.col("c") + 0.5)
-    lat = F.col("lat0") - F.col("step") * (F.col("r") + 0.5)
-    east, north = utm_forward(lon, lat, F.col("utm_zone"), F.col("south"))
-    return cells.select(
-        *keys, "r", "c", lon.alias("x"), lat.alias("y"),
-        ((F.col("north0") - north) / F.col("pixel")).alias("src_r"),
-        ((east - F.col("east0")) / F.col("pixel")).alias("src_c"),
+    cells = rows.select("*", F.explode(F.expr("sequence(0, t_width - 1)")).alias("c")).withColumns({
+        "x": F.col("lon0") + F.col("step") * (F.col("c") + 0.5),
+        "y": F.col("lat0") - F.col("step") * (F.col("r") + 0.5),
+    })
+    return with_utm(cells, "x", "y").select(
+        *keys, "r", "c", "x", "y",
+        ((F.col("north0") - F.col("north")) / F.col("pixel")).alias("src_r"),
+        ((F.col("east") - F.col("east0")) / F.col("pixel")).alias("src_c"),
     )
 
 
-
 def stack_bands(long: DataFrame, keys, bands, band: str = "band", value: str = "value") -> DataFrame:
     """One column per band from one row per band; the band list is explicit, so one pass."""
     pick: dict[str, Column] = {b: F.max(F.when(F.col(band) == b, F.col(value))) for b in bands}

@@ -25,9 +25,8 @@ def build_training(px: DataFrame, edges: DataFrame, extent: DataFrame, erosion_p
     Masks apply by default when the pixels carry a scene class; ``False`` leaves them out.
     """
     masked = "scl" in px.columns if use_masks is None else use_masks
-    if masked:
-        px = masked_observations(px, clear_mask(px))
-    composite = temporal_composite(valid_observations(px))
+    looks = masked_observations(px, clear_mask(px)) if masked else px
+    composite = temporal_composite(valid_observations(looks), at_most=px)
     return join_labels(composite, label_grid(edges, extent, erosion_px))
 
 

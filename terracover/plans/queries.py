@@ -240,7 +240,7 @@ def regrid_bilinear(spark, sf_dir):
 @query
 def reproject_bilinear(spark, sf_dir):
     """UTM scenes resampled to geographic grids."""
-    grids = stage(regrid.geographic_grid(land.utm_scenes(spark, sf_dir)), "grids")
+    grids = regrid.geographic_grid(land.utm_scenes(spark, sf_dir), ["zone"])
     targets = regrid.reprojected_targets(grids, ["zone"])
     return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]), 6)
 
@@ -297,7 +297,7 @@ def clear_stats_query(spark, sf_dir):
 def masked_composite(spark, sf_dir):
     px = _px(spark, sf_dir)
     clear = masked_observations(px, clear_mask(px))
-    return rounded(temporal_composite(valid_observations(clear), bands=("b04", "b8a", "ndvi")))
+    return rounded(temporal_composite(valid_observations(clear), bands=("b04", "b8a", "ndvi"), at_most=px))
 
 
 @query

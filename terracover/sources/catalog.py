@@ -18,8 +18,8 @@ PRODUCT = ("zone", "product")
 def product_paths(paths: DataFrame) -> DataFrame:
     """Keys inside a product, with the product's zone folder and name."""
     return paths.where(F.col("path").contains(".SAFE/")).select(
-        F.regexp_extract("path", r"^([^/]+)/", 1).alias("zone"),
-        F.regexp_extract("path", r"/([^/]+)\.SAFE/", 1).alias("product"),
+        F.substring_index("path", "/", 1).alias("zone"),
+        F.substring_index(F.substring_index("path", ".SAFE/", 1), "/", -1).alias("product"),
         "path",
     )
 
@@ -74,8 +74,8 @@ def missing_bands(paths: DataFrame, bands=BANDS, resolution: int = 20) -> DataFr
 def eligible_zones(paths: DataFrame, layers=LAYER_FILES) -> DataFrame:
     """Zones with at least one scene raster and every required layer file."""
     files = paths.select(
-        F.regexp_extract("path", r"^([^/]+)/", 1).alias("zone"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
+        F.substring_index("path", "/", 1).alias("zone"),
+        F.substring_index("path", "/", -1).alias("file"),
     )
     has_layer = [F.max(F.col("file") == layer).alias(f"layer_{i}") for i, layer in enumerate(layers)]
     checks = files.groupBy("zone").agg(
