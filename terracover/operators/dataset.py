@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terracover.functions.grades import training_balance
 from terracover.functions.grid import clamp_index
+from terracover.sources.staging import stage
 
 CELL = ("zone", "r", "c")
 
@@ -21,7 +22,8 @@ def join_labels(
     """Features with the label of their cell.
 
     ``drop`` treats pixels outside the label grid as ignored. ``clamp`` looks them up on
-    the nearest border cell, which needs ``extent`` (zone, height, width).
+    the nearest border cell, which needs ``extent`` (zone, height, width) as a stored
+    table, so that its size decides about broadcasting.
     """
     if mode == "clamp":
         at = features.join(extent, "zone").withColumns(
@@ -38,12 +40,9 @@ def join_labels(
 
 
 def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
-    """Rows and percentage per label; totals come from the per-label counts."""
+    """Rows and percentage per label; the window spans one row per label."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n_all")).withColumn("k", F.lit(1))
-    return counts.withColumn("k", F.lit(1)).join(total, "k").select(
-        label, "n", (F.col("n") / F.col("n_all") * 100).alias("pct")
-    )
+    return counts.withColumn("pct", F.col("n") / F.sum("n").over(Window.partitionBy()) * 100)
 
 
 def _class_counts() -> list[Column]:
@@ -94,7 +93,7 @@ def zone_subset(df: DataFrame, include=None, exclude=None) -> DataFrame:
 def enough_per_class(training: DataFrame, min_samples: int = 1000) -> DataFrame:
     """Rows of classes with enough samples."""
     classes = training.groupBy("label").count().where(F.col("count") >= min_samples).select("label")
-    return training.join(classes, "label", "left_semi")
+    return training.join(stage(classes, "classes"), "label", "left_semi")
 
 
 def empty_zones(expected: DataFrame, produced: DataFrame) -> DataFrame:

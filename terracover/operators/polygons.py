@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terracover.sources.staging import stage
+
 RING = ("zone", "layer", "poly_id")
 
 
@@ -69,7 +71,11 @@ def row_spans(edges: DataFrame, ring=RING) -> DataFrame:
 
 
 def layer_spans(edges: DataFrame, extent: DataFrame, ring=RING) -> DataFrame:
-    """Row spans clipped to the grid of their zone (``extent``: zone, height, width)."""
+    """Row spans clipped to the grid of their zone.
+
+    ``extent`` (zone, height, width) should be a stored table: its size then lets Spark
+    broadcast it, and a zone with most polygons does not skew the join.
+    """
     return (
         row_spans(edges, ring)
         .join(extent, "zone")
@@ -103,11 +109,14 @@ def grid_cells(extent: DataFrame) -> DataFrame:
 def clip_to_layer(px: DataFrame, edges: DataFrame, extent: DataFrame, layer: str = "perimeter") -> DataFrame:
     """Pixels whose cell centre lies in the layer.
 
-    Pixels meet row spans, not cells: a few spans per grid row are small enough for Spark
-    to broadcast, and where they are not, the semi join splits skewed rows.
+    Pixels meet row spans, not cells. Spans are staged, so Spark broadcasts the few spans
+    per grid row when their true size allows; otherwise the semi join splits skewed rows.
     """
-    spans = layer_spans(edges.where(F.col("layer") == layer), extent).select(
-        F.col("zone").alias("s_zone"), F.col("r").alias("s_r"), "c_from", "c_to"
+    spans = stage(
+        layer_spans(edges.where(F.col("layer") == layer), extent).select(
+            F.col("zone").alias("s_zone"), F.col("r").alias("s_r"), "c_from", "c_to"
+        ),
+        "spans",
     )
     inside = (
         (px["zone"] == spans["s_zone"]) & (px["r"] == spans["s_r"])

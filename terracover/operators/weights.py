@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``total / (n_classes * count)`` per class; one row per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_classes"))
-    one = F.lit(1).alias("k")
-    return counts.select("*", one).join(totals.select("*", one), "k").select(
-        label, "n", (F.col("n_all") / (F.col("n_classes") * F.col("n"))).alias("weight")
-    )
+    classes = Window.partitionBy()  # one row per class
+    n_all, n_classes = F.sum("n").over(classes), F.count(F.lit(1)).over(classes)
+    return counts.withColumn("weight", n_all / (n_classes * F.col("n")))
 
 
 def add_class_weight(

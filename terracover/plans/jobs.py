@@ -136,5 +136,5 @@ def predict_zones(model, features: DataFrame, out: str | None = None, threshold:
     """Class-1 score and thresholded prediction of every pixel, written by zone if asked."""
     scored = models.score(model, features, threshold).select("zone", "r", "c", "score", "prediction")
     if out is not None:
-        sinks.write_table(scored, out, fmt, partition_by=["zone"])
+        sinks.write_zones(scored, out, fmt)
     return scored

@@ -69,12 +69,27 @@ def _obs(spark, sf_dir):
     return valid_observations(_px(spark, sf_dir))
 
 
-def _edges(spark, sf_dir):
-    return polygon_edges(land.vertices(spark, sf_dir))
+def _edges(spark, sf_dir, extent=None):
+    return polygon_edges(land.vertices(spark, sf_dir, extent))
 
 
-def _labels(spark, sf_dir, erosion_px=1):
-    return label_grid(_edges(spark, sf_dir), land.zone_extent(spark, sf_dir), erosion_px)
+def _extent(spark, sf_dir):
+    """Grid extents as a stored table, computed once per query."""
+    return stage(land.zone_extent(spark, sf_dir), "extent")
+
+
+def _transforms(spark, sf_dir):
+    return stage(land.scene_transforms(spark, sf_dir), "transforms")
+
+
+def _polygon_cells(spark, sf_dir):
+    extent = _extent(spark, sf_dir)
+    return polygon_cells(_edges(spark, sf_dir, extent), extent)
+
+
+def _labels(spark, sf_dir, extent=None):
+    extent = _extent(spark, sf_dir) if extent is None else extent
+    return label_grid(_edges(spark, sf_dir, extent), extent)
 
 
 def _training(spark, sf_dir, bands=("b03", "b04", "b8a", "ndvi")):
@@ -169,7 +184,7 @@ def spectral_indices_ext(spark, sf_dir):
 
 @query
 def pixel_centers(spark, sf_dir):
-    px = _px(spark, sf_dir).select(*CELL, "ts").join(land.scene_transforms(spark, sf_dir), "zone")
+    px = _px(spark, sf_dir).select(*CELL, "ts").join(_transforms(spark, sf_dir), "zone")
     return rounded(
         px.select(
             *CELL, "ts",
@@ -183,7 +198,7 @@ def pixel_centers(spark, sf_dir):
 def grid_address(spark, sf_dir):
     """Displaced pixel positions looked up on the grid, some of them beyond its border."""
     shift = F.expr("CAST((r + c) % 7 - 3 AS DOUBLE)")
-    px = _px(spark, sf_dir).select(*CELL, "ts").join(land.scene_transforms(spark, sf_dir), "zone")
+    px = _px(spark, sf_dir).select(*CELL, "ts").join(_transforms(spark, sf_dir), "zone")
     at = px.withColumns({
         "x": F.col("x0") + F.col("a") * (F.col("c") + shift + 0.25),
         "y": F.col("y0") + F.col("e") * (F.col("r") + shift + 0.25),
@@ -233,7 +248,7 @@ def stack_bands(spark, sf_dir):
 
 @query
 def regrid_bilinear(spark, sf_dir):
-    targets = regrid.scaled_targets(land.zone_extent(spark, sf_dir), 3, 4)
+    targets = regrid.scaled_targets(_extent(spark, sf_dir), 3, 4)
     return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]))
 
 
@@ -284,7 +299,7 @@ def dilate_mask(spark, sf_dir):
 
 @query
 def erode_mask(spark, sf_dir):
-    cells = polygon_cells(_edges(spark, sf_dir), land.zone_extent(spark, sf_dir))
+    cells = _polygon_cells(spark, sf_dir)
     return erode(cells.where("layer = 'forest'").select(*CELL), ["zone"], 2)
 
 
@@ -320,13 +335,15 @@ def zone_subset(spark, sf_dir):
 @query
 def clip_perimeter(spark, sf_dir):
     px = _px(spark, sf_dir).select(*CELL, "ts", "b04")
-    return rounded(clip_to_layer(px, _edges(spark, sf_dir), land.zone_extent(spark, sf_dir)))
+    extent = _extent(spark, sf_dir)
+    return rounded(clip_to_layer(px, _edges(spark, sf_dir, extent), extent))
 
 
 @query
 def clip_reduction_query(spark, sf_dir):
     px = _px(spark, sf_dir).select(*CELL)
-    clipped = clip_to_layer(px, _edges(spark, sf_dir), land.zone_extent(spark, sf_dir))
+    extent = _extent(spark, sf_dir)
+    clipped = clip_to_layer(px, _edges(spark, sf_dir, extent), extent)
     return rounded(clip_reduction(px, clipped))
 
 
@@ -375,7 +392,7 @@ def support_profile_query(spark, sf_dir):
 
 @query
 def rasterize_polygons(spark, sf_dir):
-    return polygon_cells(_edges(spark, sf_dir), land.zone_extent(spark, sf_dir))
+    return _polygon_cells(spark, sf_dir)
 
 
 @query
@@ -386,7 +403,8 @@ def label_grid_query(spark, sf_dir):
 @query
 def label_grid_open(spark, sf_dir):
     """Label grid without a perimeter."""
-    return label_grid(_edges(spark, sf_dir), land.zone_extent(spark, sf_dir), 1, use_perimeter=False)
+    extent = _extent(spark, sf_dir)
+    return label_grid(_edges(spark, sf_dir, extent), extent, 1, use_perimeter=False)
 
 
 @query
@@ -396,7 +414,7 @@ def label_stats(spark, sf_dir):
 
 @query
 def erosion_stats_query(spark, sf_dir):
-    return rounded(erosion_stats(polygon_cells(_edges(spark, sf_dir), land.zone_extent(spark, sf_dir))))
+    return rounded(erosion_stats(_polygon_cells(spark, sf_dir)))
 
 
 @query
@@ -411,8 +429,9 @@ def training_clamped(spark, sf_dir):
         _obs(spark, sf_dir).select(*CELL).distinct()
         .withColumns({"r": F.col("r") + F.expr("c % 3 - 1"), "c": F.col("c") + 2})
     )
+    extent = _extent(spark, sf_dir)
     return dataset.join_labels(
-        moved, _labels(spark, sf_dir), land.zone_extent(spark, sf_dir), mode="clamp", exclude_ignored=False
+        moved, _labels(spark, sf_dir, extent), extent, mode="clamp", exclude_ignored=False
     )
 
 

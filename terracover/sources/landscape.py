@@ -63,7 +63,7 @@ def zone_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vertices(spark: SparkSession, sf_dir: str, extent: DataFrame | None = None) -> DataFrame:
     """Polygon vertices: the parcels repeated in every 40-row block of every zone."""
     corners = F.array(
         *(
@@ -78,7 +78,8 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
             for seq, (x, y) in enumerate(ring)
         )
     )
-    blocks = zone_extent(spark, sf_dir).select(
+    zones = zone_extent(spark, sf_dir) if extent is None else extent
+    blocks = zones.select(
         "zone", F.explode(F.expr(f"sequence(0, CAST(ceil(height / {BLOCK_ROWS}) AS INT) - 1)")).alias("block")
     )
     return (

@@ -18,19 +18,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=())
         raise ValueError(f"unknown table format: {fmt}")
 
 
-def write_zones(df: DataFrame, path: str) -> None:
-    """Training rows in one folder per zone.
+def write_zones(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Pixel rows in one folder per zone.
 
-    Rows are spread over the session's partitions by pixel before the write, so a zone
-    with most of the rows is written by many tasks.
+    Tasks take contiguous ranges of (zone, r, c): a zone with most of the rows is written
+    by many tasks, small zones share one, and files stay few.
     """
-    write_table(df.repartition("zone", "r"), path, partition_by=["zone"])
+    write_table(df.repartitionByRange("zone", "r", "c"), path, fmt, partition_by=["zone"])
 
 
 def write_scenes(px: DataFrame, path: str) -> None:
     """Scene pixels by zone and scene, sorted by cell so row groups prune on position."""
-    clustered = px.repartition("zone", "scene", "r").sortWithinPartitions("zone", "scene", "r", "c")
-    write_table(clustered, path, partition_by=["zone", "scene"])
+    order = ("zone", "scene", "r", "c")
+    write_table(px.repartitionByRange(*order).sortWithinPartitions(*order), path, partition_by=["zone", "scene"])
 
 
 def write_json(df: DataFrame, path: str) -> None:
