@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracover.functions.spectral import BANDS, INDICES
+from terracover.operators.joins import lookup_join
 from terracover.operators.quantiles import group_quantiles
 from terracover.operators.ranking import GROUP_LIMIT
 from terracover.sources.staging import stage
@@ -96,4 +97,4 @@ def min_support(composite: DataFrame, min_obs: int = 3, min_pixels: int = 100) -
     """Pixels with enough looks, in zones that keep enough such pixels."""
     supported = composite.where(F.col("n_obs") >= min_obs)
     zones = supported.groupBy("zone").count().where(F.col("count") >= min_pixels).select("zone")
-    return supported.join(stage(zones, "supported_zones"), "zone", "left_semi")
+    return lookup_join(supported, stage(zones, "supported_zones"), "zone", "left_semi")

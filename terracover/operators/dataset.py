@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grades import training_balance
 from terracover.functions.grid import clamp_index
+from terracover.operators.joins import large_join, lookup_join
 from terracover.sources.staging import stage
 
 CELL = ("zone", "r", "c")
@@ -23,16 +24,16 @@ def join_labels(
 
     ``drop`` treats pixels outside the label grid as ignored. ``clamp`` looks them up on
     the nearest border cell, which needs ``extent`` (zone, height, width) as a stored
-    table, so that its size decides about broadcasting.
+    table.
     """
     if mode == "clamp":
-        at = features.join(extent, "zone").withColumns(
+        at = lookup_join(features, extent, "zone").withColumns(
             {"lr": clamp_index(F.col("r"), F.col("height")), "lc": clamp_index(F.col("c"), F.col("width"))}
         ).drop("height", "width")
         grid = labels.select("zone", F.col("r").alias("lr"), F.col("c").alias("lc"), "label")
-        joined = at.join(grid, ["zone", "lr", "lc"], "left").drop("lr", "lc")
+        joined = large_join(at, grid, ["zone", "lr", "lc"], "left").drop("lr", "lc")
     elif mode == "drop":
-        joined = features.join(labels.select(*CELL, "label"), [*CELL], "left")
+        joined = large_join(features, labels.select(*CELL, "label"), [*CELL], "left")
     else:
         raise ValueError(f"unknown label mode: {mode}")
     joined = joined.withColumn("label", F.coalesce("label", F.lit(-1)).cast("smallint"))
@@ -93,7 +94,7 @@ def zone_subset(df: DataFrame, include=None, exclude=None) -> DataFrame:
 def enough_per_class(training: DataFrame, min_samples: int = 1000) -> DataFrame:
     """Rows of classes with enough samples."""
     classes = training.groupBy("label").count().where(F.col("count") >= min_samples).select("label")
-    return training.join(stage(classes, "classes"), "label", "left_semi")
+    return lookup_join(training, stage(classes, "classes"), "label", "left_semi")
 
 
 def empty_zones(expected: DataFrame, produced: DataFrame) -> DataFrame:

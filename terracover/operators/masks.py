@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terracover.operators.joins import large_join, lookup_join
 from terracover.operators.morphology import dilate_flags
 from terracover.operators.quantiles import histogram_quantiles
 from terracover.operators.ranking import GROUP_LIMIT, largest_group
@@ -76,7 +77,7 @@ def clear_before_dilation(
     shady = F.coalesce((ndvi < ndvi_shadow) & (nir < F.col("dark")), F.lit(False))
     clear = class_clear(F.col("scl"), exclude_water) & ~cloudy & ~shady
     return (
-        px.join(thresholds, keys, "left")
+        lookup_join(px, thresholds, keys, "left")
         .withColumn("clear", clear.cast("int"))
         .drop("bright", "dark")
     )
@@ -97,7 +98,7 @@ def clear_mask(
 def masked_observations(px: DataFrame, mask: DataFrame, keys=SCENE) -> DataFrame:
     """Observations on clear cells."""
     clear = mask.where("clear = 1").drop("clear")
-    return px.join(clear, [*keys, "r", "c"], "left_semi")
+    return large_join(px, clear, [*keys, "r", "c"], "left_semi")
 
 
 def clear_stats(mask: DataFrame, zone: str = "zone", scene: str = "scene") -> DataFrame:

@@ -17,10 +17,11 @@ def ball(radius: int) -> list[tuple[int, int]]:
     return [(dr, dc) for dr in span for dc in span if abs(dr) + abs(dc) <= radius]
 
 
-def _spread(cells: DataFrame, keys, offsets) -> DataFrame:
-    steps = F.array(
-        *(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets)
-    )
+def _steps(offsets):
+    return F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets))
+
+
+def _spread(cells: DataFrame, keys, steps) -> DataFrame:
     return cells.select(*keys, "r", "c", F.explode(steps).alias("o")).select(
         *keys, (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c")
     )
@@ -29,27 +30,28 @@ def _spread(cells: DataFrame, keys, offsets) -> DataFrame:
 def dilate_flags(cells: DataFrame, keys, flag: str, radius: int = 1) -> DataFrame:
     """One row per distinct cell of ``cells``; ``flag`` is 1 within reach of a flagged cell.
 
-    ``cells`` may hold several rows per cell; cells outside it are not created.
+    ``cells`` may hold several rows per cell; cells outside it are not created. Flagged
+    cells emit their neighbourhood and others only themselves, in one pass.
     """
     keys = list(keys)
-    own = cells.select(*keys, "r", "c", F.lit(1).alias("present"), F.col(flag).cast("int").alias(flag))
-    reach = [o for o in ball(radius) if o != (0, 0)]
-    if reach:
-        hit = _spread(cells.where(F.col(flag) == 1), keys, reach)
-        own = own.unionByName(
-            hit.select(*keys, "r", "c", F.lit(0).alias("present"), F.lit(1).alias(flag))
-        )
+    flagged = F.col(flag) == 1
+    steps = F.when(flagged, _steps(ball(radius))).otherwise(_steps([(0, 0)]))
+    plain = cells.select(*keys, "r", "c", flag).withColumn("steps", steps)
+    moved = plain.select(*keys, "r", "c", flag, F.explode("steps").alias("o"))
     return (
-        own.groupBy(*keys, "r", "c")
-        .agg(F.max("present").alias("present"), F.max(flag).alias(flag))
-        .where("present = 1")
-        .drop("present")
+        moved.groupBy(*keys, (F.col("r") + F.col("o.dr")).alias("r"), (F.col("c") + F.col("o.dc")).alias("c"))
+        .agg(
+            F.max((F.col("o.dr") == 0) & (F.col("o.dc") == 0)).alias("home"),
+            F.max(F.col(flag).cast("int")).alias(flag),
+        )
+        .where("home")
+        .drop("home")
     )
 
 
 def dilate(cells: DataFrame, keys, radius: int = 1) -> DataFrame:
     """All cells within ``radius`` of a given cell, on an unbounded grid."""
-    return _spread(cells, list(keys), ball(radius)).distinct()
+    return _spread(cells, list(keys), _steps(ball(radius))).distinct()
 
 
 def erode(cells: DataFrame, keys, radius: int = 1) -> DataFrame:
@@ -59,7 +61,7 @@ def erode(cells: DataFrame, keys, radius: int = 1) -> DataFrame:
     if len(reach) == 1:
         return cells.select(*keys, "r", "c")
     return (
-        _spread(cells, keys, reach)
+        _spread(cells, keys, _steps(reach))
         .groupBy(*keys, "r", "c")
         .agg(F.count(F.lit(1)).alias("votes"))
         .where(F.col("votes") == len(reach))

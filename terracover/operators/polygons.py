@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terracover.operators.joins import large_join, lookup_join
 from terracover.sources.staging import stage
 
 RING = ("zone", "layer", "poly_id")
@@ -26,9 +27,8 @@ def polygon_edges(vertices: DataFrame, ring=RING) -> DataFrame:
     following = vertices.select(
         *ring, (F.col("seq") - 1).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
-    body = vertices.select(*ring, "seq", F.col("x").alias("x1"), F.col("y").alias("y1")).join(
-        following, [*ring, "seq"]
-    )
+    start = vertices.select(*ring, "seq", F.col("x").alias("x1"), F.col("y").alias("y1"))
+    body = large_join(start, following, [*ring, "seq"])
     ends = vertices.groupBy(*ring).agg(
         F.max_by(F.struct("x", "y"), "seq").alias("last"),
         F.min_by(F.struct("x", "y"), "seq").alias("first"),
@@ -73,12 +73,11 @@ def row_spans(edges: DataFrame, ring=RING) -> DataFrame:
 def layer_spans(edges: DataFrame, extent: DataFrame, ring=RING) -> DataFrame:
     """Row spans clipped to the grid of their zone.
 
-    ``extent`` (zone, height, width) should be a stored table: its size then lets Spark
-    broadcast it, and a zone with most polygons does not skew the join.
+    ``extent`` (zone, height, width) should be a stored table. Broadcasting it keeps a
+    zone with most polygons from skewing the join.
     """
     return (
-        row_spans(edges, ring)
-        .join(extent, "zone")
+        lookup_join(row_spans(edges, ring), extent, "zone")
         .where("r >= 0 AND r < height")
         .select(
             *ring, "r",
@@ -109,8 +108,8 @@ def grid_cells(extent: DataFrame) -> DataFrame:
 def clip_to_layer(px: DataFrame, edges: DataFrame, extent: DataFrame, layer: str = "perimeter") -> DataFrame:
     """Pixels whose cell centre lies in the layer.
 
-    Pixels meet row spans, not cells. Spans are staged, so Spark broadcasts the few spans
-    per grid row when their true size allows; otherwise the semi join splits skewed rows.
+    Pixels meet row spans, not cells. The few spans per grid row are staged and broadcast
+    when their count allows; otherwise the semi join splits skewed rows.
     """
     spans = stage(
         layer_spans(edges.where(F.col("layer") == layer), extent).select(
@@ -122,7 +121,7 @@ def clip_to_layer(px: DataFrame, edges: DataFrame, extent: DataFrame, layer: str
         (px["zone"] == spans["s_zone"]) & (px["r"] == spans["s_r"])
         & (px["c"] >= spans["c_from"]) & (px["c"] < spans["c_to"])
     )
-    return px.join(spans, inside, "left_semi")
+    return lookup_join(px, spans, inside, "left_semi")
 
 
 def clip_reduction(px: DataFrame, clipped: DataFrame) -> DataFrame:

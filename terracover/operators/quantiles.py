@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracover.functions.ordered import array_quantile, blend, n_readings, positions, reading
+from terracover.operators.joins import lookup_join
 from terracover.operators.ranking import GROUP_LIMIT, heavy_groups, running_totals
 
 # (rule, q) pairs, see terracover.functions.ordered.positions
@@ -107,6 +108,6 @@ def group_quantiles(
     heavy = heavy_groups(df if at_most is None else at_most, keys, limit)
     if heavy is None:
         return _gathered(df, keys, wanted, count_name)
-    usual = _gathered(df.join(heavy, keys, "left_anti"), keys, wanted, count_name)
-    hot = _counted(df.join(heavy, keys, "left_semi"), keys, wanted, count_name, limit)
+    usual = _gathered(lookup_join(df, heavy, keys, "left_anti"), keys, wanted, count_name)
+    hot = _counted(lookup_join(df, heavy, keys, "left_semi"), keys, wanted, count_name, limit)
     return usual.unionByName(hot)

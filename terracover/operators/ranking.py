@@ -20,8 +20,7 @@ def largest_group(df: DataFrame, keys) -> int:
 def heavy_groups(df: DataFrame, keys, limit: int = GROUP_LIMIT) -> DataFrame | None:
     """Keys with more than ``limit`` rows as a staged table, or None if there are none.
 
-    At most ``rows / limit`` keys qualify; staging gives Spark their exact size, so they
-    are broadcast only when they fit under the session's threshold.
+    At most ``rows / limit`` keys qualify.
     """
     if largest_group(df, keys) <= limit:
         return None

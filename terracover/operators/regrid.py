@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terracover.operators.joins import large_join
 from terracover.operators.projection import with_lonlat, with_utm
 
 
@@ -37,7 +38,7 @@ def bilinear(targets: DataFrame, source: DataFrame, keys, bands) -> DataFrame:
         .where("n.w > 0")
         .select(*keys, "t_r", "t_c", "n.r", "n.c", "n.w")
     )
-    joined = wanted.join(source.select(*keys, "r", "c", *bands), [*keys, "r", "c"])
+    joined = large_join(wanted, source.select(*keys, "r", "c", *bands), [*keys, "r", "c"])
     mean = lambda b: F.sum(F.col("w") * F.col(b)) / F.sum(F.when(F.col(b).isNotNull(), F.col("w")))
     return (
         joined.groupBy(*keys, "t_r", "t_c")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracover.functions.hashing import digest_bucket, key_digest, unit_interval
+from terracover.operators.joins import lookup_join
 from terracover.operators.ranking import running_totals
 from terracover.sources.staging import stage
 
@@ -53,7 +54,7 @@ def rank_slots(df: DataFrame, group: str, keys, ends: DataFrame, end_columns, se
         picks.append(F.max(F.when(holds, F.col(end) - before)).alias(f"rest_{i}"))
     cuts = stage(totals.join(ends.select(group, *end_columns), group).groupBy(group).agg(*picks), "cuts")
 
-    joined = marked.join(cuts, group)
+    joined = lookup_join(marked, cuts, group)
     on_cut = F.lit(False)
     for i in range(len(end_columns)):
         on_cut = on_cut | F.coalesce(F.col("bucket") == F.col(f"cut_{i}"), F.lit(False))
@@ -143,6 +144,8 @@ def oversample(df: DataFrame, label: str, keys, ratio: float = 0.5, seed: int =
         .withColumns({"copies": F.expr("goal DIV n"), "extra": F.col("goal") % F.col("n")}),
         "class_sizes",
     )
-    slots = rank_slots(df, label, keys, sizes, ["extra"], seed).join(sizes.select(label, "copies"), label)
+    slots = lookup_join(
+        rank_slots(df, label, keys, sizes, ["extra"], seed), sizes.select(label, "copies"), label
+    )
     n_copies = (F.col("copies") + F.when(F.col("slot") == 0, 1).otherwise(0)).cast("int")
     return slots.select(*df.columns, F.explode(F.sequence(F.lit(1), n_copies)).alias("copy"))

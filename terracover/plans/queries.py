@@ -20,6 +20,7 @@ from terracover.operators.composite import (
     composite_stats, index_quantiles, min_support, observation_profile, support_profile,
     temporal_composite, valid_observations, with_window_start,
 )
+from terracover.operators.joins import lookup_join
 from terracover.operators.labels import erosion_stats, label_counts, label_grid
 from terracover.operators.masks import (
     clear_before_dilation, clear_mask, clear_stats, masked_observations, whitelist_clear,
@@ -184,7 +185,7 @@ def spectral_indices_ext(spark, sf_dir):
 
 @query
 def pixel_centers(spark, sf_dir):
-    px = _px(spark, sf_dir).select(*CELL, "ts").join(_transforms(spark, sf_dir), "zone")
+    px = lookup_join(_px(spark, sf_dir).select(*CELL, "ts"), _transforms(spark, sf_dir), "zone")
     return rounded(
         px.select(
             *CELL, "ts",
@@ -198,7 +199,7 @@ def pixel_centers(spark, sf_dir):
 def grid_address(spark, sf_dir):
     """Displaced pixel positions looked up on the grid, some of them beyond its border."""
     shift = F.expr("CAST((r + c) % 7 - 3 AS DOUBLE)")
-    px = _px(spark, sf_dir).select(*CELL, "ts").join(_transforms(spark, sf_dir), "zone")
+    px = lookup_join(_px(spark, sf_dir).select(*CELL, "ts"), _transforms(spark, sf_dir), "zone")
     at = px.withColumns({
         "x": F.col("x0") + F.col("a") * (F.col("c") + shift + 0.25),
         "y": F.col("y0") + F.col("e") * (F.col("r") + shift + 0.25),
