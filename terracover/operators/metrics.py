@@ -6,7 +6,7 @@ frequent score nor a very large table ends up in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracover.functions.grades import auc_grade, recall_grade, recommendations
@@ -130,40 +130,39 @@ def threshold_sweep(
 ) -> DataFrame:
     """Confusion counts, precision, recall and F1 at each threshold (``score >= t``).
 
-    Rows are counted once per number of thresholds they reach; the running totals then
-    span at most one row per threshold.
+    Rows are counted once by the number of thresholds they reach, so everything after the
+    first aggregation has at most one row per threshold.
     """
     thresholds = sorted(float(t) for t in thresholds)
-    steps = F.array(*map(F.lit, thresholds))
-    reached = F.size(F.filter(steps, lambda t: t <= F.col(score)))
+    reached = sum(((F.col(score) >= t).cast("int") for t in thresholds), F.lit(0))
     per_step = df.groupBy(reached.alias("reached")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    at = lambda i, name: F.sum(F.when(F.col("reached") > i, F.col(name)).otherwise(0))
-    wide = per_step.agg(
-        F.sum("pos").alias("p_all"),
-        F.sum("n").alias("n_all"),
-        *(at(i, "pos").alias(f"tp_{i}") for i in range(len(thresholds))),
-        *(at(i, "n").alias(f"sel_{i}") for i in range(len(thresholds))),
+    # Step 0 collects all rows, step k those reaching the k-th threshold.
+    selected = (
+        per_step.select(F.explode(F.sequence(F.lit(0), "reached")).alias("step"), "pos", "n")
+        .groupBy("step").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(t).alias("threshold"),
-                F.col(f"tp_{i}").alias("tp"),
-                (F.col(f"sel_{i}") - F.col(f"tp_{i}")).alias("fp"),
-                (F.col("p_all") - F.col(f"tp_{i}")).alias("fn"),
-                (F.col("n_all") - F.col("p_all") - F.col(f"sel_{i}") + F.col(f"tp_{i}")).alias("tn"),
-            )
-            for i, t in enumerate(thresholds)
-        )
+    steps = df.sparkSession.createDataFrame(
+        [(0, None), *enumerate(thresholds, 1)], "step int, threshold double"
     )
+    whole = lambda name: F.max(F.when(F.col("step") == 0, F.col(name))).over(Window.partitionBy())
     rates = _rates()
-    return wide.select(F.explode(rows).alias("m")).select("m.*").select(
-        "threshold", "tn", "fp", "fn", "tp",
-        rates["precision_1"].alias("precision"),
-        rates["recall_1"].alias("recall"),
-        rates["f1_1"].alias("f1"),
+    return (
+        steps.join(selected, "step", "left").na.fill(0, ["pos", "n"])
+        .withColumns({"p_all": whole("pos"), "n_all": whole("n")})
+        .where("step > 0")
+        .select(
+            "threshold",
+            (F.col("n_all") - F.col("p_all") - F.col("n") + F.col("pos")).alias("tn"),
+            (F.col("n") - F.col("pos")).alias("fp"),
+            (F.col("p_all") - F.col("pos")).alias("fn"),
+            F.col("pos").alias("tp"),
+        )
+        .select(
+            "*", rates["precision_1"].alias("precision"), rates["recall_1"].alias("recall"),
+            rates["f1_1"].alias("f1"),
+        )
     )
 
 

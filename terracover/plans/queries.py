@@ -641,6 +641,28 @@ def champion(spark, sf_dir):
     return jobs.summary_row(spark, result)
 
 
+@query
+def cross_validated(spark, sf_dir):
+    """Best boosted model of a k-fold search, scored on the held-out rows."""
+    rows = _ml_rows(spark, sf_dir)
+    train = rows.where("split = 'train'").persist()
+    model, _, _ = models.tune(
+        train, dataset.feature_columns(rows), "GBT", {"maxIter": [3, 5]}, method="folds", folds=3, maxDepth=3
+    )
+    train.unpersist()
+    return metrics.evaluation(models.score(model, rows.where("split = 'test'")))
+
+
+@query
+def evaluation_job(spark, sf_dir):
+    """Saved model, reloaded and evaluated on the stored test rows; metrics read back."""
+    rows = _ml_rows(spark, sf_dir)
+    root = staging_path(spark, "evaluation")
+    sinks.save_model(_fit(rows, "RandomForest", numTrees=10, maxDepth=5), f"{root}/model")
+    jobs.evaluate_model(spark, f"{root}/model", rows, f"{root}/out")
+    return spark.read.json(f"{root}/out/metrics")
+
+
 @query
 def top_features(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
