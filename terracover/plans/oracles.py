@@ -188,6 +188,52 @@ pairs AS (SELECT sum((1 - label) * 1e0) AS neg, sum(label * 1e0) AS pos,
           FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2e0 AS rk FROM scored)),
 step AS (SELECT *, tp / np AS prec, coalesce(lag(tp / np) OVER (ORDER BY score DESC), tp / np) AS prec_before FROM cum)"""
 
+_A, _F, _K0 = "6378137e0", "(1 / 298.257223563e0)", "0.9996e0"
+_UTM = f"""{_EXTENT},
+el AS (SELECT {_F} * (2 - {_F}) AS e2),
+ell AS (SELECT e2, e2 / (1 - e2) AS ep, (1 - sqrt(1 - e2)) / (1 + sqrt(1 - e2)) AS e1,
+               1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256 AS m0 FROM el),
+scn AS (SELECT zone, height, width, 6 * (18 + zone % 2) - 183 AS lon_c, CASE WHEN zone >= 3 THEN 1e7 ELSE 0e0 END AS fn,
+               5e5 + zone * 2e4 AS e0, CASE WHEN zone >= 3 THEN 9.9e6 ELSE 6e5 END AS n0 FROM extent),
+cor AS (SELECT scn.*, ell.*, (n0 - j * 20e0 * height - fn) / ({_K0} * {_A} * m0) AS mu, e0 + i * 20e0 * width - 5e5 AS de
+        FROM scn, ell, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)),
+foot AS (SELECT *, mu + (1.5e0 * e1 - 27 * e1 ** 3 / 32) * sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * sin(4 * mu)
+                + 151 * e1 ** 3 / 96 * sin(6 * mu) + 1097 * e1 ** 4 / 512 * sin(8 * mu) AS ph FROM cor),
+aux AS (SELECT *, ep * cos(ph) ** 2 AS cc, tan(ph) ** 2 AS tt, {_A} / sqrt(1 - e2 * sin(ph) ** 2) AS nn,
+               {_A} * (1 - e2) / (1 - e2 * sin(ph) ** 2) ** 1.5e0 AS rr FROM foot),
+off AS (SELECT *, de / (nn * {_K0}) AS d FROM aux),
+geog AS (SELECT *, degrees(ph - nn * tan(ph) / rr * (d ** 2 / 2 - (5 + 3 * tt + 10 * cc - 4 * cc ** 2 - 9 * ep) * d ** 4 / 24
+                  + (61 + 90 * tt + 298 * cc + 45 * tt ** 2 - 252 * ep - 3 * cc ** 2) * d ** 6 / 720)) AS lat,
+                lon_c + degrees((d - (1 + 2 * tt + cc) * d ** 3 / 6
+                  + (5 - 2 * cc + 28 * tt - 3 * cc ** 2 + 8 * ep + 24 * tt ** 2) * d ** 5 / 120) / cos(ph)) AS lon FROM off),
+box AS (SELECT zone, height, width, lon_c, fn, e0, n0, e2, ep, m0, min(lon) AS lon0, max(lon) AS lon1, max(lat) AS lat0, min(lat) AS lat1
+        FROM geog GROUP BY ALL),
+net AS (SELECT *, sqrt((lon1 - lon0) ** 2 + (lat0 - lat1) ** 2) / sqrt(height ** 2 + width ** 2) AS st FROM box),
+row_t AS (SELECT *, unnest(range(0, CAST(greatest(1, floor((lat0 - lat1) / st + 0.5e0)) AS BIGINT))) AS r FROM net),
+tgt AS (SELECT *, unnest(range(0, CAST(greatest(1, floor((lon1 - lon0) / st + 0.5e0)) AS BIGINT))) AS c FROM row_t),
+ang AS (SELECT *, radians(lat0 - st * (r + 0.5e0)) AS ph, radians(lon0 + st * (c + 0.5e0) - lon_c) AS lam FROM tgt),
+fwd AS (SELECT *, {_A} / sqrt(1 - e2 * sin(ph) ** 2) AS nn, tan(ph) ** 2 AS tt, ep * cos(ph) ** 2 AS cc, cos(ph) * lam AS aa,
+               {_A} * (m0 * ph - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * ph)
+                 + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * ph) - 35 * e2 ** 3 / 3072 * sin(6 * ph)) AS mm FROM ang),
+utm AS (SELECT zone, r, c, e0, n0,
+               5e5 + {_K0} * nn * (aa + (1 - tt + cc) * aa ** 3 / 6 + (5 - 18 * tt + tt ** 2 + 72 * cc - 58 * ep) * aa ** 5 / 120) AS east,
+               fn + {_K0} * (mm + nn * tan(ph) * (aa ** 2 / 2 + (5 - tt + 9 * cc + 4 * cc ** 2) * aa ** 4 / 24
+                 + (61 - 58 * tt + tt ** 2 + 600 * cc - 330 * ep) * aa ** 6 / 720)) AS north FROM fwd),
+pos AS (SELECT zone, r, c, (n0 - north) / 20 - 0.5e0 AS fr, (east - e0) / 20 - 0.5e0 AS fc FROM utm)"""
+
+
+def _interpolated(digits: int) -> str:
+    """Weighted mean of the up to four ``src`` cells around every ``pos`` row."""
+    weight = "(1 - abs(fr - s.r)) * (1 - abs(fc - s.c))"
+    means = ", ".join(f"round(sum({weight} * s.{b}) / sum({weight}), {digits}) AS {b}" for b in ("b04", "b8a"))
+    return f"""SELECT p.zone, CAST(p.r AS INT) AS r, CAST(p.c AS INT) AS c, {means}
+            FROM pos p JOIN src s ON s.zone = p.zone AND s.r BETWEEN floor(fr) AND floor(fr) + 1
+             AND s.c BETWEEN floor(fc) AND floor(fc) + 1
+            WHERE abs(fr - s.r) < 1 AND abs(fc - s.c) < 1 GROUP BY p.zone, p.r, p.c"""
+
+
+_SRC = "src AS (SELECT zone, r, c, max(b04) AS b04, max(b8a) AS b8a FROM px GROUP BY ALL)"
+
 _RANKED = """cls AS (SELECT doc_id, quality AS label FROM labels),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || doc_id), doc_id) AS rn FROM cls),
 size AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS na, min(count(*)) OVER () AS smallest,
@@ -264,16 +310,12 @@ def oracle_sql() -> dict[str, str]:
               count(*) FILTER (b03 <> 0 AND b8a <> 0) AS n_kept FROM px GROUP BY zone""",
         "stack_bands": f"""WITH {_PX} SELECT zone, scene, r, c, round(max(b03), 9) AS b03, round(max(b04), 9) AS b04,
             round(max(b8a), 9) AS b8a FROM px GROUP BY ALL""",
-        "regrid_bilinear": f"""WITH {_EXTENT},
-            src AS (SELECT zone, r, c, max(b04) AS b04, max(b8a) AS b8a FROM px GROUP BY ALL),
+        "regrid_bilinear": f"""WITH {_EXTENT}, {_SRC},
             dim AS (SELECT *, greatest(1, height * 3 // 4) AS th, greatest(1, width * 3 // 4) AS tw FROM extent),
             tr AS (SELECT *, unnest(range(0, th)) AS r FROM dim), t AS (SELECT *, unnest(range(0, tw)) AS c FROM tr),
             pos AS (SELECT zone, r, c, (r + 0.5e0) * height / th - 0.5e0 AS fr, (c + 0.5e0) * width / tw - 0.5e0 AS fc FROM t)
-            SELECT p.zone, CAST(p.r AS INT) AS r, CAST(p.c AS INT) AS c,
-                   round(sum((1 - abs(fr - s.r)) * (1 - abs(fc - s.c)) * s.b04) / sum((1 - abs(fr - s.r)) * (1 - abs(fc - s.c))), 9) AS b04,
-                   round(sum((1 - abs(fr - s.r)) * (1 - abs(fc - s.c)) * s.b8a) / sum((1 - abs(fr - s.r)) * (1 - abs(fc - s.c))), 9) AS b8a
-            FROM pos p JOIN src s ON s.zone = p.zone AND s.r IN (CAST(floor(fr) AS INT), CAST(floor(fr) AS INT) + 1)
-            WHERE abs(fr - s.r) < 1 AND abs(fc - s.c) < 1 GROUP BY p.zone, p.r, p.c""",
+            {_interpolated(9)}""",
+        "reproject_bilinear": f"WITH {_UTM}, {_SRC} {_interpolated(4)}",
         "valid_observations": f"WITH {_PX} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _BANDS)} FROM obs",
         "clear_mask": f"WITH {_mask()} SELECT * FROM mask",
         "clear_mask_no_water": f"WITH {_mask(True)} SELECT * FROM mask",

@@ -258,7 +258,7 @@ def reproject_bilinear(spark, sf_dir):
     """UTM scenes resampled to geographic grids."""
     grids = regrid.geographic_grid(land.utm_scenes(spark, sf_dir), ["zone"])
     targets = regrid.reprojected_targets(grids, ["zone"])
-    return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]), 6)
+    return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]), 4)
 
 
 # filters and masks -----------------------------------------------------------------
