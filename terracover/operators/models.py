@@ -32,11 +32,15 @@ GBT_GRID = {
 # The fixed forest. Spark ML has no minimum split size; the leaf size stands.
 RF_FIXED = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5}
 
+# How trees are grown, not what is grown: node statistics per pass and cached node ids.
+EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
+
 FAMILIES = {"RandomForest": RandomForestClassifier, "GBT": GBTClassifier}
 
 
 def classifier(family: str, label: str = "label", weight: str | None = "class_weight", seed: int = 42, **params):
-    estimator = FAMILIES[family](labelCol=label, featuresCol="features", seed=seed, **params)
+    settings = {**EXECUTION, **params}
+    estimator = FAMILIES[family](labelCol=label, featuresCol="features", seed=seed, **settings)
     return estimator.setWeightCol(weight) if weight else estimator
 
 

@@ -42,17 +42,24 @@ def polygon_edges(vertices: DataFrame, ring=RING) -> DataFrame:
     return body.unionByName(closing)
 
 
-def row_spans(edges: DataFrame, ring=RING) -> DataFrame:
-    """Half-open column spans ``[c_from, c_to)`` of every polygon row."""
+def layer_spans(edges: DataFrame, extent: DataFrame, ring=RING) -> DataFrame:
+    """Half-open column spans ``[c_from, c_to)`` of every polygon row inside its zone grid.
+
+    ``extent`` (zone, height, width) should be a stored table. Broadcasting it keeps a
+    zone with most polygons from skewing the join. Only grid rows are unfolded, and
+    crossings beside the grid count at its border, which leaves their parity unchanged.
+    """
     ring = list(ring)
-    first_row = F.ceil(F.least("y1", "y2") - F.lit(0.5)).cast("int")
-    last_row = (F.ceil(F.greatest("y1", "y2") - F.lit(0.5)) - 1).cast("int")
+    first_row = F.greatest(F.lit(0), F.ceil(F.least("y1", "y2") - 0.5))
+    last_row = F.least(F.col("height") - 1, F.ceil(F.greatest("y1", "y2") - 0.5) - 1)
     centre = F.col("r") + F.lit(0.5)
     x_cross = (F.col("x2") - F.col("x1")) * (centre - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    start = F.least(F.greatest(F.ceil(x_cross - F.lit(0.5)), F.lit(0)), "width")
     crossings = (
-        edges.where(first_row <= last_row)
-        .withColumn("r", F.explode(F.sequence(first_row, last_row)))
-        .select(*ring, "r", F.ceil(x_cross - F.lit(0.5)).cast("int").alias("c_from"))
+        lookup_join(edges, extent, "zone")
+        .where(first_row <= last_row)
+        .withColumn("r", F.explode(F.sequence(first_row.cast("int"), last_row.cast("int"))))
+        .select(*ring, "r", start.cast("int").alias("c_from"))
         .groupBy(*ring, "r", "c_from")
         .agg((F.count(F.lit(1)) % 2).alias("odd"))
         .where("odd = 1")
@@ -70,24 +77,6 @@ def row_spans(edges: DataFrame, ring=RING) -> DataFrame:
     )
 
 
-def layer_spans(edges: DataFrame, extent: DataFrame, ring=RING) -> DataFrame:
-    """Row spans clipped to the grid of their zone.
-
-    ``extent`` (zone, height, width) should be a stored table. Broadcasting it keeps a
-    zone with most polygons from skewing the join.
-    """
-    return (
-        lookup_join(row_spans(edges, ring), extent, "zone")
-        .where("r >= 0 AND r < height")
-        .select(
-            *ring, "r",
-            F.greatest("c_from", F.lit(0)).alias("c_from"),
-            F.least("c_to", "width").alias("c_to"),
-        )
-        .where("c_from < c_to")
-    )
-
-
 def polygon_cells(edges: DataFrame, extent: DataFrame, ring=RING) -> DataFrame:
     """Distinct grid cells per layer; overlapping polygons dissolve."""
     return (
