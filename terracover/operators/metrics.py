@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from terracover.functions.grades import auc_grade, recall_grade, recommendations
 from terracover.operators.ranking import GROUP_LIMIT, running_totals
+from terracover.sources.staging import stage
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -74,13 +75,18 @@ def weighted_metrics(confusion: DataFrame) -> DataFrame:
     )
 
 
+def _score_counts(df: DataFrame, label: str, *keys) -> DataFrame:
+    """Positives ``pos`` and rows ``n`` per key for 0/1 labels."""
+    return df.groupBy(*keys).agg(
+        F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
+    )
+
+
 def score_totals(
     df: DataFrame, label: str = "label", score: str = "score", limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Positives ``pos`` and rows ``n`` per score with totals from the highest score down."""
-    counts = df.groupBy(F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")
-    )
+    counts = _score_counts(df, label, F.col(score).alias("score"))
     return running_totals(counts, [], "score", ["pos", "n"], descending=True, limit=limit)
 
 
@@ -168,8 +174,20 @@ def threshold_sweep(
 
 def evaluation(df: DataFrame, label: str = "label", prediction: str = "prediction",
                score: str = "score", limit: int = GROUP_LIMIT) -> DataFrame:
-    """One row with every metric: threshold areas, confusion, per-class and weighted rates."""
-    confusion = confusion_matrix(df, label, prediction)
+    """One row with every metric: threshold areas, confusion, per-class and weighted rates.
+
+    ``df`` is read once, into counts per score and prediction, so an expensive scoring
+    plan behind it runs once.
+    """
+    counts = stage(
+        _score_counts(df, label, F.col(score).alias("score"), F.col(prediction).cast("int").alias("prediction")),
+        "score_counts",
+    )
+    cell = lambda p, rows: F.coalesce(F.sum(F.when(F.col("prediction") == p, rows)), F.lit(0))
+    pos, neg = F.col("pos"), F.col("n") - F.col("pos")
+    confusion = counts.agg(
+        cell(0, neg).alias("tn"), cell(1, neg).alias("fp"), cell(0, pos).alias("fn"), cell(1, pos).alias("tp")
+    )
     rates = _rates()
     n0, n1 = F.col("tn") + F.col("fp"), F.col("fn") + F.col("tp")
     weighted = lambda m: ratio(rates[f"{m}_0"] * n0 + rates[f"{m}_1"] * n1, n0 + n1)
@@ -179,8 +197,9 @@ def evaluation(df: DataFrame, label: str = "label", prediction: str = "predictio
         *(weighted(m).alias(f"weighted_{m}") for m in ("precision", "recall", "f1")),
         F.lit(1).alias("k"),
     )
-    areas = threshold_areas(score_totals(df, label, score, limit)).withColumn("k", F.lit(1))
-    return flat.join(areas, "k").drop("k")
+    per_score = counts.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    totals = running_totals(per_score, [], "score", ["pos", "n"], descending=True, limit=limit)
+    return flat.join(threshold_areas(totals).withColumn("k", F.lit(1)), "k").drop("k")
 
 
 def metric_grades(metrics: DataFrame) -> DataFrame:

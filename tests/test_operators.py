@@ -363,6 +363,18 @@ def test_metrics_of_one_class_are_zero_not_errors(spark):
     assert (row.roc_auc, row.average_precision, row.precision_1, row.recall_1) == (0.0, 0.0, 0.0, 0.0)
 
 
+def test_evaluation_equals_the_separate_operators(spark):
+    rng = random.Random(9)
+    rows = [(int(rng.random() < 0.3), round(rng.random(), 2)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "label int, score double").withColumn("prediction", (F.col("score") > 0.6).cast("double"))
+    row = metrics.evaluation(df).first()
+    confusion = metrics.confusion_matrix(df)
+    assert tuple(row[c] for c in ("tn", "fp", "fn", "tp")) == tuple(confusion.first())
+    assert row.weighted_f1 == pytest.approx(metrics.weighted_metrics(confusion).first().weighted_f1)
+    areas = metrics.threshold_areas(metrics.score_totals(df)).first()
+    assert (row.roc_auc, row.average_precision) == pytest.approx((areas.roc_auc, areas.average_precision))
+
+
 # resampling ------------------------------------------------------------------------
 
 def test_bilinear_reproduces_a_plane(spark):
