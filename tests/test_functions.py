@@ -31,7 +31,7 @@ def test_index_needs_both_bands(spark):
 
 @pytest.mark.parametrize("name, expected", [
     ("S2A_MSIL2A_20200112T153621_N0500_R025_T18NWL_20200112T153621", dt.datetime(2020, 1, 12, 15, 36, 21)),
-    ("20200112_sentinel20m_procesado", dt.datetime(2020, 1, 12)),
+    ("20200112_scene", dt.datetime(2020, 1, 12)),
     ("no_date", None),
 ])
 def test_acquisition_time(spark, name, expected):
