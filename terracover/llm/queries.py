@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, minhash, mixing, quality
+from terracover.llm import line_dedup, minhash, mixing, packing, quality
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file on this machine; executors need it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,3 +57,9 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
