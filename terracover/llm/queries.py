@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, minhash, mixing, packing, quality
+from terracover.llm import line_dedup, minhash, mixing, packing, quality, substrings
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,3 +63,9 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.repeated_spans(docs, length=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
