@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, minhash, mixing, packing, quality, substrings
+from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,3 +69,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.repeated_spans(docs, length=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.lm_scores(docs).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
