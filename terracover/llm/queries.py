@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings
+from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,3 +77,22 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(docs).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+@query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
