@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls
+from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -96,3 +96,20 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    responses = warc.responses_of(pages)
+    records = warc.derive(responses, "id", "record_id", "uri", "date", "http", "payload")
+    return records.select(
+        F.col("id").alias("page_id"), *[n for n, _ in warc._FIELDS if n != "record"], F.sha2("record", 256).alias("record_sha256")
+    )
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
