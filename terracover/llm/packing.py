@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from struct import pack as packed_ints
 from zlib import crc32
 
 import numpy as np
@@ -35,7 +36,7 @@ from terracover.sources.staging import stage
 
 PART = 1 << 16
 CACHE = 400_000
-_SEPARATOR, _MARK = "<|endoftext|>", b"<|"
+_SEPARATOR, _MARK, _TAIL = "<|endoftext|>", b"<|", b".,;:!?#$%&*"
 
 
 class ChunkIds(dict):
@@ -43,38 +44,58 @@ class ChunkIds(dict):
 
     Valid for tokenizers whose normaliser and splitter treat what blanks separate apart and
     that know ``<|endoftext|>``: new chunks are encoded together with that token between
-    them. Chunks of ASCII without capitals pass the normaliser unchanged and skip it.
+    them. Chunks of ASCII without capitals pass the normaliser unchanged and skip it; words of
+    these letters, and runs of common marks, go to the tokenizer's model directly.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
 
-        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.gap = self.whole.token_to_id(_SEPARATOR)
-
-    def _together(self, coder, chunks: list[bytes]) -> None:
-        for i in range(0, len(chunks), 256):
-            some = chunks[i:i + 256]
-            joined = _SEPARATOR.join(c.decode() for c in some)
-            ids = np.array(coder.encode(joined, add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.gap), len(ids)).tolist()
-            start = 0
-            for chunk, end in zip(some, ends, strict=True):
-                self[chunk] = ids[start:end].tobytes()
-                start = end + 1
+        self.coder = Tokenizer.from_file(path)
+        self.normal, self.none = self.coder.normalizer, normalizers.Sequence([])
+        self.gap = self.coder.token_to_id(_SEPARATOR)
+
+    def _together(self, chunks: list[bytes], normalizer) -> None:
+        self.coder.normalizer = normalizer
+        for i in range(0, len(chunks), 4096):
+            some = chunks[i:i + 4096]
+            coded = self.coder.encode(f" {_SEPARATOR} ".encode().join(some).decode(), add_special_tokens=False).ids
+            ids = np.array(coded, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.gap), len(ids)) * 4
+            raw, start = ids.tobytes(), 0
+            for chunk, end in zip(some, ends.tolist(), strict=True):
+                self[chunk] = raw[start:end]
+                start = end + 4
 
     def learn(self, chunks: set[bytes]) -> None:
+        """Encode what is new. Letters with marks behind them are two tokens to the splitter: each part is looked up."""
         if len(self) + len(chunks) > CACHE:
             self.clear()
-        new = [c for c in chunks if c not in self]
-        odd = [c for c in new if _MARK in c]
-        rest = [c for c in new if _MARK not in c]
-        self._together(self.plain, [c for c in rest if c.isascii() and c == c.lower()])
-        self._together(self.whole, [c for c in rest if not (c.isascii() and c == c.lower())])
-        for c in odd:  # may hold special tokens of their own
-            self[c] = np.array(self.whole.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        parts, new = {}, set()
+        for c in chunks - self.keys():
+            core = c.rstrip(_TAIL)
+            if len(core) < len(c) and (core.isalpha() or core.decode().isalpha()):
+                parts[c] = core, c[len(core):]
+            else:
+                new.add(c)
+        new.update(x for pair in parts.values() for x in pair)
+        plain, other = [], []
+        word = self.coder.model.tokenize
+        for c in new - self.keys():
+            if c.isalpha() and c.islower() or not c.strip(_TAIL):
+                # One token to the splitter, nothing to normalise, bytes that stand for themselves.
+                ids = [t.id for t in word(c.decode())]
+                self[c] = packed_ints(f"<{len(ids)}I", *ids)
+            elif _MARK in c:  # may hold special tokens of its own
+                self.coder.normalizer = self.normal
+                self[c] = np.array(self.coder.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                (plain if c.isascii() and c == c.lower() else other).append(c)
+        self._together(plain, self.none)
+        self._together(other, self.normal)
+        for c, (core, tail) in parts.items():
+            self[c] = self[core] + self[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = []
