@@ -201,7 +201,7 @@ def compact(edges: DataFrame) -> DataFrame:
 
     An edge follows another on a path if the node between them has one way in and one way
     out. Pointers to the path's first edge double in every round. A cycle has no first edge;
-    its edges, still moving after the rounds any path needs, become paths of their own.
+    when only cycles still move, their edges become paths of their own.
     """
     into = edges.groupBy("v").agg(F.count("*").alias("n_in"), F.min("eid").alias("before"))
     out = edges.groupBy("u").agg(F.count("*").alias("n_out"))
@@ -212,14 +212,15 @@ def compact(edges: DataFrame) -> DataFrame:
         ), "paths-0",
     )
     heads = table.where("rank = 0").select("eid")
-    most, turn = max(1, table.count()).bit_length() + 1, 0
-    while turn < most:
+    turn, moving = 0, -1
+    while True:
         turn += 1
         further = table.select(F.col("eid").alias("at"), F.col("first").alias("next"), F.col("rank").alias("more"))
         table = stage(table.join(further, F.col("first") == F.col("at")).select(
             "eid", F.col("next").alias("first"), (F.col("rank") + F.col("more")).alias("rank"), (F.col("more") > 0).alias("moved")
         ), f"paths-{turn}")
-        if table.where("moved").isEmpty():
+        last, moving = moving, table.where("moved").count()
+        if moving in (0, last):  # every unfinished path loses edges in every round
             break
     ended = heads.select(F.col("eid").alias("head"))
     return table.join(ended, F.col("first") == F.col("head"), "left").select(
