@@ -66,9 +66,10 @@ def frequent_lines(hashed: DataFrame, min_docs: int) -> DataFrame:
 
 
 def drop_frequent_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_key_chars: int = 1
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_key_chars: int = 1,
+    with_counts: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``text`` cleaned, and ``n_lines`` (before) and ``n_dropped`` per document."""
+    """``docs`` with ``text`` cleaned and, if wanted, ``n_lines`` (before) and ``n_dropped`` per document."""
     key = row_key(docs[id_col], docs[text_col])
     keyed = docs.select(key.alias("key"), docs[text_col].alias("text"))
     hashed = stage(
@@ -83,8 +84,8 @@ def drop_frequent_lines(
     text = F.col("row").getField(text_col)
     met = source.join(gone.hint("shuffle_hash"), "key", "left")
     clean = F.when(F.col("gone").isNull(), text).otherwise(_without(F.when(F.col("gone").isNotNull(), text), "gone"))
-    return unpacked(met, docs.columns, {
-        text_col: F.coalesce(clean, F.lit("")),
+    counts = {
         "n_lines": F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("long"),
         "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
-    })
+    }
+    return unpacked(met, docs.columns, {text_col: F.coalesce(clean, F.lit("")), **(counts if with_counts else {})})
