@@ -23,10 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more of them share."""
-    clean = line_dedup.drop_frequent_lines(docs, min_docs=10, min_key_chars=1).select(*docs.columns)
-    if "n_chars" in clean.columns:
-        clean = clean.withColumn("n_chars", F.char_length("text").cast("long"))
-    return clean
+    clean = line_dedup.drop_frequent_lines(docs, min_docs=10, min_key_chars=1, with_counts=False)
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in clean.columns else clean
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
