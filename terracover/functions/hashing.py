@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def key_digest(seed: int, *keys: str) -> Column:
-    """md5 hex digest of ``<seed>-<key>-<key>...``."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)))
+    """md5 hex digest of ``<seed>-<key>-<key>...``; a NULL key counts as a mark of its own."""
+    parts = (F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys)
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), *parts))
 
 
 def digest_bucket(digest: Column, digits: int = 6) -> Column:

@@ -7,6 +7,8 @@ joins between large tables ask for a sort-merge join, which AQE splits where it
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,24 @@ from pyspark.sql import functions as F
 LOOKUP_ROWS = 500_000
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = LOOKUP_ROWS) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = LOOKUP_ROWS,
+                null_safe: bool = False) -> DataFrame:
     """Join a side table: broadcast when its counted rows allow, else sort-merge.
 
-    ``small`` should be a stored table, whose count comes from file metadata.
+    ``small`` should be a stored table, whose count comes from file metadata. With
+    ``null_safe`` NULL keys match each other.
     """
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return large_join(big, small, on, how)
+    side = F.broadcast(small) if small.count() <= max_rows else small.hint("merge")
+    return null_safe_join(big, side, on, how) if null_safe else big.join(side, on, how)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match; the result has the left side's keys once."""
+    keys = [on] if isinstance(on, str) else list(on)
+    other = right.withColumnsRenamed({k: f"{k}__other" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{k}__other")) for k in keys))
+    joined = left.join(other, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*(f"{k}__other" for k in keys))
 
 
 def large_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

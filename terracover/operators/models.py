@@ -107,14 +107,33 @@ def score(model: PipelineModel, df: DataFrame, threshold: float | None = None) -
     return scored.drop("features", "rawPrediction", "probability")
 
 
-def vote(first: DataFrame, second: DataFrame, keys, threshold: float = 0.5) -> DataFrame:
-    """Mean of two score tables and the resulting prediction."""
-    other = second.select(*keys, F.col("score").alias("score_2"))
-    mean = (F.col("score") + F.col("score_2")) / 2
-    return (
-        first.join(other, list(keys)).withColumn("score", mean).drop("score_2")
-        .withColumn("prediction", (F.col("score") >= threshold).cast("double"))
-    )
+def mean_vote(scores, threshold: float = 0.5) -> dict:
+    """Columns of the vote over score columns: their mean, missing ones left out, and the prediction."""
+    given = [F.coalesce(F.col(c), F.lit(0.0)) for c in scores]
+    counted = [F.col(c).isNotNull().cast("int") for c in scores]
+    mean = reduce(lambda a, b: a + b, given) / F.nullif(reduce(lambda a, b: a + b, counted), F.lit(0))
+    return {"score": mean, "prediction": (mean >= threshold).cast("double")}
+
+
+def score_all(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with ``score``; rows with a missing feature stay, with a NULL score."""
+    inputs = model.stages[0].getInputCols()
+    complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in inputs))
+    patient = model.stages[0].copy().setHandleInvalid("keep")
+    scored = score(PipelineModel([patient, *model.stages[1:]]), df)
+    return scored.withColumn("score", F.when(complete, F.col("score"))).drop("prediction")
+
+
+def vote(fitted, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Mean score of several models and the resulting prediction.
+
+    The rows pass through one model after the other, so nothing is joined and none is lost;
+    a row without any score has a NULL prediction.
+    """
+    names = [f"score_{i}" for i in range(len(fitted))]
+    for name, model in zip(names, fitted):
+        df = score_all(model, df).withColumnRenamed("score", name)
+    return df.withColumns(mean_vote(names, threshold)).drop(*names)
 
 
 def importances(model: PipelineModel) -> DataFrame:

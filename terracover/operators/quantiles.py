@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracover.functions.ordered import array_quantile, blend, n_readings, positions, reading
-from terracover.operators.joins import lookup_join
+from terracover.operators.joins import lookup_join, null_safe_join
 from terracover.operators.ranking import GROUP_LIMIT, heavy_groups, running_totals
 
 # (rule, q) pairs, see terracover.functions.ordered.positions
 MEDIAN = ("median", 0.5)
 
+# Readings of one gathered group. Spark gathers at most 128 groups by hash in a task before
+# it sorts instead, so a task holds at most 512 MB of them.
+GROUP_BYTES = 4 << 20
+
 
 def histogram_quantiles(
     hist: DataFrame, keys, value: str, weight: str, wanted: dict[str, tuple[str, float]],
@@ -89,7 +93,7 @@ def _counted(df, keys, wanted, count_name, limit):
         )
     )
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name))
-    return counts.join(quantiles, list(keys), "left").select(*keys, *wanted, count_name)
+    return null_safe_join(counts, quantiles, keys, "left").select(*keys, *wanted, count_name)
 
 
 def group_quantiles(
@@ -100,14 +104,17 @@ def group_quantiles(
 
     NULL and NaN readings are ignored by the quantiles and counted in ``count_name``.
     ``at_most`` may name a cheaper table with at least the rows of ``df`` per key, on
-    which group sizes are checked (e.g. ``df`` before an expensive filter).
+    which group sizes are checked (e.g. ``df`` before an expensive filter). Readings
+    become doubles before the route is chosen, and NULL keys are groups like any other, so
+    ``limit`` never changes a result. A gathered group holds at most ``GROUP_BYTES``.
     """
     keys = list(keys)
     columns = sorted({column for column, _, _ in wanted.values()})
-    df = df.select(*keys, *columns)
+    df = df.select(*keys, *(F.col(c).cast("double").alias(c) for c in columns))
+    limit = min(limit, GROUP_BYTES // (16 + 8 * len(columns)))
     heavy = heavy_groups(df if at_most is None else at_most, keys, limit)
     if heavy is None:
         return _gathered(df, keys, wanted, count_name)
-    usual = _gathered(lookup_join(df, heavy, keys, "left_anti"), keys, wanted, count_name)
-    hot = _counted(lookup_join(df, heavy, keys, "left_semi"), keys, wanted, count_name, limit)
+    usual = _gathered(lookup_join(df, heavy, keys, "left_anti", null_safe=True), keys, wanted, count_name)
+    hot = _counted(lookup_join(df, heavy, keys, "left_semi", null_safe=True), keys, wanted, count_name, limit)
     return usual.unionByName(hot)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terracover.operators.joins import null_safe_join
 from terracover.sources.staging import stage
 
 # Rows of one group that a single task may hold in memory.
@@ -20,12 +21,10 @@ def largest_group(df: DataFrame, keys) -> int:
 def heavy_groups(df: DataFrame, keys, limit: int = GROUP_LIMIT) -> DataFrame | None:
     """Keys with more than ``limit`` rows as a staged table, or None if there are none.
 
-    At most ``rows / limit`` keys qualify.
+    At most ``rows / limit`` keys qualify. One pass over ``df``.
     """
-    if largest_group(df, keys) <= limit:
-        return None
-    counted = df.groupBy(*keys).count()
-    return stage(counted.where(F.col("count") > limit).select(*keys), "heavy")
+    heavy = stage(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys), "heavy")
+    return None if heavy.isEmpty() else heavy
 
 
 def running_totals(
@@ -76,7 +75,7 @@ def running_totals(
     within = (
         Window.partitionBy(*keys, "slice").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     )
-    return sliced.join(offsets, [*keys, "slice"]).select(
+    return null_safe_join(sliced, offsets, [*keys, "slice"]).select(
         *df.columns,
         *((F.sum(s).over(within) + F.col(f"offset_{s}")).alias(f"cum_{s}") for s in sums),
         *(f"total_{s}" for s in sums),

@@ -1,65 +1,53 @@
-"""Markdown evaluation report from one row of metrics."""
+"""Evaluation report: a tidy metric table, rendered as Markdown.
+
+``metric_table`` lays every figure out as one row (section, name, value); grades and
+recommendations come from :func:`terracover.operators.metrics.metric_grades`. Rendering
+needs only these rows, so the same table serves the report, a CSV and a dashboard.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from terracover.operators.metrics import metric_grades
 
-_ADVICE = {
-    "low_recall": "Recall of class 1 is low: adjust class weights or the erosion of label polygons.",
-    "ready_for_production": "Discrimination is excellent: the model is ready for production.",
-    "many_false_positives": "Many false positives: review the decision threshold.",
+COUNTS = ("tn", "fp", "fn", "tp")
+PER_CLASS = ("precision", "recall", "f1")
+HINTS = {
+    "low_recall": "Class 1 is often missed. Look at its weight, and at how far label polygons were eroded.",
+    "ready_for_production": "The classes separate well enough to score new zones.",
+    "many_false_positives": "Class 1 is claimed too often. Sweep the threshold before scoring.",
 }
 
 
-def _lines(metrics: dict, names: dict[str, str]) -> list[str]:
-    return [f"- **{title}**: {metrics[name]:.4f}" for name, title in names.items()]
+def _section(name: str) -> str:
+    if name in COUNTS:
+        return "counts"
+    return f"class {name[-1]}" if name[:-2] in PER_CLASS and name[-2:] in ("_0", "_1") else "overall"
 
 
-def evaluation_report(metrics: dict, top: list[tuple[str, float]], model_type: str) -> str:
-    """Global, weighted and per-class metrics, confusion, top features and advice."""
-    auc, recall = metrics["roc_auc"], metrics["recall_1"]
-    tier = "excellent" if auc > 0.9 else "good" if auc > 0.8 else "moderate"
-    advice = [
-        key
-        for key, applies in (
-            ("low_recall", recall < 0.7),
-            ("ready_for_production", auc > 0.9),
-            ("many_false_positives", metrics["fp"] > 2 * metrics["tp"]),
-        )
-        if applies
-    ]
-    n_rows = sum(metrics[k] for k in ("tn", "fp", "fn", "tp"))
-    parts = [
-        "# Model evaluation",
-        f"- **Model**: {model_type}",
-        f"- **Test rows**: {n_rows:,}",
-        f"- **Evaluated**: {datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S} UTC",
-        "\n## Global metrics",
-        *_lines(metrics, {
-            "accuracy": "Accuracy", "roc_auc": "ROC AUC", "area_under_pr": "PR AUC (trapezoid)",
-            "average_precision": "Average precision",
-        }),
-        "\n## Weighted metrics",
-        *_lines(metrics, {
-            "weighted_precision": "Precision", "weighted_recall": "Recall", "weighted_f1": "F1",
-        }),
-    ]
-    for k, name in ((0, "non-forest"), (1, "forest")):
-        parts += [f"\n## Class {k} ({name})", *_lines(metrics, {
-            f"precision_{k}": "Precision", f"recall_{k}": "Recall", f"f1_{k}": "F1",
-        })]
-    parts += [
-        "\n## Confusion matrix",
-        "| actual | predicted 0 | predicted 1 |",
-        "| --- | --- | --- |",
-        f"| 0 | {metrics['tn']} | {metrics['fp']} |",
-        f"| 1 | {metrics['fn']} | {metrics['tp']} |",
-        f"\n## Top {len(top)} features",
-        *(f"{i}. **{name}**: {value:.4f} ({value:.2%})" for i, (name, value) in enumerate(top, 1)),
-        "\n## Interpretation",
-        f"- ROC AUC {auc:.4f}: {tier} discrimination",
-        f"- Recall of class 1 {recall:.4f}: {'good' if recall > 0.8 else 'needs improvement'}",
-        "\n## Recommendations",
-        *(f"- {_ADVICE[key]}" for key in advice),
+def metric_table(evaluation: DataFrame) -> DataFrame:
+    """(section, name, value) of a one-row evaluation; counts become doubles."""
+    names = [c for c, t in evaluation.dtypes if t in ("double", "bigint", "int")]
+    cells = [F.struct(F.lit(_section(n)).alias("section"), F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]
+    return evaluation.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def evaluation_report(evaluation: DataFrame, ranked: DataFrame, model_type: str, k: int = 15) -> str:
+    """Markdown of one evaluation and the ``k`` strongest features: two small tables and the verdict."""
+    rows = metric_table(evaluation).orderBy("section", "name").collect()
+    verdict = metric_grades(evaluation).first()
+    strongest = ranked.orderBy(F.col("importance").desc(), "feature").limit(k).collect()
+    n_rows = int(sum(r["value"] for r in rows if r["section"] == "counts"))
+    shown = lambda r: f"{int(r['value'])}" if r["section"] == "counts" else f"{r['value']:.4f}"
+    hints = [HINTS[name] for name in (verdict["recommendations"] or "").split(",") if name]
+    blocks = [
+        [f"# {model_type}: {n_rows} held-out rows",
+         f"Separation {verdict['auc_grade']}, recall of class 1 {verdict['recall_grade'].replace('_', ' ')}."],
+        ["| part | metric | value |", "| --- | --- | ---: |", *(f"| {r['section']} | {r['name']} | {shown(r)} |" for r in rows)],
+        ["| rank | feature | importance |", "| ---: | --- | ---: |",
+         *(f"| {i} | {r['feature']} | {r['importance']:.4f} |" for i, r in enumerate(strongest, 1))],
+        hints,
     ]
-    return "\n".join(parts) + "\n"
+    return "\n\n".join("\n".join(b) for b in blocks if b) + "\n"

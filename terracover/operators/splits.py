@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracover.functions.hashing import digest_bucket, key_digest, unit_interval
-from terracover.operators.joins import lookup_join
+from terracover.operators.joins import lookup_join, null_safe_join
 from terracover.operators.ranking import running_totals
 from terracover.sources.staging import stage
 
@@ -39,22 +39,23 @@ def random_split(df: DataFrame, test: float = 0.15, seed: int = SEED) -> list[Da
 def rank_slots(df: DataFrame, group: str, keys, ends: DataFrame, end_columns, seed: int = SEED) -> DataFrame:
     """Add ``slot``: how many of the group's rank limits the row's hash rank has reached.
 
-    ``ends`` has one row per group with ascending zero-based limits in ``end_columns``.
+    ``ends`` has one row per group with ascending zero-based limits in ``end_columns``. NULL
+    is a group of its own. Running counts see at most 2**20 buckets per group.
     """
     marked = df.withColumn("digest", key_digest(seed, *keys)).withColumn(
         "bucket", digest_bucket(F.col("digest"), BUCKET_DIGITS)
     )
     counts = marked.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    totals = running_totals(counts, [group], "bucket", ["rows"], limit=16**BUCKET_DIGITS)
+    totals = running_totals(counts, [group], "bucket", ["rows"], bounded=True)
     before = F.col("cum_rows") - F.col("rows")
     picks = []
     for i, end in enumerate(end_columns):
         holds = (before <= F.col(end)) & (F.col(end) < F.col("cum_rows"))
         picks.append(F.max(F.when(holds, F.col("bucket"))).alias(f"cut_{i}"))
         picks.append(F.max(F.when(holds, F.col(end) - before)).alias(f"rest_{i}"))
-    cuts = stage(totals.join(ends.select(group, *end_columns), group).groupBy(group).agg(*picks), "cuts")
+    cuts = stage(null_safe_join(totals, ends.select(group, *end_columns), group).groupBy(group).agg(*picks), "cuts")
 
-    joined = lookup_join(marked, cuts, group)
+    joined = lookup_join(marked, cuts, group, null_safe=True)
     on_cut = F.lit(False)
     for i in range(len(end_columns)):
         on_cut = on_cut | F.coalesce(F.col("bucket") == F.col(f"cut_{i}"), F.lit(False))
@@ -145,7 +146,7 @@ def oversample(df: DataFrame, label: str, keys, ratio: float = 0.5, seed: int =
         "class_sizes",
     )
     slots = lookup_join(
-        rank_slots(df, label, keys, sizes, ["extra"], seed), sizes.select(label, "copies"), label
+        rank_slots(df, label, keys, sizes, ["extra"], seed), sizes.select(label, "copies"), label, null_safe=True
     )
     n_copies = (F.col("copies") + F.when(F.col("slot") == 0, 1).otherwise(0)).cast("int")
     return slots.select(*df.columns, F.explode(F.sequence(F.lit(1), n_copies)).alias("copy"))

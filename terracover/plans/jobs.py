@@ -124,17 +124,21 @@ def evaluate_model(spark: SparkSession, model_path: str, table: DataFrame, out:
     ranked = models.importances(model).orderBy(F.col("importance").desc(), "feature")
     sinks.write_json(metrics, f"{out}/metrics")
     sinks.write_json(ranked, f"{out}/feature_importance")
-    values = metrics.first().asDict()
-    top = [(r["feature"], r["importance"]) for r in models.top_features(ranked, 15).collect()]
-    report = evaluation_report(values, top, type(model.stages[-1]).__name__)
+    stored = spark.read.json(f"{out}/metrics")
+    report = evaluation_report(stored, ranked, type(model.stages[-1]).__name__)
     sinks.write_text(spark, report, f"{out}/report")
-    return {"metrics": values, "report": report}
+    return {"metrics": stored.first().asDict(), "report": report}
 
 
 def predict_zones(model, features: DataFrame, out: str | None = None, threshold: float = 0.5,
                   fmt: str = "parquet") -> DataFrame:
-    """Class-1 score and thresholded prediction of every pixel, written by zone if asked."""
-    scored = models.score(model, features, threshold).select("zone", "r", "c", "score", "prediction")
+    """Class-1 score and thresholded prediction of every pixel, written by zone if asked.
+
+    Pixels with a missing feature stay, with NULL score and prediction.
+    """
+    scored = models.score_all(model, features).select(
+        "zone", "r", "c", "score", (F.col("score") >= threshold).cast("double").alias("prediction")
+    )
     if out is not None:
         sinks.write_zones(scored, out, fmt)
     return scored

@@ -225,14 +225,14 @@ pos AS (SELECT zone, r, c, (n0 - north) / 20 - 0.5e0 AS fr, (east - e0) / 20 - 0
 def _interpolated(digits: int) -> str:
     """Weighted mean of the up to four ``src`` cells around every ``pos`` row."""
     weight = "(1 - abs(fr - s.r)) * (1 - abs(fc - s.c))"
-    means = ", ".join(f"round(sum({weight} * s.{b}) / sum({weight}), {digits}) AS {b}" for b in ("b04", "b8a"))
+    means = ", ".join(f"round(sum({weight} * s.{b}) / sum({weight}), {digits}) AS {b}" for b in _ALL)
     return f"""SELECT p.zone, CAST(p.r AS INT) AS r, CAST(p.c AS INT) AS c, {means}
             FROM pos p JOIN src s ON s.zone = p.zone AND s.r BETWEEN floor(fr) AND floor(fr) + 1
              AND s.c BETWEEN floor(fc) AND floor(fc) + 1
             WHERE abs(fr - s.r) < 1 AND abs(fc - s.c) < 1 GROUP BY p.zone, p.r, p.c"""
 
 
-_SRC = "src AS (SELECT zone, r, c, max(b04) AS b04, max(b8a) AS b8a FROM px GROUP BY ALL)"
+_SRC = f"src AS (SELECT zone, r, c, {', '.join(f'max({b}) AS {b}' for b in _ALL)} FROM px GROUP BY ALL)"
 
 _RANKED = """cls AS (SELECT doc_id, quality AS label FROM labels),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || doc_id), doc_id) AS rn FROM cls),
@@ -250,6 +250,7 @@ def _share(source: str, pool: str, fraction: str, name: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    highest = ", ".join(f"round(max({b}), 9) AS {b}" for b in _ALL)
     sums = ", ".join(f"round(sum({b}), 6) AS {b}_sum" for b in _BANDS)
     ends = ", ".join(f"round(min({b}), 6) AS {b}_min, round(max({b}), 6) AS {b}_max" for b in _BANDS)
     counts = "count(*) AS n_total, count(*) FILTER (label = 1) AS n_forest, count(*) FILTER (label = 0) AS n_nonforest"
@@ -263,11 +264,10 @@ def oracle_sql() -> dict[str, str]:
         "band_file_lookup": f"""WITH {_NAMED} SELECT zone, product, band, min(path) AS path FROM paths
             WHERE res = 20 GROUP BY ALL""",
         "missing_bands": f"""WITH {_NAMED},
-            want AS (SELECT unnest(['B02','B03','B04','B05','B06','B07','B8A','B11','B12']) AS band),
-            have AS (SELECT DISTINCT zone, product, band FROM paths WHERE res = 20),
-            prod AS (SELECT DISTINCT zone, product FROM paths)
-            SELECT p.zone, p.product, NOT EXISTS (SELECT 1 FROM have h WHERE h.zone = p.zone AND h.product = p.product) AS unusable, w.band
-            FROM prod p CROSS JOIN want w ANTI JOIN have h ON h.zone = p.zone AND h.product = p.product AND h.band = w.band""",
+            have AS (SELECT zone, product, coalesce(list(DISTINCT band) FILTER (res = 20), []) AS bands FROM paths GROUP BY zone, product)
+            SELECT zone, product, len(bands) = 0 AS unusable,
+                   unnest([b FOR b IN ['B02','B03','B04','B05','B06','B07','B8A','B11','B12'] IF NOT list_contains(bands, b)]) AS band
+            FROM have""",
         "eligible_zones": """SELECT 'zone' || n_nationkey AS zone,
               (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 0) AS n_rasters
             FROM nation
@@ -283,8 +283,9 @@ def oracle_sql() -> dict[str, str]:
                      unnest(range(0, len(embedding))) AS k FROM embeddings)
             SELECT block, CAST(k // 8 AS INT) AS r, CAST(k % 8 AS INT) AS c,
                    CAST(band_1 AS DOUBLE) AS band_1, CAST(band_2 AS DOUBLE) AS band_2 FROM flat WHERE band_1 <> 0""",
-        "read_union_by_name": """SELECT doc_id, quality, toxic, CAST(NULL AS VARCHAR) AS lang, CAST(NULL AS BIGINT) AS n_chars FROM labels
-            UNION ALL SELECT doc_id, NULL, NULL, lang, n_chars FROM documents""",
+        "read_union_by_name": """SELECT doc_id, quality, toxic, text, lang, source, n_chars FROM labels FULL JOIN documents USING (doc_id) WHERE false
+            UNION ALL SELECT doc_id, quality, toxic, NULL, NULL, NULL, NULL FROM labels
+            UNION ALL SELECT doc_id, NULL, NULL, text, lang, source, n_chars FROM documents""",
         "polygon_edges": f"""WITH {_EDGES} SELECT zone, layer, poly_id, seq, round(x1, 9) AS x1, round(y1, 9) AS y1,
             round(x2, 9) AS x2, round(y2, 9) AS y2 FROM edge""",
         "scale_reflectance": f"WITH {_PX} SELECT zone, scene, {ends}, {sums} FROM bands GROUP BY ALL",
@@ -308,19 +309,19 @@ def oracle_sql() -> dict[str, str]:
         "clean_features": f"""WITH {_PX} SELECT zone, count(*) AS n, round(sum(b03), 6) AS f1_sum,
               round(sum(CASE WHEN b04 = 1 THEN 0 ELSE b04 END), 6) AS f2_sum, round(sum(b8a), 6) AS f3_sum,
               count(*) FILTER (b03 <> 0 AND b8a <> 0) AS n_kept FROM px GROUP BY zone""",
-        "stack_bands": f"""WITH {_PX} SELECT zone, scene, r, c, round(max(b03), 9) AS b03, round(max(b04), 9) AS b04,
-            round(max(b8a), 9) AS b8a FROM px GROUP BY ALL""",
+        "stack_bands": f"WITH {_PX} SELECT zone, scene, r, c, {highest} FROM px GROUP BY ALL",
         "regrid_bilinear": f"""WITH {_EXTENT}, {_SRC},
             dim AS (SELECT *, greatest(1, height * 3 // 4) AS th, greatest(1, width * 3 // 4) AS tw FROM extent),
             tr AS (SELECT *, unnest(range(0, th)) AS r FROM dim), t AS (SELECT *, unnest(range(0, tw)) AS c FROM tr),
             pos AS (SELECT zone, r, c, (r + 0.5e0) * height / th - 0.5e0 AS fr, (c + 0.5e0) * width / tw - 0.5e0 AS fc FROM t)
-            {_interpolated(9)}""",
+            {_interpolated(12)}""",
         "reproject_bilinear": f"WITH {_UTM}, {_SRC} {_interpolated(4)}",
         "valid_observations": f"WITH {_PX} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _BANDS)} FROM obs",
         "clear_mask": f"WITH {_mask()} SELECT * FROM mask",
         "clear_mask_no_water": f"WITH {_mask(True)} SELECT * FROM mask",
-        "clear_thresholds": f"""WITH {_flags(False)} SELECT zone, scene, CAST(sum(clear3) AS BIGINT) AS n_clear,
-            count(*) AS n_total FROM m3 GROUP BY ALL""",
+        "clear_thresholds": f"""WITH {_flags(False)},
+            n AS (SELECT zone, scene, CAST(sum(clear3) AS BIGINT) AS n_clear, count(*) AS n_total FROM m3 GROUP BY ALL)
+            SELECT n.*, round(p80, 9) AS p80, round(p20, 9) AS p20 FROM n LEFT JOIN bright USING (zone, scene) LEFT JOIN dark USING (zone, scene)""",
         "clear_whitelist": f"WITH {_PX} SELECT zone, r, c, ts, scl FROM px WHERE scl IN (4, 5, 6)",
         "dilate_mask": f"""WITH {_PX}, o AS (SELECT dr, dc FROM range(-2, 3) a(dr), range(-2, 3) b(dc) WHERE abs(dr) + abs(dc) <= 2)
             SELECT DISTINCT zone, scene, CAST(r + dr AS INT) AS r, CAST(c + dc AS INT) AS c FROM px, o WHERE scl IN (8, 9)""",
@@ -330,14 +331,14 @@ def oracle_sql() -> dict[str, str]:
             round(sum(clear) / count(*) * 100, 9) AS pct_clear FROM mask GROUP BY ROLLUP (zone, scene)""",
         "masked_composite": f"""WITH {_mask()},
             kept AS (SELECT px.* FROM px JOIN mask USING (zone, scene, r, c) WHERE clear = 1 AND b02 <> 0)
-            {_composite("kept", ["b04", "b8a", "ndvi"])}""",
+            {_composite("kept", _ALL)}""",
         "min_support": f"""WITH {_PX},
             n AS (SELECT zone, r, c, count(*) AS n_obs FROM obs GROUP BY ALL HAVING count(*) >= 3)
             SELECT * FROM n WHERE zone IN (SELECT zone FROM n GROUP BY zone HAVING count(*) >= 100)""",
         "enough_per_class": """SELECT doc_id, quality AS label FROM labels
             WHERE quality IN (SELECT quality FROM labels GROUP BY quality HAVING count(*) >= 100)""",
         "zone_subset": f"WITH {_PX} SELECT zone, count(*) AS n FROM px WHERE zone IN (0, 1, 3) GROUP BY zone",
-        "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, round(b04, 9) AS b04
+        "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM px SEMI JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c)""",
         "clip_reduction": f"""WITH {_CELLS}, p AS (SELECT DISTINCT zone, r, c FROM px),
             n AS (SELECT p.zone, count(*) AS n_original, count(k.zone) AS n_clipped
@@ -350,15 +351,15 @@ def oracle_sql() -> dict[str, str]:
             for q in (0.1, 0.25, 0.75, 0.9)
         ) + ", count(*) AS n_obs FROM obs GROUP BY ALL",
         "composite_stats": f"WITH {_PX} SELECT zone, r, c, " + ", ".join(
-            f"round(avg({b}), 9) AS {b}_mean, round(stddev_samp({b}), 9) AS {b}_std, "
-            f"round(min({b}), 9) AS {b}_min, round(max({b}), 9) AS {b}_max"
-            for b in ("ndvi", "ndwi", "b8a")
+            f"round(avg({b}), 12) AS {b}_mean, round(stddev_samp({b}), 8) AS {b}_std, "
+            f"round(min({b}), 12) AS {b}_min, round(max({b}), 12) AS {b}_max"
+            for b in _ALL
         ) + ", count(*) AS n_obs FROM obs GROUP BY ALL",
         "composite_30d": f"""WITH {_PX},
             w AS (SELECT *, time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start FROM obs)
-            {_composite("w", ["b04", "b8a", "ndvi"], "zone, window_start")}""",
+            {_composite("w", _ALL, "zone, window_start")}""",
         "composite_annual": f"""WITH {_PX}, w AS (SELECT *, CAST(year(ts) AS INT) AS year FROM obs)
-            {_composite("w", ["b04", "b8a", "ndvi"], "zone, r, c, year")}""",
+            {_composite("w", _ALL, "zone, r, c, year")}""",
         "observation_profile": f"""WITH {_PX} SELECT count(*) AS n_rows, count(DISTINCT CAST(ts AS DATE)) AS n_dates,
             count(DISTINCT (zone, r, c)) AS n_pixels FROM obs""",
         "support_profile": f"""WITH {_PX}, n AS (SELECT zone, r, c, count(*) AS k FROM obs GROUP BY ALL)
@@ -377,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "erosion_stats": f"""WITH {_LABELS},
             n AS (SELECT w.zone, count(*) AS n_before, count(k.zone) AS n_after FROM wood w LEFT JOIN core k USING (zone, r, c) GROUP BY w.zone)
             SELECT *, n_before - n_after AS n_removed, round((n_before - n_after) / n_before * 100, 9) AS pct_removed FROM n""",
-        "training_table": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", ["b03", "b04", "b8a", "ndvi"])})
+        "training_table": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", _ALL)})
             SELECT comp.*, label FROM comp JOIN pixel_label USING (zone, r, c) WHERE label <> -1""",
         "training_clamped": f"""WITH {_PIXEL_LABELS},
             moved AS (SELECT zone, r + c % 3 - 1 AS r, c + 2 AS c FROM pixel)
@@ -389,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "class_balance": f"""WITH {_PIXEL_LABELS}, n AS (SELECT zone, {counts} FROM pixel_label WHERE label <> -1 GROUP BY zone)
             SELECT *, CASE WHEN n_nonforest > 0 THEN {ratio} END AS ratio, CASE WHEN n_forest > 0 AND n_nonforest > 0 THEN
               CASE WHEN n_nonforest / n_forest > 10 OR n_nonforest / n_forest < 0.1e0 THEN 'significant' ELSE 'reasonable' END END AS balance FROM n""",
-        "consolidate_zones": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", ["b04", "ndvi"])})
+        "consolidate_zones": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", _ALL)})
             SELECT comp.*, label FROM comp JOIN pixel_label USING (zone, r, c) WHERE label <> -1""",
         "zone_stats": f"""WITH {_PIXEL_LABELS},
             n AS (SELECT zone, {counts}, CAST(grouping(zone) AS INT) AS is_total FROM pixel_label WHERE label <> -1 GROUP BY ROLLUP (zone))

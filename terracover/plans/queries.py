@@ -17,13 +17,13 @@ from terracover.functions.grid import acquisition_time, bounds_check, clamp_inde
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
 from terracover.operators import dataset, metrics, models, quality, regrid, splits, weights
 from terracover.operators.composite import (
-    composite_stats, index_quantiles, min_support, observation_profile, support_profile,
+    FEATURES, composite_stats, index_quantiles, min_support, observation_profile, support_profile,
     temporal_composite, valid_observations, with_window_start,
 )
 from terracover.operators.joins import lookup_join
 from terracover.operators.labels import erosion_stats, label_counts, label_grid
 from terracover.operators.masks import (
-    clear_before_dilation, clear_mask, clear_stats, masked_observations, whitelist_clear,
+    clear_before_dilation, clear_mask, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
 from terracover.operators.morphology import dilate, erode
 from terracover.operators.polygons import clip_reduction, clip_to_layer, polygon_cells, polygon_edges
@@ -93,8 +93,8 @@ def _labels(spark, sf_dir, extent=None):
     return label_grid(_edges(spark, sf_dir, extent), extent)
 
 
-def _training(spark, sf_dir, bands=("b03", "b04", "b8a", "ndvi")):
-    composite = temporal_composite(_obs(spark, sf_dir), bands=bands)
+def _training(spark, sf_dir):
+    composite = temporal_composite(_obs(spark, sf_dir))
     return dataset.join_labels(composite, _labels(spark, sf_dir))
 
 
@@ -149,7 +149,7 @@ def raster_to_pixels_query(spark, sf_dir):
 @query
 def read_union_by_name(spark, sf_dir):
     both = read_union(spark, f"{sf_dir}/labels.parquet, {sf_dir}/documents.parquet")
-    return both.select("doc_id", "quality", "toxic", "lang", "n_chars")
+    return both.select("doc_id", "quality", "toxic", "text", "lang", "source", "n_chars")
 
 
 @query
@@ -242,7 +242,7 @@ def clean_features(spark, sf_dir):
 def stack_bands(spark, sf_dir):
     """Long band rows of each scene cell stacked to one row per cell."""
     keys = ["zone", "scene", "r", "c"]
-    wide = ["b03", "b04", "b8a"]
+    wide = list(FEATURES)
     long = _px(spark, sf_dir).unpivot(keys, wide, "band", "value")
     return rounded(regrid.stack_bands(long, keys, wide))
 
@@ -250,7 +250,7 @@ def stack_bands(spark, sf_dir):
 @query
 def regrid_bilinear(spark, sf_dir):
     targets = regrid.scaled_targets(_extent(spark, sf_dir), 3, 4)
-    return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]))
+    return rounded(regrid.bilinear(targets, land.cell_maxima(spark, sf_dir), ["zone"], list(FEATURES)), 12)
 
 
 @query
@@ -258,7 +258,7 @@ def reproject_bilinear(spark, sf_dir):
     """UTM scenes resampled to geographic grids."""
     grids = regrid.geographic_grid(land.utm_scenes(spark, sf_dir), ["zone"])
     targets = regrid.reprojected_targets(grids, ["zone"])
-    return rounded(regrid.bilinear(targets, land.cell_means(spark, sf_dir), ["zone"], ["b04", "b8a"]), 4)
+    return rounded(regrid.bilinear(targets, land.cell_maxima(spark, sf_dir), ["zone"], list(FEATURES)), 4)
 
 
 # filters and masks -----------------------------------------------------------------
@@ -280,10 +280,13 @@ def clear_mask_no_water(spark, sf_dir):
 
 @query
 def clear_thresholds(spark, sf_dir):
-    """Clear looks per scene before dilation."""
-    return clear_before_dilation(_px(spark, sf_dir)).groupBy("zone", "scene").agg(
+    """Bright and dark thresholds and clear looks per scene before dilation."""
+    px = _px(spark, sf_dir)
+    looks = clear_before_dilation(px).groupBy("zone", "scene").agg(
         F.sum("clear").alias("n_clear"), F.count(F.lit(1)).alias("n_total")
     )
+    limits = scene_thresholds(px).select("zone", "scene", F.col("bright").alias("p80"), F.col("dark").alias("p20"))
+    return rounded(looks.join(limits, ["zone", "scene"], "left"))
 
 
 @query
@@ -313,7 +316,7 @@ def clear_stats_query(spark, sf_dir):
 def masked_composite(spark, sf_dir):
     px = _px(spark, sf_dir)
     clear = masked_observations(px, clear_mask(px))
-    return rounded(temporal_composite(valid_observations(clear), bands=("b04", "b8a", "ndvi"), at_most=px))
+    return rounded(temporal_composite(valid_observations(clear), at_most=px))
 
 
 @query
@@ -335,7 +338,7 @@ def zone_subset(spark, sf_dir):
 
 @query
 def clip_perimeter(spark, sf_dir):
-    px = _px(spark, sf_dir).select(*CELL, "ts", "b04")
+    px = _px(spark, sf_dir).select(*CELL, "ts", *FEATURES)
     extent = _extent(spark, sf_dir)
     return rounded(clip_to_layer(px, _edges(spark, sf_dir, extent), extent))
 
@@ -362,20 +365,22 @@ def ndvi_quantiles(spark, sf_dir):
 
 @query
 def composite_stats_query(spark, sf_dir):
-    return rounded(composite_stats(_obs(spark, sf_dir), bands=("ndvi", "ndwi", "b8a")))
+    # Means of short decimals tie at few digits; deviations carry more noise.
+    stats = composite_stats(_obs(spark, sf_dir), bands=FEATURES)
+    return rounded(stats.withColumns({f"{b}_std": F.round(f"{b}_std", 8) for b in FEATURES}), 12)
 
 
 @query
 def composite_30d(spark, sf_dir):
     """Zone composites per 30-day window."""
     obs = with_window_start(_obs(spark, sf_dir))
-    return rounded(temporal_composite(obs, ["zone", "window_start"], bands=("b04", "b8a", "ndvi")))
+    return rounded(temporal_composite(obs, ["zone", "window_start"]))
 
 
 @query
 def composite_annual(spark, sf_dir):
     obs = _obs(spark, sf_dir).withColumn("year", F.year("ts"))
-    return rounded(temporal_composite(obs, [*CELL, "year"], bands=("b04", "b8a", "ndvi")))
+    return rounded(temporal_composite(obs, [*CELL, "year"]))
 
 
 @query
@@ -450,7 +455,7 @@ def class_balance(spark, sf_dir):
 def consolidate_zones(spark, sf_dir):
     """Training rows written by zone, read back as one partitioned table."""
     path = staging_path(spark, "zones")
-    sinks.write_zones(_training(spark, sf_dir, bands=("b04", "ndvi")), path)
+    sinks.write_zones(_training(spark, sf_dir), path)
     return rounded(read_zones(spark, path))
 
 
@@ -461,8 +466,8 @@ def zone_stats(spark, sf_dir):
 
 @query
 def dataset_checks(spark, sf_dir):
-    rows = splits.hash_split(_training(spark, sf_dir, bands=("ndvi",)), CELL)
-    return dataset.dataset_checks(rows, ["ndvi_med", "ndvi_range"])
+    rows = splits.hash_split(_training(spark, sf_dir), CELL)
+    return dataset.dataset_checks(rows, dataset.feature_columns(rows))
 
 
 @query
@@ -689,9 +694,9 @@ def predict_zone(spark, sf_dir):
 @query
 def vote_ensemble(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    first = _predictions(_fit(rows, "RandomForest", numTrees=10, maxDepth=5), rows)
-    second = _predictions(_fit(rows, "GBT", maxIter=5, maxDepth=3), rows)
-    return models.vote(first, second, CELL)
+    fitted = [_fit(rows, "RandomForest", numTrees=10, maxDepth=5), _fit(rows, "GBT", maxIter=5, maxDepth=3)]
+    voted = models.vote(fitted, rows.where("split = 'test'"))
+    return voted.select(*CELL, "label", "score", "prediction")
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracover.functions.hashing import key_digest, unit_interval
-from terracover.functions.spectral import scale_bands, with_indices
+from terracover.functions.spectral import BANDS, scale_bands, with_indices
 
 CELL = ("zone", "r", "c")
 BLOCK_ROWS = 40
@@ -178,12 +178,10 @@ def utm_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cell_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reflectance value per occupied cell, as resampling source."""
-    return (
-        reflectances(spark, sf_dir).groupBy(*CELL)
-        .agg(F.max("b04").alias("b04"), F.max("b8a").alias("b8a"))
-    )
+def cell_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest reading of every band and index per occupied cell, as resampling source."""
+    pixels = reflectances(spark, sf_dir)
+    return pixels.groupBy(*CELL).agg(*(F.max(b).alias(b) for b in (*BANDS, "ndvi", "ndwi")))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

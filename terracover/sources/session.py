@@ -8,9 +8,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Groups a task gathers by hash before it switches to sorted, spilling aggregation.
-    # 20,000 pixels of 100 looks and 150 bytes are about 300 MB.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 

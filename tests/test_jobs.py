@@ -160,9 +160,17 @@ def test_incomplete_rows_are_skipped_and_counted(spark, split_rows):
 
 
 def test_vote_and_threshold(spark):
-    a = spark.createDataFrame([(1, 0.9, 1.0), (2, 0.2, 0.0)], "id int, score double, prediction double")
-    b = spark.createDataFrame([(1, 0.3, 0.0), (2, 0.1, 0.0)], "id int, score double, prediction double")
-    assert rows_of(models.vote(a, b, ["id"], 0.5), "id", "prediction") == {(1, 1.0), (2, 0.0)}
+    scores = spark.createDataFrame([(1, 0.9, 0.3), (2, 0.2, 0.1), (3, None, 0.8), (4, None, None)], "id int, a double, b double")
+    voted = scores.withColumns(models.mean_vote(["a", "b"], 0.5))
+    assert rows_of(voted, "id", "prediction") == {(1, 1.0), (2, 0.0), (3, 1.0), (4, None)}
+
+
+def test_vote_keeps_incomplete_rows(split_rows):
+    fitted = [models.refit(split_rows, FEATURES, "RandomForest", {"numTrees": n}) for n in (2, 3)]
+    holed = split_rows.limit(100).withColumn("ndvi_med", F.when(F.col("r") % 10 != 0, F.col("ndvi_med"))).cache()
+    voted = models.vote(fitted, holed).cache()
+    assert voted.count() == holed.count()
+    assert voted.where("score IS NULL AND prediction IS NULL").count() == holed.where("ndvi_med IS NULL").count()
 
 
 def test_training_run_evaluation_and_prediction(spark, table, tmp_path):
@@ -176,7 +184,7 @@ def test_training_run_evaluation_and_prediction(spark, table, tmp_path):
     assert [b.winner for b in board] == [result["winner"]]
     again = jobs.evaluate_model(spark, f"{tmp_path}/run/pipeline_best", result["rows"], f"{tmp_path}/eval")
     assert again["metrics"]["roc_auc"] == pytest.approx(metrics["roc_auc"])
-    assert "## Confusion matrix" in again["report"] and "ndvi_med" in again["report"]
+    assert "| counts | tp |" in again["report"] and "ndvi_med" in again["report"]
     assert spark.read.text(f"{tmp_path}/eval/report").count() > 20
     out = jobs.predict_zones(result["model"], table, f"{tmp_path}/scored", threshold=0.9)
     assert spark.read.parquet(f"{tmp_path}/scored").count() == 1200
