@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,9 @@ RF_FIXED = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5}
 # How trees are grown, not what is grown: node statistics per pass and cached node ids.
 EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
 
+# A row's key, and the partitions of a fit: fixed, so that trees see rows in the same order everywhere.
+KEYS, FIT_PARTITIONS = ("zone", "r", "c"), 32
+
 FAMILIES = {"RandomForest": RandomForestClassifier, "GBT": GBTClassifier}
 
 
@@ -57,41 +61,57 @@ def param_grid(estimator, grid: dict) -> list:
     return builder.build()
 
 
+def in_order(rows: DataFrame, keys=KEYS) -> DataFrame:
+    """Rows dealt to ``FIT_PARTITIONS`` by key and sorted, so a fit does not depend on the file layout."""
+    keys = [k for k in keys if k in rows.columns]
+    return rows.repartition(FIT_PARTITIONS, *keys).sortWithinPartitions(*keys) if keys else rows
+
+
+def fold_of(folds: int, seed: int, keys=KEYS):
+    """Fold number from the hash of a row's key."""
+    return F.floor(unit_interval(key_digest(seed + 2, *keys)) * folds).cast("int")
+
+
 def tune(train: DataFrame, features, family: str, grid: dict, metric: str = "areaUnderPR",
-         method: str = "split", folds: int = 5, parallelism: int = 8, seed: int = 42, **params):
-    """Grid search inside the training rows; returns (best model, best params, best metric)."""
+         method: str = "split", folds: int = 5, parallelism: int = 8, seed: int = 42, keys=KEYS, **params):
+    """Grid search inside the training rows; returns (best model, best params, best metric).
+
+    ``split`` holds out the first hash fold, ``folds`` each in turn; either way a row's part
+    depends on its key alone.
+    """
     estimator = classifier(family, seed=seed, **params)
     maps = param_grid(estimator, grid)
-    shared = dict(
-        estimator=pipeline(features, estimator),
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(
-            labelCol="label", rawPredictionCol="rawPrediction", metricName=metric
-        ),
-        parallelism=parallelism,
-        seed=seed,
+    whole = pipeline(features, estimator)
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="label", rawPredictionCol="rawPrediction", metricName=metric
     )
-    if method == "split":
-        fitted = TrainValidationSplit(trainRatio=0.8, **shared).fit(train)
-        scores = fitted.validationMetrics
-    elif method == "folds":
-        fitted = CrossValidator(numFolds=folds, **shared).fit(train)
-        scores = fitted.avgMetrics
-    else:
-        raise ValueError(f"unknown tuning method: {method}")
-    best = max(range(len(maps)), key=scores.__getitem__)
-    return fitted.bestModel, {p.name: v for p, v in maps[best].items()}, scores[best]
-
-
-def refit(train: DataFrame, features, family: str, best_params: dict, seed: int = 42, **params) -> PipelineModel:
-    """Fit the family again on all training rows with the tuned parameters set."""
-    return pipeline(features, classifier(family, seed=seed, **{**params, **best_params})).fit(train)
+    rows = in_order(train, keys).withColumn("fold", fold_of(folds, seed, keys)).persist()
+    try:
+        if method == "split":
+            held, fits = rows.where("fold = 0"), whole.fitMultiple(rows.where("fold <> 0"), maps)
+            with ThreadPool(min(parallelism, len(maps))) as pool:
+                found = pool.map(lambda _: next(fits), maps)
+                scores = dict(pool.map(lambda f: (f[0], evaluator.evaluate(f[1].transform(held))), found))
+            best = max(sorted(scores), key=scores.__getitem__)
+            model = whole.fit(rows, maps[best])
+        elif method == "folds":
+            search = CrossValidator(
+                estimator=whole, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
+                foldCol="fold", parallelism=parallelism, seed=seed,
+            )
+            fitted = search.fit(rows)
+            scores, model = fitted.avgMetrics, fitted.bestModel
+            best = max(range(len(maps)), key=scores.__getitem__)
+        else:
+            raise ValueError(f"unknown tuning method: {method}")
+    finally:
+        rows.unpersist()
+    return model, {p.name: v for p, v in maps[best].items()}, scores[best]
 
 
-def explicit_params(model) -> dict:
-    """Parameters of the last stage that have a value or default."""
-    stage = model.stages[-1]
-    return {p.name: stage.getOrDefault(p) for p in stage.params if stage.isDefined(p)}
+def refit(train: DataFrame, features, family: str, best_params: dict, seed: int = 42, keys=KEYS, **params) -> PipelineModel:
+    """Fit the family again on all training rows with the tuned parameters set."""
+    return pipeline(features, classifier(family, seed=seed, **{**params, **best_params})).fit(in_order(train, keys))
 
 
 def choose(scores: dict[str, float]) -> str:

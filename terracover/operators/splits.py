@@ -31,11 +31,6 @@ def hash_split(
     )
 
 
-def random_split(df: DataFrame, test: float = 0.15, seed: int = SEED) -> list[DataFrame]:
-    """Spark's own layout-dependent random split, for parity only."""
-    return df.randomSplit([1.0 - 2 * test, test, test], seed=seed)
-
-
 def rank_slots(df: DataFrame, group: str, keys, ends: DataFrame, end_columns, seed: int = SEED) -> DataFrame:
     """Add ``slot``: how many of the group's rank limits the row's hash rank has reached.
 

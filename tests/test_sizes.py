@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracover.functions.hashing import key_digest
+from terracover.operators import models
 from terracover.operators.quantiles import group_quantiles
 from terracover.operators.splits import oversample, stratified_split, undersample
 
@@ -35,6 +36,20 @@ def test_null_labels_are_a_class(spark):
     assert oversample(df, "label", ["id"]).where("label IS NULL").count() == 107
 
 
+@pytest.mark.parametrize("family,size", [("RandomForest", {"numTrees": 4}), ("GBT", {"maxIter": 2})])
+def test_fits_do_not_depend_on_the_layout(spark, family, size):
+    rows = spark.range(600).select(
+        (F.col("id") % 3).alias("zone"), F.floor(F.col("id") / 30).alias("r"), (F.col("id") % 30).alias("c"),
+        (F.hash("id") % 100).cast("double").alias("f1"), (F.hash(F.col("id") + 1) % 100).cast("double").alias("f2"),
+    ).withColumn("label", (F.col("f1") + F.col("f2") > 0).cast("int")).withColumn("class_weight", F.lit(1.0))
+    seen = []
+    for layout in (rows.repartition(4), rows.repartition(7, "f1")):
+        model, params, metric = models.tune(layout, ["f1", "f2"], family, {"maxDepth": [2, 3]}, folds=3, **size)
+        again = models.refit(layout, ["f1", "f2"], family, params, **size)
+        seen.append([(params, round(metric, 9))] + sorted(tuple(r) for m in (model, again) for r in models.score(m, rows).select("r", "c", "score").collect()))
+    assert seen[0] == seen[1]
+
+
 def test_null_keys_have_their_own_digest(spark):
     df = spark.createDataFrame([("1", None, "2"), ("1", "2", None)], "a string, b string, c string")
     assert df.select(key_digest(1, "a", "b", "c")).distinct().count() == 2
