@@ -93,9 +93,9 @@ def mix(
         words.select("key", "id", "source", F.size("words").cast("long").alias("size"), weight.alias("quality")),
         "mix-sizes",
     )
-    # 52 bits of the seeded hash, never 0: ln is finite.
-    bits = F.xxhash64(F.lit(seed), F.col("key")).bitwiseAND(F.lit((1 << 52) - 1))
-    uniform = (bits + F.lit(0.5)) / F.lit(_UNIT)
+    # 52 bits of the seeded digest, never 0: ln is finite.
+    digest = F.md5(F.concat(F.lit(f"{seed}-"), F.lower(F.hex("key"))))
+    uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(_UNIT)
     rate = F.greatest(F.coalesce(F.nanvl("quality", F.lit(0.0)), F.lit(0.0)), F.lit(1e-6))
     plan = stage(
         targets(sized, list(weights), total, most).withColumn(

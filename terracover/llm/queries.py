@@ -47,7 +47,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 @query
