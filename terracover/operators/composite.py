@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracover.functions.spectral import BANDS, INDICES
-from terracover.operators.joins import lookup_join
+from terracover.operators.joins import lookup_join, null_safe_join
 from terracover.operators.quantiles import group_quantiles
 from terracover.operators.ranking import GROUP_LIMIT
 from terracover.sources.staging import stage
@@ -65,6 +65,35 @@ def composite_stats(obs: DataFrame, keys=CELL, bands=("ndvi", "ndwi")) -> DataFr
     return obs.groupBy(*keys).agg(*measures, F.count(F.lit(1)).alias("n_obs"))
 
 
+def requested_stats(
+    obs: DataFrame, request: dict[str, tuple[str, ...]], keys=CELL, rule: str = "nearest", limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """The statistics asked for by column, named ``<column>_<statistic>``, and ``n_obs``.
+
+    Known are mean, std, min, max (combined map-side), median and ``p<percent>`` (by
+    ``rule``). NULL and NaN readings are ignored. The parts meet by key only if both kinds
+    are asked for.
+    """
+    plain = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    measures, wanted = [], {}
+    for column, names in request.items():
+        value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+        for name in names:
+            if name in plain:
+                measures.append(plain[name](value).alias(f"{column}_{name}"))
+            elif name == "median":
+                wanted[f"{column}_{name}"] = (column, "median", 0.5)
+            elif name[0] == "p" and name[1:].isdigit() and int(name[1:]) <= 100:
+                wanted[f"{column}_{name}"] = (column, rule, int(name[1:]) / 100)
+            else:
+                raise ValueError(f"unknown statistic: {name}")
+    summed = obs.groupBy(*keys).agg(*measures, F.count(F.lit(1)).alias("n_obs"))
+    if not wanted:
+        return summed
+    ranked = group_quantiles(obs, keys, wanted, limit=limit)
+    return null_safe_join(summed.drop("n_obs"), ranked, keys) if measures else ranked
+
+
 def with_window_start(obs: DataFrame, ts: str = "ts", width: str = "30 days") -> DataFrame:
     return obs.withColumn("window_start", F.window(ts, width).start)
 

@@ -113,6 +113,18 @@ def clip_to_layer(px: DataFrame, edges: DataFrame, extent: DataFrame, layer: str
     return lookup_join(px, spans, inside, "left_semi")
 
 
+def clip_outcome(px: DataFrame, edges: DataFrame, extent: DataFrame, scene, layer: str = "perimeter") -> DataFrame:
+    """Clipped pixels and ``no_overlap``: a scene without a pixel in the layer stays whole and is flagged.
+
+    ``scene``: the key columns of a scene.
+    """
+    scene = list(scene)
+    clipped = clip_to_layer(px, edges, extent, layer)
+    met = stage(clipped.select(*scene).distinct(), "overlapping")
+    missed = lookup_join(px, met, scene, "left_anti", null_safe=True)
+    return clipped.withColumn("no_overlap", F.lit(False)).unionByName(missed.withColumn("no_overlap", F.lit(True)))
+
+
 def clip_reduction(px: DataFrame, clipped: DataFrame) -> DataFrame:
     """Cells before and after clipping and the reduction in percent, per zone."""
     cells = lambda df, name: df.select("zone", "r", "c").distinct().groupBy("zone").agg(

@@ -69,6 +69,26 @@ def quarantine_summary(log: DataFrame) -> DataFrame:
     )
 
 
+def zone_run(expected: DataFrame, steps: dict[str, DataFrame]) -> DataFrame:
+    """One row per expected zone: rows after each step, status and the first step that left none.
+
+    ``steps`` maps step names in order to tables with a ``zone`` column; a zone counts as
+    stopped at its first empty step, whatever later steps hold. All zones run in one job,
+    so there is no time per zone: ``duration`` is NULL. The result is a log that
+    :func:`run_report` reads.
+    """
+    zones, names = expected.select("zone").distinct(), list(steps)
+    for i, name in enumerate(names):
+        counts = steps[name].groupBy("zone").agg(F.count(F.lit(1)).alias(f"n_{i}"))
+        zones = zones.join(counts, "zone", "left")
+    counted = [F.coalesce(f"n_{i}", F.lit(0)).cast("bigint") for i in range(len(names))]
+    failed = F.coalesce(*(F.when(n == 0, name) for n, name in zip(counted, names)))
+    return zones.select(
+        "zone", F.when(failed.isNull(), "success").otherwise("error").alias("status"), failed.alias("failed_step"),
+        F.lit(None).cast("double").alias("duration"), *(n.alias(f"n_{name[3:]}") for n, name in zip(counted, names)),
+    )
+
+
 def run_report(log: DataFrame) -> DataFrame:
     """Run counts by state, durations and the earliest failing step.
 

@@ -1,4 +1,4 @@
-"""Bilinear resampling between pixel grids.
+"""Bilinear and nearest resampling between pixel grids.
 
 Each target cell is mapped to a fractional source position by column arithmetic and
 asks for its four neighbours by key; weights are renormalised where neighbours are
@@ -47,6 +47,20 @@ def bilinear(targets: DataFrame, source: DataFrame, keys, bands) -> DataFrame:
     )
 
 
+def nearest(targets: DataFrame, source: DataFrame, keys, bands) -> DataFrame:
+    """Value of the source cell under ``(src_r, src_c)`` of each target: for class bands.
+
+    Target cells over a missing source cell are left out.
+    """
+    keys = list(keys)
+    under = targets.select(
+        *keys, F.col("r").alias("t_r"), F.col("c").alias("t_c"),
+        F.floor("src_r").cast("int").alias("r"), F.floor("src_c").cast("int").alias("c"),
+    )
+    joined = large_join(under, source.select(*keys, "r", "c", *bands), [*keys, "r", "c"])
+    return joined.select(*keys, F.col("t_r").alias("r"), F.col("t_c").alias("c"), *bands)
+
+
 def scaled_targets(extent: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Target cells of a grid resized by ``numerator / denominator`` over the same area."""
     size = lambda c: F.expr(f"CAST(greatest(1, {c} * {numerator} DIV {denominator}) AS INT)")

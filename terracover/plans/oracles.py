@@ -315,6 +315,11 @@ def oracle_sql() -> dict[str, str]:
             tr AS (SELECT *, unnest(range(0, th)) AS r FROM dim), t AS (SELECT *, unnest(range(0, tw)) AS c FROM tr),
             pos AS (SELECT zone, r, c, (r + 0.5e0) * height / th - 0.5e0 AS fr, (c + 0.5e0) * width / tw - 0.5e0 AS fc FROM t)
             {_interpolated(12)}""",
+        "regrid_nearest": f"""WITH {_EXTENT}, cls AS (SELECT zone, r, c, max(scl) AS scl FROM px GROUP BY ALL),
+            dim AS (SELECT *, greatest(1, height * 3 // 4) AS th, greatest(1, width * 3 // 4) AS tw FROM extent),
+            tr AS (SELECT *, unnest(range(0, th)) AS tr FROM dim), t AS (SELECT *, unnest(range(0, tw)) AS tc FROM tr)
+            SELECT t.zone, CAST(tr AS INT) AS r, CAST(tc AS INT) AS c, scl FROM t JOIN cls ON cls.zone = t.zone
+             AND cls.r = CAST(floor((tr + 0.5e0) * height / th) AS INT) AND cls.c = CAST(floor((tc + 0.5e0) * width / tw) AS INT)""",
         "reproject_bilinear": f"WITH {_UTM}, {_SRC} {_interpolated(4)}",
         "valid_observations": f"WITH {_PX} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _BANDS)} FROM obs",
         "clear_mask": f"WITH {_mask()} SELECT * FROM mask",
@@ -340,6 +345,10 @@ def oracle_sql() -> dict[str, str]:
         "zone_subset": f"WITH {_PX} SELECT zone, count(*) AS n FROM px WHERE zone IN (0, 1, 3) GROUP BY zone",
         "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM px SEMI JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c)""",
+        "clip_outcome": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'),
+            m AS (SELECT px.zone, px.r, px.c, ts, CAST(ts AS DATE) AS day, ndvi, w.zone IS NOT NULL AS inside FROM px LEFT JOIN wood w USING (zone, r, c)),
+            s AS (SELECT *, bool_or(inside) OVER (PARTITION BY zone, day) AS met FROM m)
+            SELECT zone, r, c, ts, day, round(ndvi, 9) AS ndvi, NOT met AS no_overlap FROM s WHERE inside OR NOT met""",
         "clip_reduction": f"""WITH {_CELLS}, p AS (SELECT DISTINCT zone, r, c FROM px),
             n AS (SELECT p.zone, count(*) AS n_original, count(k.zone) AS n_clipped
                   FROM p LEFT JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c) GROUP BY p.zone)
@@ -355,6 +364,12 @@ def oracle_sql() -> dict[str, str]:
             f"round(min({b}), 12) AS {b}_min, round(max({b}), 12) AS {b}_max"
             for b in _ALL
         ) + ", count(*) AS n_obs FROM obs GROUP BY ALL",
+        "composite_requested": "WITH " + _PX + " SELECT zone, r, c, " + ", ".join(
+            [f"round({fn}({b}), 12) AS {b}_{name}" for b, names in (("b8a", ("mean", "min", "max", "median")), ("ndvi", ("mean", "min", "max", "median")), ("b04", ("median",)))
+             for name in names for fn in [{"mean": "avg"}.get(name, name)]]
+            + [f"round(stddev_samp({b}), 8) AS {b}_std" for b in ("b8a", "ndvi")]
+            + [f"round({_nearest(b, q / 100)}, 12) AS {b}_p{q}" for b, q in (("b04", 25), ("b04", 75), ("ndvi", 25), ("ndvi", 75), ("ndwi", 10))]
+        ) + ", count(*) AS n_obs FROM obs GROUP BY ALL",
         "composite_30d": f"""WITH {_PX},
             w AS (SELECT *, time_bucket(INTERVAL '30 days', ts, TIMESTAMP '1970-01-01') AS window_start FROM obs)
             {_composite("w", _ALL, "zone, window_start")}""",
@@ -418,6 +433,14 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_summary": f"""WITH {_META} SELECT zone, count(*) AS n_quarantined, """ + ", ".join(
             f"count(*) FILTER (issue_type = '{n}') AS {n}" for n in ("crs_mismatch", "bounds_invalid", "no_overlap", "multiple_issues")
         ) + " FROM issue GROUP BY zone",
+        "zone_run": f"""WITH {_PIXEL_LABELS},
+            z AS (SELECT DISTINCT CAST(user_id % 15 AS INT) AS zone FROM events),
+            n AS (SELECT z.zone, (SELECT count(*) FROM pixel p WHERE p.zone = z.zone) AS n_features,
+                         (SELECT count(*) FROM labels_grid g WHERE g.zone = z.zone AND label <> -1) AS n_labels,
+                         (SELECT count(*) FROM pixel_label p WHERE p.zone = z.zone AND label <> -1) AS n_union FROM z)
+            SELECT *, CASE WHEN n_features = 0 THEN '03_features' WHEN n_labels = 0 THEN '04_labels' WHEN n_union = 0 THEN '05_union' END AS failed_step,
+                   CASE WHEN n_features > 0 AND n_labels > 0 AND n_union > 0 THEN 'success' ELSE 'error' END AS status,
+                   CAST(NULL AS DOUBLE) AS duration FROM n""",
         "run_report": """SELECT CAST(user_id % 15 AS INT) AS zone, count(*) AS n_runs,
               count(*) FILTER (event_type NOT IN ('error', 'signup', 'purchase')) AS n_success,
               count(*) FILTER (event_type = 'error') AS n_error, count(*) FILTER (event_type = 'signup') AS n_timeout,

@@ -17,7 +17,7 @@ from terracover.functions.grid import acquisition_time, bounds_check, clamp_inde
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
 from terracover.operators import dataset, metrics, models, quality, regrid, splits, weights
 from terracover.operators.composite import (
-    FEATURES, composite_stats, index_quantiles, min_support, observation_profile, support_profile,
+    FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
 )
 from terracover.operators.joins import lookup_join
@@ -26,7 +26,7 @@ from terracover.operators.masks import (
     clear_before_dilation, clear_mask, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
 from terracover.operators.morphology import dilate, erode
-from terracover.operators.polygons import clip_reduction, clip_to_layer, polygon_cells, polygon_edges
+from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
 from terracover.plans import jobs
 from terracover.sources import catalog, landscape as land, sinks
 from terracover.sources.readers import raster_to_pixels, read_union, read_zones
@@ -261,6 +261,14 @@ def reproject_bilinear(spark, sf_dir):
     return rounded(regrid.bilinear(targets, land.cell_maxima(spark, sf_dir), ["zone"], list(FEATURES)), 4)
 
 
+@query
+def regrid_nearest(spark, sf_dir):
+    """Scene classes carried to a coarser grid without mixing them."""
+    classes = _px(spark, sf_dir).groupBy(*CELL).agg(F.max("scl").alias("scl"))
+    targets = regrid.scaled_targets(_extent(spark, sf_dir), 3, 4)
+    return regrid.nearest(targets, classes, ["zone"], ["scl"])
+
+
 # filters and masks -----------------------------------------------------------------
 
 @query
@@ -343,6 +351,14 @@ def clip_perimeter(spark, sf_dir):
     return rounded(clip_to_layer(px, _edges(spark, sf_dir, extent), extent))
 
 
+@query
+def clip_outcome_query(spark, sf_dir):
+    """Looks of one day and zone as a scene; days without a look in the forest layer stay whole."""
+    px = _px(spark, sf_dir).select(*CELL, "ts", F.to_date("ts").alias("day"), "ndvi")
+    extent = _extent(spark, sf_dir)
+    return rounded(clip_outcome(px, _edges(spark, sf_dir, extent), extent, ["zone", "day"], "forest"))
+
+
 @query
 def clip_reduction_query(spark, sf_dir):
     px = _px(spark, sf_dir).select(*CELL)
@@ -370,6 +386,17 @@ def composite_stats_query(spark, sf_dir):
     return rounded(stats.withColumns({f"{b}_std": F.round(f"{b}_std", 8) for b in FEATURES}), 12)
 
 
+@query
+def composite_requested(spark, sf_dir):
+    """Statistics asked for band by band."""
+    request = {
+        "b04": ("median", "p25", "p75"), "b8a": ("mean", "std", "min", "max", "median"),
+        "ndvi": ("median", "mean", "std", "min", "max", "p25", "p75"), "ndwi": ("p10",),
+    }
+    stats = requested_stats(_obs(spark, sf_dir), request)
+    return rounded(stats.withColumns({f"{b}_std": F.round(f"{b}_std", 8) for b in ("b8a", "ndvi")}), 12)
+
+
 @query
 def composite_30d(spark, sf_dir):
     """Zone composites per 30-day window."""
@@ -499,6 +526,16 @@ def quarantine_summary(spark, sf_dir):
     return quality.quarantine_summary(quality.quarantine(land.product_meta(spark, sf_dir)))
 
 
+@query
+def zone_run(spark, sf_dir):
+    """Rows of every expected zone after features, labels and their union; zones without rows fail."""
+    pixels = _obs(spark, sf_dir).select(*CELL).distinct()
+    labels = stage(_labels(spark, sf_dir).where("label <> -1"), "labels")
+    union = pixels.join(labels, list(CELL))
+    expected = land.run_log(spark, sf_dir)
+    return quality.zone_run(expected, {"03_features": pixels, "04_labels": labels, "05_union": union})
+
+
 @query
 def run_report(spark, sf_dir):
     return rounded(quality.run_report(land.run_log(spark, sf_dir)), 4)
