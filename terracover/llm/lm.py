@@ -35,7 +35,7 @@ from terracover.llm.sketch import _GOLD, WordHashes, mix64
 from terracover.llm.text import row_key, words_of
 from terracover.sources.staging import stage
 
-BATCH = 6 << 20  # bytes of text in a batch
+BATCH = 4 << 20  # bytes of text in a batch
 RANGE = 3 << 20  # n-grams asked for in a hash range, about
 POWERS = 48
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -90,6 +90,23 @@ def _batches(deleted: int):
     return run
 
 
+def _zip_sorted(values: np.ndarray) -> bytes:
+    """Ascending hashes as differences, byte by byte: their high bytes are all but empty."""
+    return zstandard.compress(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unzip_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: a row is a whole batch of texts."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Grams:
     """N-grams of a batch: sorted distinct ones, and for every token where its own are."""
 
@@ -116,7 +133,15 @@ class Grams:
                 grams.append((level & ~np.uint64(7) | np.uint64(m))[token])
         self.order = order
         self.distinct, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-        self.place = inverse.reshape(order, -1)
+        self.place = inverse.astype(np.int32).reshape(order, -1)
+        # The longest n-gram of a token settles its estimates: one token stands for all of the same.
+        longest = self.place[-1]
+        one = np.full(len(self.distinct), -1, np.int32)
+        one[longest[::-1]] = np.arange(len(longest), dtype=np.int32)[::-1]
+        used = np.flatnonzero(one >= 0)
+        number = np.empty(len(self.distinct), np.int32)
+        number[used] = np.arange(len(used), dtype=np.int32)
+        self.one, self.like = one[used], number[longest]
 
     def ranges(self, many: int) -> list[tuple[int, int]]:
         """Slices of ``distinct`` by equal hash ranges."""
@@ -125,13 +150,13 @@ class Grams:
         return list(zip(cuts[:-1], cuts[1:]))
 
     def estimates(self, counts: np.ndarray, total: float, documents: float) -> tuple[np.ndarray, np.ndarray]:
-        """Per token the bucket and the likelihood estimates by order, from counts of ``distinct``."""
-        own = counts[self.place].astype(np.float64)
+        """Bucket and likelihood estimates by order for the tokens ``one``, from counts of ``distinct``."""
+        at = self.one
+        own = counts[self.place[:, at]].astype(np.float64)
         context = np.empty_like(own)
         context[0] = total
         for m in range(1, self.order):
-            context[m, 1:] = own[m - 1, :-1]
-            context[m, self.first] = documents
+            context[m] = np.where(self.first[at], documents, counts[self.place[m - 1, at - 1]])
         with np.errstate(divide="ignore", invalid="ignore"):
             estimate = np.where(context > 0, own / context, 0.0)
         longest = np.maximum.reduce([np.where(context[m] > 0, m, 0) for m in range(self.order)])
@@ -145,23 +170,22 @@ def _ask(order: int, many: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams = Grams(row["sizes"], row["texts"], order, cache)
-                trains = np.array(row["trains"], np.float64)[grams.document]
-                counts = sum(np.bincount(grams.place[m], trains, len(grams.distinct)) for m in range(order)).astype(np.int64)
-                for r, (low, high) in enumerate(grams.ranges(many)):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([r], pa.int32()), pa.array([row["batch"]], pa.int64()), pa.array([row["apart"]]),
-                        pa.array([grams.distinct[low:high].tobytes()], pa.binary()), pa.array([_zip(counts[low:high])], pa.binary()),
-                    ], names=names)
+        for row in _rows(batches):
+            grams = Grams(row["sizes"], row["texts"], order, cache)
+            trains = np.array(row["trains"], np.float64)[grams.document]
+            counts = sum(np.bincount(grams.place[m], trains, len(grams.distinct)) for m in range(order)).astype(np.int64)
+            for r, (low, high) in enumerate(grams.ranges(many)):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([r], pa.int32()), pa.array([row["batch"]], pa.int64()), pa.array([row["apart"]]),
+                    pa.array([_zip_sorted(grams.distinct[low:high])], pa.binary()), pa.array([_zip(counts[low:high])], pa.binary()),
+                ], names=names)
 
     return run
 
 
 def _answer(rows: pa.Table) -> pa.Table:
     """Counts of a hash range over all batches, in the order each batch asked; and the range's totals."""
-    asked = [np.frombuffer(g, np.uint64) for g in rows.column("grams").to_pylist()]
+    asked = [_unzip_sorted(g) for g in rows.column("grams").to_pylist()]
     counts = np.concatenate([_unzip(c, "<i8") for c in rows.column("counts").to_pylist()])
     apart = np.repeat(rows.column("apart").to_numpy(zero_copy_only=False), [len(a) for a in asked])
     distinct, inverse = np.unique(np.concatenate(asked), return_inverse=True)
@@ -189,14 +213,12 @@ def _held_out(order: int, total: int, documents: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams = Grams(row["sizes"], row["texts"], order, cache)
-                bucket, estimate = grams.estimates(_answered(row, "kept"), total, documents)
-                _, one, times = np.unique(grams.place[-1], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (
-                    _zip(bucket[one].astype(np.int16)), _zip(estimate[:, one].astype(np.float32)), _zip(times.astype(np.int32))
-                )], names=["buckets", "estimates", "times"])
+        for row in _rows(batches):
+            grams = Grams(row["sizes"], row["texts"], order, cache)
+            bucket, estimate = grams.estimates(_answered(row, "kept"), total, documents)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (
+                _zip(bucket.astype(np.int16)), _zip(estimate.astype(np.float32)), _zip(np.bincount(grams.like).astype(np.int32))
+            )], names=["buckets", "estimates", "times"])
 
     return run
 
@@ -265,13 +287,13 @@ def _score(order: int, weights: np.ndarray, vocabulary: int, total: int, documen
         cache = WordHashes()
         for batch in batches:
             kind = batch.column("ids").type.value_type
-            for row in batch.to_pylist():
+            for row in _rows([batch]):
                 grams = Grams(row["sizes"], row["texts"], order, cache)
                 counts = _answered(row, "every")
                 bucket, estimate = grams.estimates(counts, total, documents)
-                own = counts[grams.place[0]].astype(np.float64)
+                own = counts[grams.place[0, grams.one]]
                 many = len(row["keys"])
-                add = lambda x: np.bincount(grams.document, x, many)
+                add = lambda x: np.bincount(grams.document, x[grams.like], many)
                 score = np.log10(mixed(weights, bucket, estimate, 1 / (vocabulary + 1)).sum(axis=0))
                 base = np.log10((own + 1) / (total + vocabulary + 1))
                 yield pa.RecordBatch.from_arrays([
