@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from terracover.llm.text import packed, row_key, unpacked
+from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
 _HASHED = pa.schema([("key", pa.binary()), ("lines", pa.list_(pa.binary()))])
@@ -77,7 +78,7 @@ def drop_frequent_lines(
     )
     lines = hashed.select("key", F.posexplode("lines").alias("pos", "hash")).where("hash IS NOT NULL")
     gone = (
-        lines.join(frequent_lines(hashed, min_docs).select("hash"), "hash")
+        large_join(lines, frequent_lines(hashed, min_docs).select("hash"), "hash")
         .groupBy("key").agg(F.collect_set("pos").alias("gone"))
     )
     source = docs.select(packed(docs).alias("row"), key.alias("key"))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from terracover.llm.components import connected_components
 from terracover.llm.sketch import WordHashes, band_hashes, shingle_set, sketches
 from terracover.llm.text import packed, row_key, rows_in_chunks, unpacked, words_of
+from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
 CHUNK, MEMBERS = 1 << 18, 512  # shingles (about 2 MB) and classes of a chunk
@@ -133,7 +134,7 @@ def _meetings(classes: DataFrame) -> DataFrame:
     """(cls, rep, meetings): for classes that share a band, the chunk pairs in which they meet others."""
     rows = classes.select("cls", "n", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("members"), F.min("cls").alias("home")).where("members > 1")
-    held = stage(rows.join(shared.select("band", "home"), "band").select("band", "cls", "n", "home"), "near-bands")
+    held = stage(large_join(rows, shared.select("band", "home"), "band").select("band", "cls", "n", "home"), "near-bands")
     # A class takes the least home over its bands, once more over the homes of those it meets there.
     for turn in range(2):
         own = held.groupBy("cls").agg(F.min("home").alias("own"))

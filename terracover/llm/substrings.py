@@ -39,6 +39,7 @@ from pyspark.sql.types import StringType
 
 from terracover.llm.sketch import WordHashes, mix64
 from terracover.llm.text import packed, row_key, rows_in_chunks, unpacked, words_of
+from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
 KMER = 16
@@ -279,7 +280,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("node")
     )
     each = longs.select("cls", F.posexplode(F.arrays_zip("node", "pos", "seg")).alias("i", "x")).select("cls", "i", "x.node", "x.pos", "x.seg")
-    places = stage(each.join(repeated, "node").select("cls", "i", "pos", "node", "seg").distinct(), "kmer-places")
+    places = stage(large_join(each, repeated, "node").select("cls", "i", "pos", "node", "seg").distinct(), "kmer-places")
     spans = path_spans(places, classes.select("cls", "rank"), length)
     where = places.groupBy("cls").agg(F.sort_array(F.collect_list("pos")).alias("nodes"))
     asked = classes.select("cls", "rep", F.col("rank.id").alias("id")).join(where, "cls").join(spans, "cls", "left")
@@ -295,8 +296,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     held = opened.select("cls", rank.alias("rank"), F.explode(F.arrays_zip("windows", "starts")).alias("x"))
     found = (
-        held.select("cls", "rank", F.col("x.windows").alias("window"), F.col("x.starts").alias("start"))
-        .join(first, "window").where(F.col("rank") > F.col("least"))
+        large_join(held.select("cls", "rank", F.col("x.windows").alias("window"), F.col("x.starts").alias("start")), first, "window").where(F.col("rank") > F.col("least"))
         .groupBy("cls").agg(F.collect_list("start").alias("found"))
     )
     cut = opened.select("cls", "packed", "spans").join(found.hint("shuffle_hash"), "cls", "left").where("found IS NOT NULL OR size(spans) > 0").mapInArrow(
