@@ -53,3 +53,25 @@ def test_fits_do_not_depend_on_the_layout(spark, family, size):
 def test_null_keys_have_their_own_digest(spark):
     df = spark.createDataFrame([("1", None, "2"), ("1", "2", None)], "a string, b string, c string")
     assert df.select(key_digest(1, "a", "b", "c")).distinct().count() == 2
+
+
+def test_requested_statistics(spark):
+    from terracover.operators.composite import requested_stats
+
+    obs = spark.createDataFrame([(1, 1.0), (1, 3.0), (1, None), (1, float("nan")), (None, 5.0)], "k int, x double")
+    rows = {r.k: r for r in requested_stats(obs, {"x": ("mean", "median", "p100", "min")}, ["k"]).collect()}
+    assert (rows[1].x_mean, rows[1].x_median, rows[1].x_p100, rows[1].x_min, rows[1].n_obs) == (2.0, 2.0, 3.0, 1.0, 4)
+    assert (rows[None].x_mean, rows[None].x_median) == (5.0, 5.0)
+    with pytest.raises(ValueError):
+        requested_stats(obs, {"x": ("mode",)}, ["k"])
+
+
+def test_zone_run_stops_at_the_first_empty_step(spark):
+    from terracover.operators.quality import run_report, zone_run
+
+    zones = lambda *z: spark.createDataFrame([(x,) for x in z], "zone int")
+    log = zone_run(zones(1, 2, 3, 4), {"03_features": zones(1, 1, 2, 3), "04_labels": zones(1, 3), "05_union": zones(1)})
+    got = {r.zone: (r.status, r.failed_step, r.n_features) for r in log.collect()}
+    assert got == {1: ("success", None, 2), 2: ("error", "04_labels", 1), 3: ("error", "05_union", 1), 4: ("error", "03_features", 0)}
+    total = run_report(log).where("zone IS NULL").first()
+    assert (total.n_runs, total.n_success, total.n_error, total.first_failed_step) == (4, 1, 3, "03_features")
