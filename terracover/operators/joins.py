@@ -12,8 +12,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a side table that may be broadcast.
-LOOKUP_ROWS = 500_000
+# Rows and bytes of a side table that may be broadcast.
+LOOKUP_ROWS, LOOKUP_BYTES = 500_000, 64 << 20
+
+
+def row_width(df: DataFrame) -> int:
+    """Generous bytes per row: 8 a number, 64 a string, 512 anything nested."""
+    wide = {"string": 64, "binary": 512, "array": 512, "map": 512, "struct": 512}
+    return 16 + sum(wide.get(f.dataType.typeName(), 8) for f in df.schema)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = LOOKUP_ROWS,
@@ -23,7 +29,8 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_ro
     ``small`` should be a stored table, whose count comes from file metadata. With
     ``null_safe`` NULL keys match each other.
     """
-    side = F.broadcast(small) if small.count() <= max_rows else small.hint("merge")
+    most = min(max_rows, LOOKUP_BYTES // row_width(small))
+    side = F.broadcast(small) if small.count() <= most else small.hint("merge")
     return null_safe_join(big, side, on, how) if null_safe else big.join(side, on, how)
 
 

@@ -407,6 +407,8 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN n_nonforest / n_forest > 10 OR n_nonforest / n_forest < 0.1e0 THEN 'significant' ELSE 'reasonable' END END AS balance FROM n""",
         "consolidate_zones": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", _ALL)})
             SELECT comp.*, label FROM comp JOIN pixel_label USING (zone, r, c) WHERE label <> -1""",
+        "zone_status": f"""WITH {_PIXEL_LABELS} SELECT CAST(zone AS VARCHAR) AS zone, CAST(0 AS BIGINT) AS n_unreadable,
+            count(*) AS n_rows, 'ok' AS status FROM pixel_label GROUP BY zone""",
         "zone_stats": f"""WITH {_PIXEL_LABELS},
             n AS (SELECT zone, {counts}, CAST(grouping(zone) AS INT) AS is_total FROM pixel_label WHERE label <> -1 GROUP BY ROLLUP (zone))
             SELECT *, coalesce({ratio}, 0) AS ratio, round(n_forest / n_total * 100, 9) AS pct_forest FROM n""",

@@ -29,7 +29,7 @@ from terracover.operators.morphology import dilate, erode
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
 from terracover.plans import jobs
 from terracover.sources import catalog, landscape as land, sinks
-from terracover.sources.readers import raster_to_pixels, read_union, read_zones
+from terracover.sources.readers import raster_to_pixels, read_union, read_zones, zone_status
 from terracover.sources.session import tune
 from terracover.sources.staging import stage, staging_path
 
@@ -486,6 +486,14 @@ def consolidate_zones(spark, sf_dir):
     return rounded(read_zones(spark, path))
 
 
+@query
+def zone_status_query(spark, sf_dir):
+    """Training labels written by zone, and what can be read of each zone."""
+    path = staging_path(spark, "zones")
+    sinks.write_zones(_class_rows(spark, sf_dir), path)
+    return zone_status(spark, path).select("zone", "n_unreadable", "n_rows", "status")
+
+
 @query
 def zone_stats(spark, sf_dir):
     return rounded(dataset.zone_stats(_class_rows(spark, sf_dir).where("label <> -1")))

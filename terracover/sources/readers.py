@@ -22,7 +22,7 @@ def read_union(spark: SparkSession, inputs: str) -> DataFrame:
 
 
 def read_zones(spark: SparkSession, root: str, tolerant: bool = False) -> DataFrame:
-    """One table partitioned by ``zone``; ``tolerant`` skips unreadable files."""
+    """One table partitioned by ``zone``; ``tolerant`` skips unreadable files, see :func:`zone_status`."""
     return (
         spark.read.option("mergeSchema", "true")
         .option("ignoreCorruptFiles", str(tolerant).lower())
@@ -30,6 +30,30 @@ def read_zones(spark: SparkSession, root: str, tolerant: bool = False) -> DataFr
     )
 
 
+def zone_status(spark: SparkSession, root: str) -> DataFrame:
+    """Per zone folder: files, files that gave no row, rows, and ``ok``, ``partial`` or ``unreadable``.
+
+    Listed files are met with the files a tolerant read took rows from; an empty file counts
+    as unreadable.
+    """
+    plain = lambda path: F.regexp_replace(F.url_decode(path), "^[a-z0-9]+:/+", "/")
+    listed = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        .load(root).select(plain(F.col("path")).alias("path"))
+    )
+    read = (
+        read_zones(spark, root, tolerant=True).select(plain(F.input_file_name()).alias("from"))
+        .groupBy("from").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    met = listed.join(read, F.col("path") == F.col("from"), "left")
+    zones = met.groupBy(F.regexp_extract("path", "/zone=([^/]+)/", 1).alias("zone")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if(F.col("rows").isNull()).alias("n_unreadable"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"),
+    )
+    status = F.when(F.col("n_unreadable") == 0, "ok").when(F.col("n_rows") > 0, "partial").otherwise("unreadable")
+    return zones.withColumn("status", status)
+
+
 def raster_to_pixels(blocks: DataFrame, keys, bands, width: int, nodata: float | None = 0.0) -> DataFrame:
     """Row-major band arrays to one row per pixel; drops nodata of the first band."""
     pixels = blocks.select(

@@ -1,5 +1,7 @@
 """Every query with a DuckDB counterpart gives the same rows on the driver tables."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -20,3 +22,17 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     assert differences(entry.queries()[name](spark, sf_dir), duck, ORACLES[name]) == []
+
+
+#: At the smallest scale the grid is lower than most polygons and these find nothing.
+SPARSE = ["eligible_zones", "enough_per_class", "erode_mask", "label_stats", "training_table"]
+MEDIUM = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", SPARSE)
+def test_sparse_queries_find_rows(spark, name):
+    if not os.path.isdir(MEDIUM):
+        pytest.skip("driver tables are not available")
+    found = entry.queries()[name](spark, MEDIUM).cache()
+    assert not found.isEmpty()
+    assert differences(found, connect(MEDIUM), ORACLES[name]) == []

@@ -75,3 +75,18 @@ def test_zone_run_stops_at_the_first_empty_step(spark):
     assert got == {1: ("success", None, 2), 2: ("error", "04_labels", 1), 3: ("error", "05_union", 1), 4: ("error", "03_features", 0)}
     total = run_report(log).where("zone IS NULL").first()
     assert (total.n_runs, total.n_success, total.n_error, total.first_failed_step) == (4, 1, 3, "03_features")
+
+
+def test_unreadable_zones_are_recorded(spark, tmp_path):
+    from terracover.sources.readers import read_zones, zone_status
+
+    root = str(tmp_path / "zones")
+    spark.range(30).select((F.col("id") % 3).alias("zone"), "id").repartition(1).write.partitionBy("zone").parquet(root)
+    spark.range(5).repartition(1).write.mode("append").parquet(f"{root}/zone=2")
+    broken = sorted((tmp_path / "zones" / "zone=2").glob("*.parquet"))[0]
+    for path in (broken, *(tmp_path / "zones" / "zone=1").glob("*.parquet")):
+        path.write_bytes(b"no parquet")
+        (path.parent / f".{path.name}.crc").unlink()
+    got = {r.zone: (r.n_files, r.n_unreadable, r.status) for r in zone_status(spark, root).collect()}
+    assert got == {"0": (1, 0, "ok"), "1": (1, 1, "unreadable"), "2": (2, 1, "partial")}
+    assert read_zones(spark, root, tolerant=True).where("zone = 1").isEmpty()
