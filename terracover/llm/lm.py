@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracover.llm.sketch import _GOLD, WordHashes, mix64
-from terracover.llm.text import row_key, words_of
+from terracover.llm.text import row_key
 from terracover.sources.staging import stage
 
 BATCH = 4 << 20  # bytes of text in a batch

@@ -91,7 +91,7 @@ def selected(kmers: np.ndarray, width: int) -> np.ndarray:
 
 
 def _first_pass(length: int):
-    names = ["key", "id", "n_words", "sha", "cls", "pos", "node", "seg", "packed"]
+    names = ["key", "id", "n_words", "sha", "cls", "pos", "node", "seg"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, rolling = WordHashes(), RollingHash()
@@ -115,7 +115,7 @@ def _first_pass(length: int):
             types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").cast(pa.binary()), batch.column("id"), *[pa.array(c, t) for c, t in zip(out, types)]],
-                names=names[:-1],
+                names=names,
             )
 
     return run

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +61,7 @@ def unpacked(df: DataFrame, columns: list[str], replace: dict[str, Column]) -> D
 def rows_in_chunks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches, each of about ``most`` bytes of ``column`` or a single row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if i > start and held + n > most:
