@@ -21,7 +21,7 @@ Rows with equal values get equal results. An empty table gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracover.llm.text import BLANK_RUN, BLANKS, packed, row_key, unpacked, word_array
@@ -118,7 +118,8 @@ def judge(
         per_line.join(bad, (F.col("hash") == F.col("line")) & F.col("host").eqNullSafe(F.col("at")))
         .groupBy("key").agg(F.sum("words").alias("lost"))
     )
-    counts = text_counts(source).drop("text", "host")
+    # Staged, or a filter on the verdict would be pushed into the counts and repeat their work.
+    counts = stage(text_counts(source).drop("text", "host"), "quality-counts")
     rows = source.select("key").groupBy("key").agg(F.count("*").alias("rows"))
     lost = removed.join(rows, "key").select("key", (F.col("lost") / F.col("rows")).cast("long").alias("n_removed"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
