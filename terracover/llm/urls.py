@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracover.llm.text import packed, unpacked
+from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
 MARK, STOP = "\x02", "\x03"
@@ -92,7 +93,8 @@ def log_ratios(counts: DataFrame, wanted: DataFrame, order: int, least: int, str
 def scores(texts: DataFrame, ratios: DataFrame, order: int) -> DataFrame:
     """(text, score): mean log ratio per character, end included."""
     cut = texts.select("text", F.explode(_grams(F.col("text"), order)).alias("gram"))
-    total = cut.join(ratios, "gram").groupBy("text").agg(F.sum("ratio").alias("sum"))
+    # Sizes estimated before explode would let the n-grams of all urls be broadcast.
+    total = large_join(cut, ratios, "gram").groupBy("text").agg(F.sum("ratio").alias("sum"))
     return total.select("text", (F.col("sum") / MICRO / (F.char_length("text") + 1)).alias("score"))
 
 
@@ -131,7 +133,7 @@ def judge_urls(
     texts = stage(
         rows.groupBy("text").agg(F.count("*").alias("n"), F.min("fit.verdict").alias("verdict")), "url-texts"
     )
-    fold = F.pmod(F.xxhash64("text"), F.lit(left_out))
+    fold = F.conv(F.substring(F.md5("text"), 1, 8), 16, 10).cast("bigint") % left_out
     labelled = texts.where("verdict IS NOT NULL")
     counts = stage(
         labelled.where(fold != 0).select("verdict", "n", F.explode(_grams(F.col("text"), order)).alias("gram"))
