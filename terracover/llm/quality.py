@@ -7,8 +7,9 @@ A line found in more documents of its host than the limit is boilerplate and is
 a document that loses more than ``depleted`` of its words that way is rejected.
 
 Copies of a document must not make its own text boilerplate, they are the business of
-deduplication: documents that share their longest line count once. The limit is the larger
-of ``min_docs`` and ``share`` of the host's documents so counted.
+deduplication: documents whose normalised lines are all equal, in order, count once. Near
+copies count one by one, as documents do. The limit is the larger of
+``min_docs`` and ``share`` of the host's documents so counted.
 
 Shape of the job: only native functions. The counts of a text are one narrow pass; the
 sole expensive part, locating repeated windows, runs for texts that have any. Lines are
@@ -78,9 +79,9 @@ def _lines(texts: DataFrame) -> DataFrame:
     held = texts.select("key", "host", F.filter(bare, lambda x: x != "").alias("lines")).where(F.size("lines") > 0)
     normal = F.transform("lines", lambda x: F.lower(F.regexp_replace(x, BLANK_RUN, " ")))
     held = held.select("key", "host", normal.alias("lines"))
-    # The longest line, the greatest among equals, stands for the document and its copies.
-    longest = F.array_max(F.transform("lines", lambda x: F.named_struct(F.lit("n"), F.char_length(x), F.lit("line"), x)))["line"]
-    held = held.select("key", "host", F.xxhash64(longest).alias("print"), F.explode("lines").alias("line"))
+    # All normalised lines in their order stand for the document and its copies.
+    whole = F.unhex(F.md5(F.array_join("lines", "\n")))
+    held = held.select("key", "host", whole.alias("print"), F.explode("lines").alias("line"))
     blanks = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
     return held.select("key", "host", "print", F.unhex(F.md5("line")).alias("hash"), (blanks + 1).alias("words"))
 

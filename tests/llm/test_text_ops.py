@@ -82,6 +82,15 @@ def test_quality_rejects_depleted_documents_but_not_copies(spark):
     assert all(judged[i].kept for i in [*range(30, 60), *range(100, 150)])
 
 
+def test_quality_counts_documents_that_share_their_longest_line(spark):
+    notice = " ".join(f"notice{j}" for j in range(60))
+    data = [(i, f"short line of {i} with a few words\n{notice}", "host") for i in range(30)]
+    data += [(100 + i, "\n".join(" ".join(f"w{i}x{j}" for j in range(k, 40, 4)) for k in range(4)), "host") for i in range(5)]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(data, "doc_id bigint, text string, source string")).collect()}
+    assert all(judged[i].n_removed == 60 and not judged[i].kept and not judged[i].base_failed for i in range(30))
+    assert all(judged[100 + i].n_removed == 0 and judged[100 + i].kept for i in range(5))
+
+
 def water(sizes, weights, total, most):
     """Targets by raising a level until the budget is spent."""
     budget, full = total * sum(sizes), set()
