@@ -8,8 +8,8 @@ a document that loses more than ``depleted`` of its words that way is rejected.
 
 Copies of a document must not make its own text boilerplate, they are the business of
 deduplication: documents whose normalised lines are all equal, in order, count once. Near
-copies count one by one, as documents do. The limit is the larger of
-``min_docs`` and ``share`` of the host's documents so counted.
+copies count one by one, as documents do. The limit ``min_docs`` is a number of documents
+so counted and does not depend on the size of the host.
 
 Shape of the job: only native functions. The counts of a text are one narrow pass; the
 sole expensive part, locating repeated windows, runs for texts that have any. Lines are
@@ -86,25 +86,17 @@ def _lines(texts: DataFrame) -> DataFrame:
     return held.select("key", "host", "print", F.unhex(F.md5("line")).alias("hash"), (blanks + 1).alias("words"))
 
 
-def host_limits(lines: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """Per host the number of documents above which a line is boilerplate."""
-    docs = lines.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("n"))
-    return docs.select(F.col("host").alias("of"), F.greatest(F.lit(float(min_docs)), F.col("n") * share).alias("most"))
-
-
-def boilerplate(lines: DataFrame, min_docs: int, share: float) -> DataFrame:
-    """(host, hash, n_docs) of the lines above their host's limit."""
-    counts = (
+def boilerplate(lines: DataFrame, min_docs: int) -> DataFrame:
+    """(host, hash, n_docs) of the lines that more than ``min_docs`` documents of the host hold."""
+    return (
         lines.select("host", "hash", "print").distinct()
         .groupBy("host", "hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
     )
-    limits = host_limits(lines, min_docs, share)
-    return counts.join(limits, F.col("host").eqNullSafe(F.col("of"))).where("n_docs > most").select("host", "hash", "n_docs")
 
 
 def judge(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, share: float = 0.02, depleted: float = 0.6,
+    min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, depleted: float = 0.6,
 ) -> DataFrame:
     """One row per document: ``key``, id, the counts, ``n_removed`` words, ``base_failed`` and ``kept``."""
     source = docs.select(
@@ -112,7 +104,7 @@ def judge(
         docs[id_col].alias("id"), docs[host_col].alias("host"), docs[text_col].alias("text"),
     )
     lines = stage(_lines(source), "quality-lines")
-    bad = boilerplate(lines, min_docs, share).select(F.col("host").alias("at"), F.col("hash").alias("line"))
+    bad = boilerplate(lines, min_docs).select(F.col("host").alias("at"), F.col("hash").alias("line"))
     # A row of ``lines`` per occurrence; repeated rows share a key, hence the count of rows.
     per_line = lines.groupBy("key", "host", "hash").agg(F.sum("words").alias("words"))
     removed = (

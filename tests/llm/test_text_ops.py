@@ -91,6 +91,13 @@ def test_quality_counts_documents_that_share_their_longest_line(spark):
     assert all(judged[100 + i].n_removed == 0 and judged[100 + i].kept for i in range(5))
 
 
+def test_quality_limit_does_not_grow_with_the_source(spark):
+    notice = " ".join(f"notice{j}" for j in range(60))
+    data = [(i, f"short line of {i} with a few words\n{notice}" if i < 30 else f"document {i}", "host") for i in range(2000)]
+    judged = quality.judge(spark.createDataFrame(data, "doc_id bigint, text string, source string")).where("doc_id < 30").collect()
+    assert len(judged) == 30 and all(r.n_removed == 60 and not r.kept and not r.base_failed for r in judged)
+
+
 def water(sizes, weights, total, most):
     """Targets by raising a level until the budget is spent."""
     budget, full = total * sum(sizes), set()
