@@ -10,7 +10,7 @@ training documents with these weights.
 Shape of the job: texts are staged in batches of some megabytes, one compressed row each.
 A batch asks once for each distinct n-gram it holds, in arrays cut by hash range; the task
 of a range adds up the counts of all batches and answers each in its own order. So n-grams
-travel as eight bytes without a row of their own, and a word that every document holds
+travel as differences of sorted hashes without a row of their own, and a word that every document holds
 costs a range one entry per batch. No table of n-grams is collected or broadcast; the
 driver sees weights, at most 48 per order and component, and totals. Ranges grow in number
 with the corpus, so their size stays.
@@ -69,7 +69,7 @@ def _batches(deleted: int):
                 ([base + made], pa.int64()), ([apart], pa.bool_()), ([list(keys)], pa.list_(pa.binary())),
                 ([list(ids)], pa.list_(kind)), ([list(folds)], pa.list_(pa.int32())),
                 ([sum(len(t.split()) + 1 for t in texts)], pa.int64()),
-                ([sizes.tobytes()], pa.binary()), ([zstandard.compress(b"".join(texts), 1)], pa.binary()),
+                ([sizes.tobytes()], pa.binary()), ([zstandard.compress(b"".join(texts), 6)], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in row], names=["batch", "apart", "keys", "ids", "folds", "tokens", "sizes", "texts"]
@@ -90,14 +90,26 @@ def _batches(deleted: int):
     return run
 
 
-def _zip_sorted(values: np.ndarray) -> bytes:
-    """Ascending hashes as differences, byte by byte: their high bytes are all but empty."""
-    return zstandard.compress(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+def _zip_planes(values: np.ndarray) -> bytes:
+    """Byte by byte: the high bytes of small numbers are all but empty."""
+    return zstandard.compress(np.ascontiguousarray(values, values.dtype).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
-def _unzip_sorted(data: bytes) -> np.ndarray:
+def _unzip_planes(data: bytes, kind) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _zip_sorted(values: np.ndarray, order: int) -> list[bytes]:
+    """Ascending hashes, order by order without its mark, as differences."""
+    marks = values & np.uint64(7)
+    parts = [values[marks == np.uint64(m)] >> np.uint64(3) for m in range(1, order + 1)]
+    return [_zip_planes(np.diff(x, prepend=np.uint64(0))) for x in parts]
+
+
+def _unzip_sorted(parts: list[bytes]) -> np.ndarray:
+    found = [np.cumsum(_unzip_planes(x, np.uint64), dtype=np.uint64) << np.uint64(3) | np.uint64(m) for m, x in enumerate(parts, 1)]
+    return np.sort(np.concatenate(found), kind="stable")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -177,7 +189,7 @@ def _ask(order: int, many: int):
             for r, (low, high) in enumerate(grams.ranges(many)):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r], pa.int32()), pa.array([row["batch"]], pa.int64()), pa.array([row["apart"]]),
-                    pa.array([_zip_sorted(grams.distinct[low:high])], pa.binary()), pa.array([_zip(counts[low:high])], pa.binary()),
+                    pa.array([_zip_sorted(grams.distinct[low:high], order)], pa.list_(pa.binary())), pa.array([_zip_planes(counts[low:high])], pa.binary()),
                 ], names=names)
 
     return run
@@ -186,15 +198,16 @@ def _ask(order: int, many: int):
 def _answer(rows: pa.Table) -> pa.Table:
     """Counts of a hash range over all batches, in the order each batch asked; and the range's totals."""
     asked = [_unzip_sorted(g) for g in rows.column("grams").to_pylist()]
-    counts = np.concatenate([_unzip(c, "<i8") for c in rows.column("counts").to_pylist()])
+    counts = np.concatenate([_unzip_planes(c, np.int64) for c in rows.column("counts").to_pylist()])
     apart = np.repeat(rows.column("apart").to_numpy(zero_copy_only=False), [len(a) for a in asked])
     distinct, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     every = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
     kept = np.bincount(inverse, np.where(apart, 0, counts), len(distinct)).astype(np.int64)
     word = (distinct & np.uint64(7)) == 1
     cuts = np.cumsum([0, *[len(a) for a in asked]])
-    out = [(b, _zip(every[inverse[i:j]]), _zip(kept[inverse[i:j]]), 0, 0, 0)
-           for b, i, j in zip(rows.column("batch").to_pylist(), cuts[:-1], cuts[1:])]
+    # Only deleted batches ask for the counts without the deleted ones.
+    out = [(b, _zip_planes(every[inverse[i:j]]), _zip_planes(kept[inverse[i:j]]) if held else None, 0, 0, 0)
+           for b, held, i, j in zip(rows.column("batch").to_pylist(), rows.column("apart").to_pylist(), cuts[:-1], cuts[1:])]
     out.append((None, None, None, int((every[word] > 0).sum()), int(every[word].sum()), int(kept[word].sum())))
     number = rows.column("range")[0].as_py()
     types = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
@@ -205,7 +218,7 @@ def _answer(rows: pa.Table) -> pa.Table:
 
 
 def _answered(row: dict, which: str) -> np.ndarray:
-    return np.concatenate([_unzip(a[which], "<i8") for a in sorted(row["answers"], key=lambda a: a["range"])])
+    return np.concatenate([_unzip_planes(a[which], np.int64) for a in sorted(row["answers"], key=lambda a: a["range"])])
 
 
 def _held_out(order: int, total: int, documents: int):
@@ -333,7 +346,7 @@ def lm_scores(
     many = max(32, -(-tokens * order // RANGE))
     answers = stage(
         held.select("batch", "apart", "sizes", "texts", "trains")
-        .mapInArrow(_ask(order, many), "range int, batch bigint, apart boolean, grams binary, counts binary")
+        .mapInArrow(_ask(order, many), "range int, batch bigint, apart boolean, grams array<binary>, counts binary")
         .groupBy("range").applyInArrow(
             _answer, "range int, batch bigint, every binary, kept binary, vocabulary bigint, tokens bigint, kept_tokens bigint"
         ), "lm-answers",

@@ -74,7 +74,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.lm_scores(docs).select(
+    return lm.lm_scores(docs, order=3).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 

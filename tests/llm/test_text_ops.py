@@ -320,3 +320,14 @@ def test_lm_scores(docs, empty, order):
         want.append((i, f == 2, len(tokens), known, every[2], round(base, 4), round(score, 2)))
     same([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 2)) for r in got], want)
     assert lm.lm_scores(empty).count() == 0
+
+
+def test_registered_scores_use_trigrams(spark, sf_dir):
+    from terracover.llm.queries import op3_lm_scoring
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    want = {r.doc_id: r.score for r in lm.lm_scores(docs, order=3).collect()}
+    got = {r.doc_id: r.score for r in op3_lm_scoring(spark, sf_dir).collect()}
+    assert got == pytest.approx(want)
+    less = {r.doc_id: r.score for r in lm.lm_scores(docs, order=2).collect()}
+    assert got != pytest.approx(less)
