@@ -3,8 +3,9 @@
 A document fails the base rules if it has too few words or too large a share of words in
 repeated word windows. Beyond that, normalised lines (trimmed, blank runs collapsed,
 lower-cased) are hashed to 128 bits and distinct documents are counted per (host, hash).
-A line found in more documents of its host than the limit is boilerplate and is removed;
-a document that loses more than ``depleted`` of its words that way is rejected.
+A line found in more documents of its host than the limit is boilerplate. Its words are
+counted as ``n_removed``, no text is changed; a document of which more than ``depleted`` of
+the words are so counted is rejected.
 
 Copies of a document must not make its own text boilerplate, they are the business of
 deduplication: documents whose normalised lines are all equal, in order, count once. Near
