@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls, warc
+from terracover.llm import conversations, line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -108,6 +108,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair_conversations(rows, seeded=True)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

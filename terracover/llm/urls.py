@@ -112,7 +112,10 @@ def calibrated_cut(scored: DataFrame) -> float:
     # All cuts above the next lower bin do the same; the one nearest to 0 stands for them.
     nearest = F.greatest(F.coalesce(F.lag("bin").over(Window.orderBy("bin")), F.lit(-1001)) + 1, F.least(F.col("bin"), F.lit(0)))
     rated = bins.select(
-        nearest.alias("cut"), (F.sum("yes").over(up) / F.sum("yes").over(every) + F.coalesce(F.sum("no").over(down), F.lit(0)) / F.sum("no").over(every)).alias("rate")
+        nearest.alias("cut"), (
+            F.try_divide(F.sum("yes").over(up), F.sum("yes").over(every))
+            + F.try_divide(F.coalesce(F.sum("no").over(down), F.lit(0)), F.sum("no").over(every))
+        ).alias("rate")  # null if a class is missing
     ).where("rate IS NOT NULL")
     best = rated.orderBy(F.round("rate", 9).desc(), F.abs("cut"), "cut").first()
     return best["cut"] / 100 if best else 0.0
