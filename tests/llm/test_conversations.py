@@ -1,6 +1,7 @@
 """Conversation repair against an exhaustive search and plain Python."""
 
 import random
+import sys
 from functools import lru_cache
 from hashlib import sha256
 from zlib import crc32
@@ -54,7 +55,12 @@ def cheapest(symbols):
                 options.append((cost + 2 + late, "R" + rest))
         return min(options, default=(10**9, ""))
 
-    return best(0, 0, 0)
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(20_000)
+    try:
+        return best(0, 0, 0)
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def expected(rows, seeded):
