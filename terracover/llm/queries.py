@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracover.llm import alignment, conversations, line_dedup, lm, minhash, mixing, packing, quality, substrings, topk, urls, warc
+from terracover.llm import alignment, conversations, line_dedup, lm, minhash, mixing, packing, pii, quality, substrings, topk, urls, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -120,6 +120,12 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.personal_data(docs).drop("key")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
