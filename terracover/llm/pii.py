@@ -5,9 +5,10 @@ miss data that runs into its surroundings: a phone number followed by an address
 in a row, an address written with ``(at)``. Generators of high recall therefore propose
 overlapping spans: stretches of digit groups that may be cards, phones or ips, and texts
 around ``@`` or a bracketed ``at``. A candidate is described by its shape (digits, groups,
-separators, check digit, largest part) and its context (characters and words beside it,
-whether the number goes on). Base spans are positive examples; candidates that cut into a
-base span, fail a check or sit inside a word are negative; the rest is undecided.
+separators, check digit, largest part) and its context (characters and words beside it).
+Whether the number goes on is left out, as base spans swallow what follows them. Base spans
+are positive examples; candidates that cut into a base span, fail a check or sit inside a
+word are negative; the rest is undecided.
 
 Gradient-boosted trees learn from the distinct described examples (weighted by their counts,
 at most ``sample`` of them, by hash); the plus sign of phones is not described, so numbers of
@@ -118,7 +119,6 @@ def _context(text: str, start: int, end: int) -> list[float]:
     before, after = text[max(0, start - 24):start], text[end:end + 24]
     return [
         _beside(before[-1:]), _beside(after[:1]), float(bool(_HINTS.search(before))), float(bool(_HINTS.search(after))),
-        sum(map(str.isdigit, before)) / 24, sum(map(str.isdigit, after)) / 24,
     ]
 
 
@@ -142,12 +142,10 @@ def _number_candidates(text: str) -> Iterator[tuple[int, int, int, list[float],
                 marks = [text[a:b] for (_, a), (b, _) in zip(groups[i:j], groups[i + 1:j + 1])]
                 joined = "".join(marks)
                 sizes = [e - s for s, e in groups[i:j + 1]]
-                wide = [0 < i, j < len(groups) - 1]
                 shape = [
                     float(n), float(count), float(sizes[0]), float(sizes[1] if count > 1 else 0), float(sizes[-1]), float(max(sizes)), float(min(sizes)),
                     float(joined.count(" ")), float(joined.count("-")), float(joined.count(".")), float(joined.count("(") + joined.count(")")),
-                    float(len(joined)), float(wide[0]), float(wide[1]),
-                    float(len(text[groups[i - 1][1]:start])) if i else 0.0, float(len(text[end:groups[j + 1][0]])) if wide[1] else 0.0,
+                    float(len(joined)),
                 ]
                 if count == 4 and joined == "...":
                     fits = all(small_part(x) for x in inner.split("."))
@@ -178,7 +176,7 @@ def _address_candidates(text: str) -> Iterator[tuple[int, int, int, list[float],
             float(m.start() - start), float(len(labels)), float(len(labels[0])), float(len(labels[-1])), float(labels[-1].isalpha()),
             float(max(map(len, labels))), float(any(map(str.isdigit, domain.group()))),
         ]
-        yield start, EMAIL, domain.end(), [*shape, *[0.0] * 9, float(good)], not good
+        yield start, EMAIL, domain.end(), [*shape, *[0.0] * 5, float(good)], not good
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, list[float]]]:
