@@ -27,9 +27,12 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 from terracover.llm.text import rows_in_chunks
 from terracover.sources.staging import stage
 
-BATCH = 4 << 20
+BATCH = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,8 +52,18 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
 
 
+#: Fixed value: how byte-level tokenizers split a text.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose classes all Unicode tables agree on, in runs short enough for merges in quadratic time.
+_RARE = re.compile(r"[^\x00-\x7f\u00a0-\u024f\u2010-\u2027\u20ac\u2122\u4e00-\u9fa5]|\S{1000}|\s{1000}")
+
+
 class ByteLevel:
-    """Encoder A, from a tokenizers file with a byte-level vocabulary."""
+    """Encoder A, from a tokenizers file with a byte-level vocabulary.
+
+    If merges are ranked as their ids are, common texts go through ranks of the same
+    vocabulary, which gives the same ids in a quarter of the time.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,9 +76,32 @@ class ByteLevel:
         self.bytes: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.ranks = self._ranks(path, letters)
+
+    def _ranks(self, path: str, letters: dict[str, int]):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        model, splitter = made["model"], made["pre_tokenizer"]
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if made["normalizer"] or model["type"] != "BPE" or {k: splitter.get(k) for k in plain} != plain:
+            return None
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [model["vocab"].get(x + y, -1) for x, y in pairs]
+        if order != sorted(set(order)) or order[:1] == [-1] or len(order) + 256 != sum(all(c in letters for c in t) for t in model["vocab"]):
+            return None
+        ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if all(c in letters for c in t)}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.coder.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        slow = [i for i, t in enumerate(texts) if self.ranks is None or _RARE.search(t)]
+        out: list[list[int]] = [[]] * len(texts)
+        for i, x in zip(slow, self.coder.encode_batch_fast([" " + texts[i] for i in slow], add_special_tokens=False)):
+            out[i] = x.ids
+        for i in sorted(set(range(len(texts))) - set(slow)):
+            out[i] = self.ranks.encode_ordinary(" " + texts[i])
+        return out
 
 
 class Pieces:
@@ -123,16 +159,21 @@ class Aligner:
         places, first, second = self.tokens(texts)
         n = len(texts)
         out = {"counts": np.zeros((4, n), np.int64), "groups": [""] * n}
-        ids = [np.fromiter((i for x in side for i in x), np.int64, sum(map(len, side))) for side in (first, second)]
+        ids = [np.fromiter(chain.from_iterable(side), np.int64, sum(map(len, side))) for side in (first, second)]
         if not places:
             return out | {"regular": (np.zeros(0, np.int64),) * 2, "irregular": (np.zeros(0, np.int64),) * 3}
         ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids)]
-        either, common = np.union1d(*ends), np.intersect1d(*ends, assume_unique=True)
         # Stretches between ends of either side are the links; groups end where both do.
-        link = [np.searchsorted(e, either) for e in ends]
+        marks = np.zeros((2, ends[0][-1] + 1), bool)
+        for mark, e in zip(marks, ends):
+            mark[e] = True
+        either, common = np.flatnonzero(marks[0] | marks[1]), np.flatnonzero(marks[0] & marks[1])
+        # The token that holds a byte follows all ends before it.
+        before = [np.cumsum(mark, dtype=np.int32) - mark for mark in marks]
+        link = [x[either] for x in before]
         a, b = ids[0][link[0]], ids[1][link[1]]
-        group = np.searchsorted(common, either)
-        last = [np.searchsorted(e, common) for e in ends]
+        group = (np.cumsum(marks[0] & marks[1], dtype=np.int32) - (marks[0] & marks[1]))[either]
+        last = [x[common] for x in before]
         held = [np.diff(x, prepend=-1) for x in last]
         text_ends = np.cumsum([len(t) for t in first]) - 1
         text_of_group = np.searchsorted(ends[0][text_ends], common)

@@ -133,3 +133,20 @@ def test_identity_map(coders):
 def test_query_equals_plain_python(spark, sf_dir, coders):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert results(REGISTRY["op12_alignment"](spark, sf_dir)) == expected(coders, docs)
+
+
+def test_ranks_give_the_ids_of_the_tokenizer(coders):
+    whole = coders[0]
+    assert whole.ranks is not None
+    safe = [chr(c) for c in range(0x250) if not alignment._RARE.search(chr(c))] + [chr(c) for c in (*range(0x2010, 0x2028), 0x20AC, 0x2122, 0x4E00, 0x9FA5)]
+    texts = [x for c in safe for x in (c, f"a{c}b 1{c}2", f" {c} {c}{c}", f"don't{c}'s\n\n {c}")] + ["".join(safe), "a  b\n\n\nc   ", "<|endoftext|> x"]
+    slow = whole.coder.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert whole.encode(texts) == [x.ids for x in slow]
+    assert [x.ids for x in slow] == [whole.ranks.encode_ordinary(" " + t) for t in texts]
+
+
+def test_very_long_runs(coders):
+    aligner = alignment.Aligner(tokenizer(A), tokenizer(B))
+    texts = ["x" * 300_000, " " * 100_000, "word " * 200_000]
+    found = aligner.align(texts)
+    assert found["counts"][0].min() > 0 and (found["counts"][3] >= found["counts"][:2].max(axis=0)).all()
