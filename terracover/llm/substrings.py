@@ -10,30 +10,39 @@ starts in a document with a smaller id. The steps:
    Edges found in several documents form the graph. Paths through nodes with one way in and
    one way out are compacted by pointer doubling: every edge gets a path and a rank.
 3. Runs of a document along a path become spans of source coordinates. Documents with the
-   same stretch of the same path hold the same words there; all but the least are covered.
+   same stretch of the same path, whose k-mers and words between agree by a 128-bit digest
+   over 64-bit hashes, hold the same words there; all but the least are covered.
 4. Windows around repeated nodes that no such span covers are compared by their hash, which
    settles ends of spans, branches and repeats too short for an edge. The least document
    that holds a window never covers it, so none is missed.
 
+The graph holds the selected k-mers only, about two in 35. Results stay exact: every window
+holds a selected k-mer, so equal windows meet at one, and windows that no path covers are
+compared one by one.
+
 Shape of the job: the first pass stages a few numbers per selected k-mer. Copies share a
-class (a digest of all words) and are handled once. Counting is by partial aggregates;
-joins on hot k-mers are ordinary joins that the adaptive skew rule splits. Texts move once,
-compressed, to meet the places found in them.
+class (128 bits of the digest of all words) and are handled once; repeated rows are dropped
+by a grouping before texts move. Counting is by partial aggregates; what is counted is staged
+before rows meet it, so joins on hot k-mers have plain inputs, which the adaptive rules
+broadcast if small and split otherwise. Texts move once, compressed, to meet the places
+found in them.
 
 Defined results: null texts have no words; texts shorter than a window keep all words. Null
 ids rank after all others; documents with equal ids remove nothing from each other, so
-repeated rows keep equal results. An empty table gives an empty table.
+repeated rows keep equal results. Very long texts are handled whole, one at a time. Only the
+two named columns are read; :func:`without_repeats` keeps all columns whatever their names.
+An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b, sha256
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -100,19 +109,19 @@ def _first_pass(length: int):
             for text in batch.column("text").to_pylist():
                 words = words_of(text, False)
                 n = len(words)
-                row: list = [n, sha256(b" ".join(words)).hexdigest(), None, None, None, None]
+                digest = sha256(b" ".join(words))
+                row: list = [n, digest.hexdigest(), None, None, None, None]
                 if n >= length:
                     h = cache.of(words)
                     prefix = rolling.prefix(h)
                     at = np.arange(n - KMER + 1)
                     kmers = rolling.spans(prefix, at, at + KMER)
                     pos = selected(kmers, length - KMER + 1)
-                    seg = rolling.spans(prefix, pos[:-1], pos[1:]).astype(np.uint32).view(np.int32)
-                    digest = int.from_bytes(blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
-                    row[2:] = [digest, pos.astype(np.int32), kmers[pos].view(np.int64), np.append(seg, np.int32(0))]
+                    seg = rolling.spans(prefix, pos[:-1], pos[1:]).view(np.int64)
+                    row[2:] = [digest.digest()[:16], pos.astype(np.int32), kmers[pos].view(np.int64), np.append(seg, np.int64(0))]
                 for column, value in zip(out, row):
                     column.append(value)
-            types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            types = [pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").cast(pa.binary()), batch.column("id"), *[pa.array(c, t) for c, t in zip(out, types)]],
                 names=names,
@@ -132,13 +141,10 @@ def _open_windows(length: int):
     """Per class the hashes of its windows around repeated nodes that no known span covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, rolling, coder, done = WordHashes(), RollingHash(), zstandard.ZstdDecompressor(), set()
+        cache, rolling, coder = WordHashes(), RollingHash(), zstandard.ZstdDecompressor()
         for batch in rows_in_chunks(batches, "packed", BATCH // 4):
-            keep, starts, hashes = [], [], []
-            for i, row in enumerate(batch.select(["cls", "packed", "nodes", "spans"]).to_pylist()):
-                if row["cls"] in done:  # a repeated row
-                    continue
-                done.add(row["cls"])
+            starts, hashes = [], []
+            for row in batch.select(["packed", "nodes", "spans"]).to_pylist():
                 h = cache.of(words_of(coder.decompress(row["packed"]).decode(), False))
                 last = len(h) - length
                 nodes = np.array(row["nodes"], np.int64)
@@ -149,13 +155,12 @@ def _open_windows(length: int):
                 for span in row["spans"] or ():
                     wanted[span["start"]:span["end"] - length + 1] = False
                 at = np.flatnonzero(wanted)
-                keep.append(i)
                 starts.append(at.astype(np.int32))
                 hashes.append(rolling.spans(rolling.prefix(h), at, at + length).view(np.int64))
-            some = batch.select(["cls", "id", "packed", "spans"]).take(pa.array(keep, pa.int32()))
+            some = batch.select(["num", "id", "packed", "spans"])
             yield pa.RecordBatch.from_arrays(
                 [*some.columns, pa.array(starts, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
-                names=["cls", "id", "packed", "spans", "starts", "windows"],
+                names=["num", "id", "packed", "spans", "starts", "windows"],
             )
 
     return run
@@ -180,7 +185,7 @@ def _cut(length: int):
         coder = zstandard.ZstdDecompressor()
         for batch in rows_in_chunks(batches, "packed", BATCH // 4):
             rows = []
-            for row in batch.select(["cls", "packed", "spans", "found"]).to_pylist():
+            for row in batch.select(["num", "packed", "spans", "found"]).to_pylist():
                 gone = merged([(s["start"], s["end"]) for s in row["spans"] or ()] + [(p, p + length) for p in row["found"] or ()])
                 words = words_of(coder.decompress(row["packed"]).decode(), False)
                 left, at = [], 0
@@ -188,10 +193,10 @@ def _cut(length: int):
                     left += words[at:start]
                     at = end
                 left += words[at:]
-                rows.append((row["cls"], len(words) - len(left), sha256(b" ".join(left)).hexdigest(), [{"start": s, "end": e} for s, e in gone]))
+                rows.append((row["num"], len(words) - len(left), sha256(b" ".join(left)).hexdigest(), [{"start": s, "end": e} for s, e in gone]))
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), span))], names=["cls", "lost", "left_sha", "gone"]
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), span))], names=["num", "lost", "left_sha", "gone"]
             )
 
     return run
@@ -229,6 +234,11 @@ def compact(edges: DataFrame) -> DataFrame:
     )
 
 
+def _short(cls: str) -> Column:
+    """64 bits of a class, enough to tell whether there is more than one."""
+    return F.xxhash64(cls)
+
+
 def path_spans(places: DataFrame, ranks: DataFrame, length: int) -> DataFrame:
     """(cls, spans): long stretches that a class shares with one of lower rank, by paths of the graph.
 
@@ -237,28 +247,31 @@ def path_spans(places: DataFrame, ranks: DataFrame, length: int) -> DataFrame:
     order = Window.partitionBy("cls").orderBy("i")
     after = F.lead(F.struct("i", "node", "pos")).over(order)
     steps = places.withColumn("after", after).where("after.i = i + 1").select(
-        "cls", "i", "pos", F.col("after.pos").alias("to"), F.xxhash64("node", "after.node", "seg").alias("eid"),
+        "cls", "i", "pos", F.col("after.pos").alias("to"), "seg", F.xxhash64("node", "after.node", "seg").alias("eid"),
         F.col("node").alias("u"), F.col("after.node").alias("v"),
     )
     steps = stage(steps, "graph-steps")
     edges = stage(
-        steps.groupBy("eid", "u", "v").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
+        steps.groupBy("eid", "u", "v").agg(F.min(_short("cls")).alias("low"), F.max(_short("cls")).alias("high"))
         .where("low <> high").select("eid", "u", "v"), "graph-edges",
     )
-    along = steps.join(compact(edges), "eid").withColumn(
+    paths = stage(compact(edges), "graph-paths")
+    along = steps.join(paths, "eid").withColumn(
         # A run moves along its path one rank at a time.
         "step", F.coalesce(
             (F.lag(F.struct("i", "path", "rank")).over(order) == F.struct(
                 (F.col("i") - 1).cast("int").alias("i"), "path", (F.col("rank") - 1).alias("rank"))).cast("int"), F.lit(0))
     ).withColumn("run", F.sum(1 - F.col("step")).over(order))
+    content = ["rank", "u", "v", "seg"]
     runs = along.groupBy("cls", "path", "run").agg(
-        F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("pos").alias("start"), (F.max("to") + KMER).alias("end")
+        F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("pos").alias("start"), (F.max("to") + KMER).alias("end"),
+        F.bit_xor(F.xxhash64(*content)).alias("digest"), F.bit_xor(F.xxhash64(F.lit(1), *content)).alias("digest2"),
     ).where(F.col("end") - F.col("start") >= length).join(ranks, "cls")
-    runs = stage(runs, "graph-runs")
-    same = ["path", "low", "high"]
-    owner = runs.groupBy(*same).agg(F.min("rank").alias("least"), F.min(F.col("end") - F.col("start")).alias("size"))
-    # Coordinates must agree: equal stretches have equal lengths in words.
-    shared = runs.join(owner, same).where((F.col("rank") > F.col("least")) & (F.col("end") - F.col("start") == F.col("size")))
+    runs = stage(runs.withColumn("size", F.col("end") - F.col("start")), "graph-runs")
+    # Names of edges may clash: stretches are equal if their k-mers, the words between and their lengths are.
+    same = ["path", "low", "high", "size", "digest", "digest2"]
+    owner = stage(runs.groupBy(*same).agg(F.min("rank").alias("least")), "graph-owners")
+    shared = runs.join(owner, same).where(F.col("rank") > F.col("least"))
     return shared.groupBy("cls").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("spans"))
 
 
@@ -268,41 +281,43 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = source.schema["id"].dataType.simpleString()
     table = stage(source.mapInArrow(
         _first_pass(length),
-        f"key binary, id {kind}, n_words bigint, sha string, cls bigint, pos array<int>, node array<bigint>, seg array<int>",
+        f"key binary, id {kind}, n_words bigint, sha string, cls binary, pos array<int>, node array<bigint>, seg array<bigint>",
     ), "kmers")
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))
     longs = table.where("cls IS NOT NULL")
+    # Classes get short numbers once; the staged table is what all later steps see.
     classes = stage(longs.groupBy("cls").agg(F.min(F.struct(rank.alias("rank"), "key")).alias("least")).select(
-        "cls", F.col("least.rank").alias("rank"), F.col("least.key").alias("rep")
+        "cls", F.monotonically_increasing_id().alias("num"), F.col("least.rank").alias("rank"), F.col("least.key").alias("rep")
     ), "kmer-classes")
-    repeated = (
-        longs.select("cls", F.explode(F.array_distinct("node")).alias("node")).groupBy("node")
-        .agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("node")
+    repeated = stage(
+        longs.select(_short("cls").alias("short"), F.explode(F.array_distinct("node")).alias("node")).groupBy("node")
+        .agg(F.min("short").alias("low"), F.max("short").alias("high")).where("low <> high").select("node"), "kmer-repeated"
     )
     each = longs.select("cls", F.posexplode(F.arrays_zip("node", "pos", "seg")).alias("i", "x")).select("cls", "i", "x.node", "x.pos", "x.seg")
     places = stage(large_join(each, repeated, "node").select("cls", "i", "pos", "node", "seg").distinct(), "kmer-places")
     spans = path_spans(places, classes.select("cls", "rank"), length)
     where = places.groupBy("cls").agg(F.sort_array(F.collect_list("pos")).alias("nodes"))
-    asked = classes.select("cls", "rep", F.col("rank.id").alias("id")).join(where, "cls").join(spans, "cls", "left")
-    texts = source.select("key", "text").mapInArrow(_compress, "key binary, packed binary")
-    met = texts.join(asked.hint("shuffle_hash"), F.col("key") == F.col("rep")).select("cls", "id", "packed", "nodes", "spans")
+    asked = classes.select("cls", "num", "rep", F.col("rank.id").alias("id")).join(where, "cls").join(spans, "cls", "left")
+    # Equal rows share a key: one of them is kept, and the join needs no exchange after that.
+    texts = source.select("key", "text").mapInArrow(_compress, "key binary, packed binary").dropDuplicates(["key"])
+    met = texts.join(asked.hint("shuffle_hash"), F.col("key") == F.col("rep")).select("num", "id", "packed", "nodes", "spans")
     opened = stage(met.mapInArrow(
         _open_windows(length),
-        f"cls bigint, id {kind}, packed binary, spans array<struct<start:int,end:int>>, starts array<int>, windows array<bigint>",
+        f"num bigint, id {kind}, packed binary, spans array<struct<start:int,end:int>>, starts array<int>, windows array<bigint>",
     ), "windows")
-    first = (
+    first = stage(
         opened.select(rank.alias("rank"), F.explode(F.array_distinct("windows")).alias("window")).groupBy("window")
-        .agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("least < most").select("window", "least")
+        .agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("least < most").select("window", "least"), "windows-first"
     )
-    held = opened.select("cls", rank.alias("rank"), F.explode(F.arrays_zip("windows", "starts")).alias("x"))
+    held = opened.select("num", rank.alias("rank"), F.explode(F.arrays_zip("windows", "starts")).alias("x"))
     found = (
-        large_join(held.select("cls", "rank", F.col("x.windows").alias("window"), F.col("x.starts").alias("start")), first, "window").where(F.col("rank") > F.col("least"))
-        .groupBy("cls").agg(F.collect_list("start").alias("found"))
+        large_join(held.select("num", "rank", F.col("x.windows").alias("window"), F.col("x.starts").alias("start")), first, "window").where(F.col("rank") > F.col("least"))
+        .groupBy("num").agg(F.collect_list("start").alias("found"))
     )
-    cut = opened.select("cls", "packed", "spans").join(found.hint("shuffle_hash"), "cls", "left").where("found IS NOT NULL OR size(spans) > 0").mapInArrow(
-        _cut(length), "cls bigint, lost bigint, left_sha string, gone array<struct<start:int,end:int>>"
+    cut = opened.select("num", "packed", "spans").join(found.hint("shuffle_hash"), "num", "left").where("found IS NOT NULL OR size(spans) > 0").mapInArrow(
+        _cut(length), "num bigint, lost bigint, left_sha string, gone array<struct<start:int,end:int>>"
     )
-    known = classes.select("cls", "rank").join(cut, "cls", "left")
+    known = classes.select("cls", "num", "rank").join(cut, "num", "left")
     rows = table.select("key", "id", "n_words", "sha", "cls").join(known.withColumnRenamed("cls", "of"), F.col("cls") == F.col("of"), "left")
     copy = rank > F.col("rank")  # null for texts shorter than a window
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
