@@ -222,6 +222,63 @@ utm AS (SELECT zone, r, c, e0, n0,
 pos AS (SELECT zone, r, c, (n0 - north) / 20 - 0.5e0 AS fr, (east - e0) / 20 - 0.5e0 AS fc FROM utm)"""
 
 
+# Georeferenced rings: cut into short pieces, projected end by end, tested cell by cell.
+_OCTAGON = ((1.0, 0.0), (0.7, 0.7), (0.0, 1.0), (-0.7, 0.7), (-1.0, 0.0), (-0.7, -0.7), (0.0, -1.0), (0.7, -0.7))
+_CORNERS = ", ".join(f"({i}, {dx}e0, {dy}e0)" for i, (dx, dy) in enumerate(_OCTAGON))
+
+
+def _utm_of(source: str, name: str, lon: str, lat: str, x: str, y: str) -> str:
+    """CTEs that add UTM coordinates of the row's own zone (``lon_c``, ``fn``) to a relation."""
+    return f"""{name}1 AS (SELECT s.*, ell.e2, ell.ep, ell.m0, radians({lat}) AS ph, radians({lon} - lon_c) AS lam FROM {source} s, ell),
+{name}2 AS (SELECT *, {_A} / sqrt(1 - e2 * sin(ph) ** 2) AS nn, tan(ph) ** 2 AS tt, ep * cos(ph) ** 2 AS cc, cos(ph) * lam AS aa,
+   {_A} * (m0 * ph - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * sin(2 * ph)
+     + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * sin(4 * ph) - 35 * e2 ** 3 / 3072 * sin(6 * ph)) AS mm FROM {name}1),
+{name} AS (SELECT * EXCLUDE (e2, ep, m0, ph, lam, nn, tt, cc, aa, mm),
+   5e5 + {_K0} * nn * (aa + (1 - tt + cc) * aa ** 3 / 6 + (5 - 18 * tt + tt ** 2 + 72 * cc - 58 * ep) * aa ** 5 / 120) AS {x},
+   fn + {_K0} * (mm + nn * tan(ph) * (aa ** 2 / 2 + (5 - tt + 9 * cc + 4 * cc ** 2) * aa ** 4 / 24
+     + (61 - 58 * tt + tt ** 2 + 600 * cc - 330 * ep) * aa ** 6 / 720)) AS {y} FROM {name}2)"""
+
+
+_PLACED = f"""{_EDGES},
+el AS (SELECT {_F} * (2 - {_F}) AS e2),
+ell AS (SELECT e2, e2 / (1 - e2) AS ep, 1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256 AS m0 FROM el),
+scn AS (SELECT zone, height, width, 6 * (18 + zone % 2) - 183 AS lon_c, CASE WHEN zone >= 3 THEN 1e7 ELSE 0e0 END AS fn,
+               5e5 + zone * 2e4 AS e0, CASE WHEN zone >= 3 THEN 9.9e6 ELSE 6e5 END AS n0 FROM extent),
+parcel AS (
+  SELECT scn.*, s_suppkey, h.ring, o.seq,
+         s_suppkey * 29 % width + 0.41e0 + (1.7e0 + s_nationkey % 6) * h.scale * o.dx AS px,
+         s_suppkey * 13 % height + 0.37e0 + (1.7e0 + s_nationkey % 6) * h.scale * o.dy AS py
+  FROM supplier JOIN scn ON scn.zone = s_suppkey % 5, (VALUES (0, 1e0), (1, 0.4e0)) h(ring, scale), (VALUES {_CORNERS}) o(seq, dx, dy)
+  WHERE h.ring = 0 OR s_suppkey % 3 = 0),
+degree AS (SELECT *, -75e0 + zone % 2 * 6 + zone * 0.18e0 + px * 0.00018e0 AS lon,
+                  CASE WHEN zone >= 3 THEN -0.9045e0 ELSE 5.4284e0 END - py * 0.00018e0 AS lat FROM parcel),
+side AS (
+  SELECT *, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS lon2, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS lat2
+  FROM degree WINDOW w AS (PARTITION BY s_suppkey, ring ORDER BY seq)),
+sliced AS (SELECT *, greatest(1, ceil(greatest(abs(lon2 - lon), abs(lat2 - lat)) / (20e0 / 111320e0 * 4e0))) AS n FROM side),
+slice AS (SELECT *, unnest(range(0, CAST(n AS BIGINT))) AS k FROM sliced),
+bit AS (SELECT zone, s_suppkey, ring, seq, k, lon_c, fn, e0, n0,
+   lon + (lon2 - lon) * k / n AS u1, lat + (lat2 - lat) * k / n AS v1,
+   CASE WHEN k + 1 = n THEN lon2 ELSE lon + (lon2 - lon) * (k + 1) / n END AS u2,
+   CASE WHEN k + 1 = n THEN lat2 ELSE lat + (lat2 - lat) * (k + 1) / n END AS v2 FROM slice),
+{_utm_of("bit", "head", "u1", "v1", "ea", "na")},
+{_utm_of("head", "tail", "u2", "v2", "eb", "nb")},
+placed AS (
+  SELECT zone, 'forest' AS layer, CAST(s_suppkey AS INT) AS poly_id, ring,
+         (ea - e0) / 20 AS x1, (na - n0) / -20 AS y1, (eb - e0) / 20 AS x2, (nb - n0) / -20 AS y2 FROM tail
+  UNION ALL SELECT zone, layer, poly_id, 0, x1, y1, x2, y2 FROM edge WHERE layer = 'perimeter')"""
+
+_PLACED_CELLS = f"""{_PLACED},
+grid AS (SELECT e.zone, CAST(rr.r AS INT) AS r, CAST(cc.c AS INT) AS c
+         FROM extent e, LATERAL (SELECT unnest(range(0, e.height)) AS r) rr, LATERAL (SELECT unnest(range(0, e.width)) AS c) cc),
+reach AS (SELECT *, CAST(unnest(range(CAST(floor(least(y1, y2)) AS BIGINT), CAST(ceil(greatest(y1, y2)) AS BIGINT) + 1)) AS INT) AS r FROM placed),
+hit AS (
+  SELECT g.zone, k.layer, k.poly_id, g.r, g.c FROM grid g JOIN reach k ON k.zone = g.zone AND k.r = g.r
+  WHERE (k.y1 > g.r + 0.5e0) <> (k.y2 > g.r + 0.5e0) AND g.c + 0.5e0 < (k.x2 - k.x1) * (g.r + 0.5e0 - k.y1) / (k.y2 - k.y1) + k.x1
+  GROUP BY ALL HAVING count(*) % 2 = 1),
+cell AS (SELECT DISTINCT zone, layer, r, c FROM hit)"""
+
+
 def _interpolated(digits: int) -> str:
     """Weighted mean of the up to four ``src`` cells around every ``pos`` row."""
     weight = "(1 - abs(fr - s.r)) * (1 - abs(fc - s.c))"
@@ -288,6 +345,15 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT doc_id, NULL, NULL, text, lang, source, n_chars FROM documents""",
         "polygon_edges": f"""WITH {_EDGES} SELECT zone, layer, poly_id, seq, round(x1, 9) AS x1, round(y1, 9) AS y1,
             round(x2, 9) AS x2, round(y2, 9) AS y2 FROM edge""",
+        "place_edges": f"""WITH {_PLACED} SELECT zone, layer, poly_id, ring, count(*) AS n_edges, round(min(x1), 5) AS x1_min,
+            round(min(y1), 5) AS y1_min, round(max(x2), 5) AS x2_max, round(max(y2), 5) AS y2_max, round(sum(x1 * y2 - x2 * y1), 5) AS area2
+            FROM placed GROUP BY ALL""",
+        "place_layers": f"WITH {_PLACED_CELLS} SELECT zone, layer, r, c FROM cell",
+        "label_grid_placed": f"""WITH {_PLACED_CELLS},
+            wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'), farm AS (SELECT zone, r, c FROM cell WHERE layer = 'perimeter'),
+            core AS {_eroded("wood", 1)}
+            SELECT g.zone, g.r, g.c, CAST(CASE WHEN f.zone IS NULL THEN -1 WHEN k.zone IS NULL THEN 0 ELSE 1 END AS SMALLINT) AS label
+            FROM grid g LEFT JOIN farm f USING (zone, r, c) LEFT JOIN core k USING (zone, r, c)""",
         "scale_reflectance": f"WITH {_PX} SELECT zone, scene, {ends}, {sums} FROM bands GROUP BY ALL",
         "spectral_indices": f"""WITH {_PX} SELECT zone, r, c, ts, round(b03, 9) AS b03, round(b04, 9) AS b04,
             round(b8a, 9) AS b8a, round(ndvi, 9) AS ndvi, round(ndwi, 9) AS ndwi FROM px""",

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grid import acquisition_time, bounds_check, clamp_index, grid_index, pixel_center, tile_epsg
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
-from terracover.operators import dataset, metrics, models, quality, regrid, splits, weights
+from terracover.operators import dataset, metrics, models, placement, quality, regrid, splits, weights
 from terracover.operators.composite import (
     FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
@@ -428,6 +428,35 @@ def rasterize_polygons(spark, sf_dir):
     return _polygon_cells(spark, sf_dir)
 
 
+def _placed(spark, sf_dir):
+    """Georeferenced rings and the grids they are placed on."""
+    grids = stage(land.scene_grids(spark, sf_dir), "grids")
+    return land.georeferenced_rings(spark, sf_dir, grids), grids
+
+
+@query
+def place_edges(spark, sf_dir):
+    """Rings in degrees and metres as edges in cell units."""
+    edges = placement.place_edges(*_placed(spark, sf_dir))
+    return rounded(edges.groupBy("zone", "layer", "poly_id", "ring").agg(
+        F.count(F.lit(1)).alias("n_edges"), *(F.min(c).alias(f"{c}_min") for c in ("x1", "y1")), *(F.max(c).alias(f"{c}_max") for c in ("x2", "y2")),
+        F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")).alias("area2"),
+    ), 5)
+
+
+@query
+def place_layers(spark, sf_dir):
+    """Cells of georeferenced layers, holes left out."""
+    return placement.place_layers(*_placed(spark, sf_dir))
+
+
+@query
+def label_grid_placed(spark, sf_dir):
+    """Label grid from georeferenced layers."""
+    rings, grids = _placed(spark, sf_dir)
+    return label_grid(placement.place_edges(rings, grids), grids.select("zone", "height", "width"))
+
+
 @query
 def label_grid_query(spark, sf_dir):
     return _labels(spark, sf_dir)

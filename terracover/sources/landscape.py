@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from terracover.functions.hashing import key_digest, unit_interval
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
+from terracover.operators.joins import lookup_join
 
 CELL = ("zone", "r", "c")
 BLOCK_ROWS = 40
@@ -178,6 +179,45 @@ def utm_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scene_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grids of :func:`utm_scenes` with their reference code and affine terms."""
+    return utm_scenes(spark, sf_dir).selectExpr(
+        "zone", "height", "width", "CASE WHEN south THEN 32700 ELSE 32600 END + utm_zone AS grid_epsg",
+        "pixel AS a", "0D AS b", "east0 AS c", "0D AS d", "-pixel AS e", "north0 AS f",
+    )
+
+
+# Corners of a parcel around its centre, and the inner ring of every third one.
+OCTAGON = ((1.0, 0.0), (0.7, 0.7), (0.0, 1.0), (-0.7, 0.7), (-1.0, 0.0), (-0.7, -0.7), (0.0, -1.0), (0.7, -0.7))
+HOLE = 0.4
+
+
+def georeferenced_rings(spark: SparkSession, sf_dir: str, grids: DataFrame) -> DataFrame:
+    """Polygon vertices with codes: a forest parcel per supplier in degrees, perimeters in metres."""
+    corners = F.array(*(F.struct(F.lit(i).alias("seq"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for i, (dx, dy) in enumerate(OCTAGON)))
+    rings = F.expr(f"CASE WHEN s_suppkey % 3 = 0 THEN array(1D, {HOLE}D) ELSE array(1D) END")
+    sized = table(spark, sf_dir, "supplier").select(F.expr("CAST(s_suppkey % 5 AS INT) AS zone"), "s_suppkey", "s_nationkey")
+    forest = (
+        lookup_join(sized, grids.select("zone", "height", "width"), "zone")
+        .select("*", F.posexplode(rings).alias("ring", "scale")).select("*", F.explode(corners).alias("v"))
+        .withColumns({
+            "x": F.expr("s_suppkey * 29 % width + 0.41D + (1.7D + s_nationkey % 6) * scale * v.dx"),
+            "y": F.expr("s_suppkey * 13 % height + 0.37D + (1.7D + s_nationkey % 6) * scale * v.dy"),
+        })
+        .select(
+            "zone", F.lit("forest").alias("layer"), F.col("s_suppkey").cast("int").alias("poly_id"), "ring", "v.seq",
+            F.expr("-75D + zone % 2 * 6 + zone * 0.18D + x * 0.00018D").alias("x"),
+            F.expr("CASE WHEN zone >= 3 THEN -0.9045D ELSE 5.4284D END - y * 0.00018D").alias("y"), F.lit(4326).alias("epsg"),
+        )
+    )
+    perimeter = lookup_join(vertices(spark, sf_dir, grids.select("zone", "height", "width")).where("layer = 'perimeter'"),
+                            grids.select("zone", "grid_epsg", "a", "c", "e", "f"), "zone").select(
+        "zone", "layer", "poly_id", F.lit(0).alias("ring"), "seq",
+        (F.col("c") + F.col("a") * F.col("x")).alias("x"), (F.col("f") + F.col("e") * F.col("y")).alias("y"), F.col("grid_epsg").alias("epsg"),
+    )
+    return forest.unionByName(perimeter)
+
+
 def cell_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest reading of every band and index per occupied cell, as resampling source."""
     pixels = reflectances(spark, sf_dir)
