@@ -396,6 +396,17 @@ def oracle_sql() -> dict[str, str]:
         "clear_whitelist": f"WITH {_PX} SELECT zone, r, c, ts, scl FROM px WHERE scl IN (4, 5, 6)",
         "dilate_mask": f"""WITH {_PX}, o AS (SELECT dr, dc FROM range(-2, 3) a(dr), range(-2, 3) b(dc) WHERE abs(dr) + abs(dc) <= 2)
             SELECT DISTINCT zone, scene, CAST(r + dr AS INT) AS r, CAST(c + dc AS INT) AS c FROM px, o WHERE scl IN (8, 9)""",
+        "dilate_far": f"""WITH {_PX},
+            cloud AS (SELECT DISTINCT zone, scene, r, c FROM px WHERE scl IN (8, 9)),
+            step AS (SELECT CAST(a AS INT) AS dr, CAST(b AS INT) AS dc FROM range(-12, 13) x(a), range(-12, 13) y(b) WHERE abs(a) + abs(b) <= 12)
+            SELECT zone, scene, r + dr AS r, c + dc AS c, min(abs(dr) + abs(dc)) AS distance FROM cloud, step GROUP BY ALL""",
+        "erode_far": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest')
+            SELECT * FROM {_eroded("wood", 7)}""",
+        "forest_depth": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'),
+            step AS (SELECT CAST(a AS INT) AS dr, CAST(b AS INT) AS dc FROM range(-15, 16) x(a), range(-15, 16) y(b) WHERE abs(a) + abs(b) <= 15),
+            around AS (SELECT zone, r, c, r + dr AS rr, c + dc AS cc, abs(dr) + abs(dc) AS d FROM wood, step)
+            SELECT a.zone, a.r, a.c, CAST(least(15, coalesce(min(d) FILTER (w.zone IS NULL), 15)) AS INT) AS depth
+            FROM around a LEFT JOIN wood w ON w.zone = a.zone AND w.r = a.rr AND w.c = a.cc GROUP BY ALL""",
         "erode_mask": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest')
             SELECT * FROM {_eroded("wood", 2)}""",
         "clear_stats": f"""WITH {_mask()} SELECT zone, scene, CAST(sum(clear) AS BIGINT) AS n_clear, count(*) AS n_total,

@@ -25,7 +25,7 @@ from terracover.operators.labels import erosion_stats, label_counts, label_grid
 from terracover.operators.masks import (
     clear_before_dilation, clear_mask, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
-from terracover.operators.morphology import dilate, erode
+from terracover.operators.morphology import dilate, erode, l1_depth, l1_reach
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
 from terracover.plans import jobs
 from terracover.sources import catalog, landscape as land, sinks
@@ -315,6 +315,26 @@ def erode_mask(spark, sf_dir):
     return erode(cells.where("layer = 'forest'").select(*CELL), ["zone"], 2)
 
 
+@query
+def dilate_far(spark, sf_dir):
+    """Cells within 12 of a cloud-class cell of their scene, with the distance."""
+    clouds = _px(spark, sf_dir).where(F.col("scl").isin(8, 9)).select("zone", "scene", "r", "c").distinct()
+    return l1_reach(clouds, ["zone", "scene"], 12)
+
+
+@query
+def erode_far(spark, sf_dir):
+    cells = _polygon_cells(spark, sf_dir)
+    return erode(cells.where("layer = 'forest'").select(*CELL), ["zone"], 7)
+
+
+@query
+def forest_depth(spark, sf_dir):
+    """Distance of every forest cell to the forest's edge, up to 15 cells."""
+    cells = _polygon_cells(spark, sf_dir)
+    return l1_depth(cells.where("layer = 'forest'").select(*CELL), ["zone"], 15)
+
+
 @query
 def clear_stats_query(spark, sf_dir):
     return rounded(clear_stats(clear_mask(_px(spark, sf_dir))))
