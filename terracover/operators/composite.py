@@ -24,12 +24,12 @@ def valid_observations(px: DataFrame, first_band: str = "b02", nodata: float = 0
 
 def temporal_composite(
     obs: DataFrame, keys=CELL, bands=FEATURES, index: str = "ndvi", spread=(0.10, 0.90),
-    rule: str = "nearest", limit: int = GROUP_LIMIT, at_most: DataFrame | None = None,
+    rule: str = "nearest", limit: int = GROUP_LIMIT, at_most: DataFrame | None = None, together: bool = False,
 ) -> DataFrame:
     """Median of every band, low/high quantile and range of ``index``, and ``n_obs``.
 
     ``rule`` is the quantile rule of the spread: ``nearest`` (default) or ``linear``.
-    ``at_most`` is passed on to the group size check (see ``group_quantiles``).
+    ``at_most`` and ``together`` are passed on (see ``group_quantiles``).
     """
     bands = [b for b in bands if b in obs.columns]
     wanted = {f"{b}_med": (b, "median", 0.5) for b in bands}
@@ -37,7 +37,7 @@ def temporal_composite(
         low, high = (f"{index}_p{round(q * 100)}" for q in spread)
         wanted[low] = (index, rule, spread[0])
         wanted[high] = (index, rule, spread[1])
-    composite = group_quantiles(obs, keys, wanted, limit=limit, at_most=at_most)
+    composite = group_quantiles(obs, keys, wanted, limit=limit, at_most=at_most, together=together)
     if index in bands:
         composite = composite.withColumn(f"{index}_range", F.col(high) - F.col(low))
     return composite

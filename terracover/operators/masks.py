@@ -101,6 +101,20 @@ def masked_observations(px: DataFrame, mask: DataFrame, keys=SCENE) -> DataFrame
     return large_join(px, clear, [*keys, "r", "c"], "left_semi")
 
 
+def clear_scenes(mask: DataFrame, cell=("zone", "r", "c"), scene: str = "scene") -> DataFrame:
+    """One row per cell with the list of scenes in which it is clear: a mask that lies with the pixels.
+
+    A cell has at most as many entries as its zone has scenes.
+    """
+    return mask.where("clear = 1").groupBy(*cell).agg(F.sort_array(F.collect_list(scene)).alias("clear_scenes"))
+
+
+def masked_by_cell(px: DataFrame, scenes: DataFrame, cell=("zone", "r", "c"), scene: str = "scene") -> DataFrame:
+    """Observations on clear cells, met by the cell alone, so that stored buckets of cells need no exchange."""
+    met = large_join(px, scenes, list(cell))
+    return met.where(F.array_contains("clear_scenes", F.col(scene))).select(*px.columns)
+
+
 def clear_stats(mask: DataFrame, zone: str = "zone", scene: str = "scene") -> DataFrame:
     """Clear and total cells per scene, per zone and overall in one rollup."""
     return (

@@ -47,10 +47,10 @@ def histogram_quantiles(
     return totals.groupBy(*keys).agg(*picks).select(*keys, *outputs)
 
 
-def _gathered(df, keys, wanted, count_name):
+def _gathered(df, keys, wanted, count_name, together=False):
     columns = sorted({column for column, _, _ in wanted.values()})
     # Gathering does not shrink rows, so they are shuffled flat and gathered once.
-    looks = df.repartition(*keys).groupBy(*keys).agg(
+    looks = (df if together else df.repartition(*keys)).groupBy(*keys).agg(
         F.collect_list(F.struct(*(reading(F.col(c)).alias(c) for c in columns))).alias("looks")
     )
     # One array per column, handled by one lambda per rule: code generated per column
@@ -98,7 +98,7 @@ def _counted(df, keys, wanted, count_name, limit):
 
 def group_quantiles(
     df: DataFrame, keys, wanted: dict[str, tuple[str, str, float]],
-    count_name: str = "n_obs", limit: int = GROUP_LIMIT, at_most: DataFrame | None = None,
+    count_name: str = "n_obs", limit: int = GROUP_LIMIT, at_most: DataFrame | None = None, together: bool = False,
 ) -> DataFrame:
     """``wanted`` maps an output name to ``(column, rule, q)``; adds the row count.
 
@@ -107,6 +107,7 @@ def group_quantiles(
     which group sizes are checked (e.g. ``df`` before an expensive filter). Readings
     become doubles before the route is chosen, and NULL keys are groups like any other, so
     ``limit`` never changes a result. A gathered group holds at most ``GROUP_BYTES``.
+    ``together`` says that the rows of a key are in one partition already (stored buckets).
     """
     keys = list(keys)
     columns = sorted({column for column, _, _ in wanted.values()})
@@ -114,7 +115,7 @@ def group_quantiles(
     limit = min(limit, GROUP_BYTES // (16 + 8 * len(columns)))
     heavy = heavy_groups(df if at_most is None else at_most, keys, limit)
     if heavy is None:
-        return _gathered(df, keys, wanted, count_name)
+        return _gathered(df, keys, wanted, count_name, together)
     usual = _gathered(lookup_join(df, heavy, keys, "left_anti", null_safe=True), keys, wanted, count_name)
     hot = _counted(lookup_join(df, heavy, keys, "left_semi", null_safe=True), keys, wanted, count_name, limit)
     return usual.unionByName(hot)

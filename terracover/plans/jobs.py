@@ -9,7 +9,7 @@ from terracover.operators import models
 from terracover.operators.composite import temporal_composite, valid_observations
 from terracover.operators.dataset import feature_columns, join_labels
 from terracover.operators.labels import label_grid
-from terracover.operators.masks import clear_mask, masked_observations
+from terracover.operators.masks import clear_mask, masked_by_cell, masked_observations
 from terracover.operators.metrics import evaluation
 from terracover.operators.report import evaluation_report
 from terracover.operators.splits import hash_split
@@ -30,6 +30,17 @@ def build_training(px: DataFrame, edges: DataFrame, extent: DataFrame, erosion_p
     return join_labels(composite, label_grid(edges, extent, erosion_px))
 
 
+def stored_training(obs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Training rows from buckets of observations and labels (see ``sources.store``): no exchange."""
+    return join_labels(temporal_composite(obs, together=True), labels)
+
+
+def stored_masked_composite(px: DataFrame, scenes: DataFrame) -> DataFrame:
+    """Masked composite from buckets of pixels and of their clear scenes: no exchange."""
+    clear = valid_observations(masked_by_cell(px, scenes))
+    return temporal_composite(clear, at_most=px, together=True)
+
+
 def train_models(
     table: DataFrame, keys=("zone", "r", "c"), grids: dict | None = None, metric: str = "areaUnderPR",
     test: float = 0.15, seed: int = 42, weights_from: str = "train", parallelism: int = 8,

@@ -420,6 +420,13 @@ def oracle_sql() -> dict[str, str]:
         "enough_per_class": """SELECT doc_id, quality AS label FROM labels
             WHERE quality IN (SELECT quality FROM labels GROUP BY quality HAVING count(*) >= 100)""",
         "zone_subset": f"WITH {_PX} SELECT zone, count(*) AS n FROM px WHERE zone IN (0, 1, 3) GROUP BY zone",
+        "clip_pruned": f"""WITH {_PLACED_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
+            FROM px SEMI JOIN (SELECT * FROM hit WHERE layer = 'forest' AND poly_id % 10 IN (2, 7)) k USING (zone, r, c)""",
+        "training_table_stored": f"""WITH {_PIXEL_LABELS}, comp AS ({_composite("obs", _ALL)})
+            SELECT comp.*, label FROM comp JOIN pixel_label USING (zone, r, c) WHERE label <> -1""",
+        "masked_composite_stored": f"""WITH {_mask()},
+            kept AS (SELECT px.* FROM px JOIN mask USING (zone, scene, r, c) WHERE clear = 1 AND b02 <> 0)
+            {_composite("kept", _ALL)}""",
         "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM px SEMI JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c)""",
         "clip_outcome": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'),

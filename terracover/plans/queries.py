@@ -23,12 +23,12 @@ from terracover.operators.composite import (
 from terracover.operators.joins import lookup_join
 from terracover.operators.labels import erosion_stats, label_counts, label_grid
 from terracover.operators.masks import (
-    clear_before_dilation, clear_mask, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
+    clear_before_dilation, clear_mask, clear_scenes, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
 from terracover.operators.morphology import dilate, erode, l1_depth, l1_reach
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
 from terracover.plans import jobs
-from terracover.sources import catalog, landscape as land, sinks
+from terracover.sources import catalog, landscape as land, sinks, store
 from terracover.sources.readers import raster_to_pixels, read_union, read_zones, zone_status
 from terracover.sources.session import tune
 from terracover.sources.staging import stage, staging_path
@@ -371,6 +371,23 @@ def clip_perimeter(spark, sf_dir):
     return rounded(clip_to_layer(px, _edges(spark, sf_dir, extent), extent))
 
 
+def _chosen_parcels(spark, sf_dir):
+    """Placed forest parcels of two owners, and their grids."""
+    rings, grids = _placed(spark, sf_dir)
+    return placement.place_edges(rings.where("layer = 'forest' AND poly_id % 10 IN (2, 7)"), grids), grids.select("zone", "height", "width")
+
+
+@query
+def clip_pruned(spark, sf_dir):
+    """Looks inside a few parcels, read from sorted files within the parcels' bounds."""
+    path = staging_path(spark, "sorted")
+    store.write_sorted(_px(spark, sf_dir).select(*CELL, "ts", *FEATURES), path)
+    edges, extent = _chosen_parcels(spark, sf_dir)
+    edges = stage(edges, "parcels")
+    near = store.within(spark.read.parquet(path), store.layer_bounds(edges, extent))
+    return rounded(clip_to_layer(near, edges, extent, "forest"))
+
+
 @query
 def clip_outcome_query(spark, sf_dir):
     """Looks of one day and zone as a scene; days without a look in the forest layer stay whole."""
@@ -387,6 +404,26 @@ def clip_reduction_query(spark, sf_dir):
     return rounded(clip_reduction(px, clipped))
 
 
+# stored pixels ---------------------------------------------------------------------
+
+@query
+def training_table_stored(spark, sf_dir):
+    """Training rows from bucketed observations and labels."""
+    obs = stage(_obs(spark, sf_dir).select(*CELL, *FEATURES), "obs")
+    buckets = store.bucket_count(obs.count())
+    labels = store.store_buckets(_labels(spark, sf_dir), buckets, name="labels")
+    return rounded(jobs.stored_training(store.store_buckets(obs, buckets, name="obs"), labels))
+
+
+@query
+def masked_composite_stored(spark, sf_dir):
+    """Masked composite from bucketed pixels and clear scenes."""
+    px = stage(_px(spark, sf_dir).select(*CELL, "scene", "scl", *FEATURES), "px")
+    buckets = store.bucket_count(px.count())
+    scenes = store.store_buckets(clear_scenes(clear_mask(px)), buckets, name="clear")
+    return rounded(jobs.stored_masked_composite(store.store_buckets(px, buckets, name="px"), scenes))
+
+
 # composites ------------------------------------------------------------------------
 
 @query
