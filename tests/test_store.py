@@ -98,10 +98,10 @@ def test_bounds_reach_the_scan_and_skip_rows(spark, tmp_path):
 def test_many_zones_share_bounds_and_none_give_no_rows(spark):
     edges = spark.createDataFrame([(z, "f", 1.2, 2.6 + z, 9.4, 8.8 + z) for z in range(10)] + [(10, "f", -9.0, -9.0, -3.0, -4.0)],
                                   "zone int, layer string, x1 double, y1 double, x2 double, y2 double")
-    extent = spark.createDataFrame([(z, 12, 8) for z in range(11)], "zone int, height int, width int")
+    extent = spark.createDataFrame([(z, 30, 8) for z in range(11)], "zone int, height int, width int")
     bounds = store.layer_bounds(edges, stage(extent, "extent"), most=3)
     assert len(bounds) == 3 and bounds[0][:2] == (0, 3) and bounds[-1][:2] == (7, 9)
-    px = spark.range(11 * 12 * 8).selectExpr("CAST(id % 11 AS INT) zone", "CAST(id DIV 11 % 12 AS INT) r", "CAST(id DIV 132 AS INT) c")
+    px = spark.range(11 * 30 * 8).selectExpr("CAST(id % 11 AS INT) zone", "CAST(id DIV 11 % 30 AS INT) r", "CAST(id DIV 330 AS INT) c")
     inside = px.where("zone < 10 AND r >= zone + 3 AND r <= zone + 8 AND c >= 1")
     assert inside.exceptAll(store.within(px, bounds)).isEmpty()
     assert store.within(px, []).isEmpty()
