@@ -427,6 +427,12 @@ def oracle_sql() -> dict[str, str]:
         "masked_composite_stored": f"""WITH {_mask()},
             kept AS (SELECT px.* FROM px JOIN mask USING (zone, scene, r, c) WHERE clear = 1 AND b02 <> 0)
             {_composite("kept", _ALL)}""",
+        "scene_blocks": f"""WITH {_PX}, {_SRC},
+            placed_cell AS (SELECT *, ((r % 256) * 256 + c % 256) % 97 + 1 AS w FROM src)
+            SELECT zone, CAST(r // 256 AS INT) AS tile_r, CAST(c // 256 AS INT) AS tile_c, 65536 AS n_cells,
+                   {', '.join(f'round(sum({b} * w), 4) AS {b}_sum' for b in _ALL)} FROM placed_cell GROUP BY ALL""",
+        "scene_blocks_read": f"""WITH {_PX}, {_SRC} SELECT zone, r, c, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
+            FROM src WHERE b02 <> 0""",
         "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM px SEMI JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c)""",
         "clip_outcome": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'),
@@ -519,6 +525,14 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_summary": f"""WITH {_META} SELECT zone, count(*) AS n_quarantined, """ + ", ".join(
             f"count(*) FILTER (issue_type = '{n}') AS {n}" for n in ("crs_mismatch", "bounds_invalid", "no_overlap", "multiple_issues")
         ) + " FROM issue GROUP BY zone",
+        "zone_run_committed": f"""WITH {_PIXEL_LABELS},
+            z AS (SELECT DISTINCT CAST(user_id % 15 AS INT) AS zone FROM events),
+            n AS (SELECT z.zone, (SELECT count(*) FROM pixel p WHERE p.zone = z.zone) AS a,
+                         (SELECT count(*) FROM labels_grid g WHERE g.zone = z.zone AND label <> -1) AS b,
+                         (SELECT count(*) FROM pixel_label p WHERE p.zone = z.zone AND label <> -1) AS c FROM z)
+            SELECT zone, a AS n_features, CASE WHEN a > 0 THEN b ELSE 0 END AS n_labels, CASE WHEN a > 0 AND b > 0 THEN c ELSE 0 END AS n_union,
+                   CASE WHEN a = 0 THEN '03_features' WHEN b = 0 THEN '04_labels' WHEN c = 0 THEN '05_union' END AS failed_step,
+                   CASE WHEN a > 0 AND b > 0 AND c > 0 THEN 'success' ELSE 'error' END AS status FROM n""",
         "zone_run": f"""WITH {_PIXEL_LABELS},
             z AS (SELECT DISTINCT CAST(user_id % 15 AS INT) AS zone FROM events),
             n AS (SELECT z.zone, (SELECT count(*) FROM pixel p WHERE p.zone = z.zone) AS n_features,

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grid import acquisition_time, bounds_check, clamp_index, grid_index, pixel_center, tile_epsg
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
-from terracover.operators import dataset, metrics, models, placement, quality, regrid, splits, weights
+from terracover.operators import dataset, metrics, models, placement, quality, regrid, splits, tiles, weights
 from terracover.operators.composite import (
     FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
@@ -27,7 +27,7 @@ from terracover.operators.masks import (
 )
 from terracover.operators.morphology import dilate, erode, l1_depth, l1_reach
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
-from terracover.plans import jobs
+from terracover.plans import jobs, zones
 from terracover.sources import catalog, landscape as land, sinks, store
 from terracover.sources.readers import raster_to_pixels, read_union, read_zones, zone_status
 from terracover.sources.session import tune
@@ -424,6 +424,40 @@ def masked_composite_stored(spark, sf_dir):
     return rounded(jobs.stored_masked_composite(store.store_buckets(px, buckets, name="px"), scenes))
 
 
+_SCENE_BANDS = list(FEATURES)
+
+
+@query
+def scene_blocks(spark, sf_dir):
+    """256 x 256 blocks of the highest readings, by sums that depend on the places."""
+    blocks = tiles.pixels_to_blocks(land.cell_maxima(spark, sf_dir), ["zone"], _SCENE_BANDS)
+    return rounded(tiles.block_sums(blocks, ["zone"], _SCENE_BANDS), 4)
+
+
+@query
+def scene_blocks_read(spark, sf_dir):
+    """Blocks written as a scene table, read back as pixels."""
+    path = staging_path(spark, "blocks")
+    sinks.write_blocks(land.cell_maxima(spark, sf_dir), path, ["zone"], _SCENE_BANDS, size=64)
+    return rounded(tiles.blocks_to_pixels(spark.read.parquet(path), ["zone"], _SCENE_BANDS, size=64))
+
+
+@query
+def zone_run_committed(spark, sf_dir):
+    """A run of all expected zones, stopped after its first step and taken up again."""
+    run = zones.ZoneRun(spark, staging_path(spark, "run"))
+    of = lambda df, z: df.join(z, "zone", "left_semi")
+    labels = stage(_labels(spark, sf_dir).where("label <> -1"), "labels")
+    steps = {
+        "03_features": lambda z: of(_obs(spark, sf_dir).select(*CELL).distinct(), z),
+        "04_labels": lambda z: of(labels, z),
+        "05_union": lambda z: run.output("03_features", z).join(run.output("04_labels", z), list(CELL)),
+    }
+    expected = land.run_log(spark, sf_dir).select("zone")
+    run.run(expected, {"03_features": steps["03_features"]})
+    return run.run(expected, steps).drop("message")
+
+
 # composites ------------------------------------------------------------------------
 
 @query

@@ -6,6 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracover.operators import tiles
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> None:
     """Overwrite a parquet or csv table."""
@@ -33,6 +35,13 @@ def write_scenes(px: DataFrame, path: str) -> None:
     write_table(px.repartitionByRange(*order).sortWithinPartitions(*order), path, partition_by=["zone", "scene"])
 
 
+def write_blocks(px: DataFrame, path: str, keys, bands, size: int = tiles.SIZE, nodata: float = 0.0) -> None:
+    """Scene pixels as tiled blocks (see ``operators.tiles``) in tile order, a folder per first key."""
+    blocks = tiles.pixels_to_blocks(px, keys, bands, size, nodata)
+    order = [*keys, "tile_r", "tile_c"]
+    write_table(blocks.repartitionByRange(*order).sortWithinPartitions(*order), path, partition_by=list(keys)[:1])
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON document per row."""
     df.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
