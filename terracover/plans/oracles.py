@@ -349,6 +349,18 @@ def oracle_sql() -> dict[str, str]:
             round(min(y1), 5) AS y1_min, round(max(x2), 5) AS x2_max, round(max(y2), 5) AS y2_max, round(sum(x1 * y2 - x2 * y1), 5) AS area2
             FROM placed GROUP BY ALL""",
         "place_layers": f"WITH {_PLACED_CELLS} SELECT zone, layer, r, c FROM cell",
+        "dissolve_round_trip": f"WITH {_PLACED_CELLS} SELECT zone, layer, r, c FROM cell",
+        "dissolved_rings": f"""WITH {_CELLS},
+            quad AS (SELECT zone, layer, r + dr AS r, c + dc AS c, count(*) AS n,
+                            count(*) = 2 AND max(dr) <> min(dr) AND max(dc) <> min(dc) AND
+                            max(dr * 2 + dc) - min(dr * 2 + dc) IN (1, 3) AS diagonal
+                     FROM cell, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) o(dr, dc) GROUP BY ALL),
+            corner_count AS (SELECT zone, layer, count(*) FILTER (n = 1) AS q1, count(*) FILTER (n = 3) AS q3, count(*) FILTER (diagonal) AS qd
+                             FROM quad GROUP BY ALL),
+            side_count AS (SELECT zone, layer, count(*) AS area, sum(4 - (SELECT count(*) FROM cell b WHERE b.zone = a.zone AND b.layer = a.layer
+                             AND abs(a.r - b.r) + abs(a.c - b.c) = 1)) AS perimeter FROM cell a GROUP BY ALL)
+            SELECT zone, layer, CAST((q1 - q3 + 2 * qd) // 4 AS BIGINT) AS outer_less_holes, CAST(q1 + q3 + 2 * qd AS BIGINT) AS n_corners,
+                   CAST(perimeter AS BIGINT) AS perimeter, area FROM corner_count JOIN side_count USING (zone, layer)""",
         "label_grid_placed": f"""WITH {_PLACED_CELLS},
             wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'), farm AS (SELECT zone, r, c FROM cell WHERE layer = 'perimeter'),
             core AS {_eroded("wood", 1)}

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grid import acquisition_time, bounds_check, clamp_index, grid_index, pixel_center, tile_epsg
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
-from terracover.operators import dataset, metrics, models, placement, quality, regrid, splits, tiles, weights
+from terracover.operators import dataset, metrics, models, placement, quality, regrid, rings, splits, tiles, weights
 from terracover.operators.composite import (
     FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
@@ -373,8 +373,8 @@ def clip_perimeter(spark, sf_dir):
 
 def _chosen_parcels(spark, sf_dir):
     """Placed forest parcels of two owners, and their grids."""
-    rings, grids = _placed(spark, sf_dir)
-    return placement.place_edges(rings.where("layer = 'forest' AND poly_id % 10 IN (2, 7)"), grids), grids.select("zone", "height", "width")
+    vertices, grids = _placed(spark, sf_dir)
+    return placement.place_edges(vertices.where("layer = 'forest' AND poly_id % 10 IN (2, 7)"), grids), grids.select("zone", "height", "width")
 
 
 @query
@@ -544,8 +544,26 @@ def place_layers(spark, sf_dir):
 @query
 def label_grid_placed(spark, sf_dir):
     """Label grid from georeferenced layers."""
-    rings, grids = _placed(spark, sf_dir)
-    return label_grid(placement.place_edges(rings, grids), grids.select("zone", "height", "width"))
+    vertices, grids = _placed(spark, sf_dir)
+    return label_grid(placement.place_edges(vertices, grids), grids.select("zone", "height", "width"))
+
+
+@query
+def dissolved_rings(spark, sf_dir):
+    """Outlines of the dissolved layers, summed per zone and layer."""
+    cells = _polygon_cells(spark, sf_dir)
+    return rings.ring_measures(rings.dissolved_rings(cells)).groupBy("zone", "layer").agg(
+        (F.count_if(F.col("area") > 0) - F.count_if(F.col("area") < 0)).alias("outer_less_holes"),
+        *(F.sum(c).alias(c) for c in ("n_corners", "perimeter", "area")),
+    )
+
+
+@query
+def dissolve_round_trip(spark, sf_dir):
+    """Cells of georeferenced layers, traced to rings and filled again."""
+    vertices, grids = _placed(spark, sf_dir)
+    traced = rings.dissolved_rings(placement.place_layers(vertices, grids))
+    return polygon_cells(rings.ring_edges(traced), grids.select("zone", "height", "width"))
 
 
 @query
