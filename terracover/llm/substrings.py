@@ -234,25 +234,20 @@ def compact(edges: DataFrame) -> DataFrame:
     )
 
 
-def _short(cls: str) -> Column:
-    """64 bits of a class, enough to tell whether there is more than one."""
-    return F.xxhash64(cls)
-
-
 def path_spans(places: DataFrame, ranks: DataFrame, length: int) -> DataFrame:
-    """(cls, spans): long stretches that a class shares with one of lower rank, by paths of the graph.
+    """(num, spans): long stretches that a class shares with one of lower rank, by paths of the graph.
 
-    ``places``: (cls, i, pos, node, seg) of repeated nodes; ``ranks``: (cls, rank).
+    ``places``: (num, i, pos, node, seg) of repeated nodes; ``ranks``: (num, rank).
     """
-    order = Window.partitionBy("cls").orderBy("i")
+    order = Window.partitionBy("num").orderBy("i")
     after = F.lead(F.struct("i", "node", "pos")).over(order)
     steps = places.withColumn("after", after).where("after.i = i + 1").select(
-        "cls", "i", "pos", F.col("after.pos").alias("to"), "seg", F.xxhash64("node", "after.node", "seg").alias("eid"),
+        "num", "i", "pos", F.col("after.pos").alias("to"), "seg", F.xxhash64("node", "after.node", "seg").alias("eid"),
         F.col("node").alias("u"), F.col("after.node").alias("v"),
     )
     steps = stage(steps, "graph-steps")
     edges = stage(
-        steps.groupBy("eid", "u", "v").agg(F.min(_short("cls")).alias("low"), F.max(_short("cls")).alias("high"))
+        steps.groupBy("eid", "u", "v").agg(F.min("num").alias("low"), F.max("num").alias("high"))
         .where("low <> high").select("eid", "u", "v"), "graph-edges",
     )
     paths = stage(compact(edges), "graph-paths")
@@ -263,16 +258,16 @@ def path_spans(places: DataFrame, ranks: DataFrame, length: int) -> DataFrame:
                 (F.col("i") - 1).cast("int").alias("i"), "path", (F.col("rank") - 1).alias("rank"))).cast("int"), F.lit(0))
     ).withColumn("run", F.sum(1 - F.col("step")).over(order))
     content = ["rank", "u", "v", "seg"]
-    runs = along.groupBy("cls", "path", "run").agg(
+    runs = along.groupBy("num", "path", "run").agg(
         F.min("rank").alias("low"), F.max("rank").alias("high"), F.min("pos").alias("start"), (F.max("to") + KMER).alias("end"),
         F.bit_xor(F.xxhash64(*content)).alias("digest"), F.bit_xor(F.xxhash64(F.lit(1), *content)).alias("digest2"),
-    ).where(F.col("end") - F.col("start") >= length).join(ranks, "cls")
+    ).where(F.col("end") - F.col("start") >= length).join(ranks, "num")
     runs = stage(runs.withColumn("size", F.col("end") - F.col("start")), "graph-runs")
     # Names of edges may clash: stretches are equal if their k-mers, the words between and their lengths are.
     same = ["path", "low", "high", "size", "digest", "digest2"]
     owner = stage(runs.groupBy(*same).agg(F.min("rank").alias("least")), "graph-owners")
     shared = runs.join(owner, same).where(F.col("rank") > F.col("least"))
-    return shared.groupBy("cls").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("spans"))
+    return shared.groupBy("num").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -285,19 +280,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ), "kmers")
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))
     longs = table.where("cls IS NOT NULL")
-    # Classes get short numbers once; the staged table is what all later steps see.
-    classes = stage(longs.groupBy("cls").agg(F.min(F.struct(rank.alias("rank"), "key")).alias("least")).select(
-        "cls", F.monotonically_increasing_id().alias("num"), F.col("least.rank").alias("rank"), F.col("least.key").alias("rep")
-    ), "kmer-classes")
+    # One row and a short number per class, whatever the number of its copies; all later steps see this table.
+    classes = stage(longs.groupBy("cls").agg(
+        F.min(F.struct(rank.alias("rank"), "key")).alias("least"), F.first(F.struct("node", "pos", "seg")).alias("held")
+    ).select("cls", F.monotonically_increasing_id().alias("num"), F.col("least.rank").alias("rank"), F.col("least.key").alias("rep"), "held"), "kmer-classes")
     repeated = stage(
-        longs.select(_short("cls").alias("short"), F.explode(F.array_distinct("node")).alias("node")).groupBy("node")
-        .agg(F.min("short").alias("low"), F.max("short").alias("high")).where("low <> high").select("node"), "kmer-repeated"
+        classes.select(F.explode(F.array_distinct("held.node")).alias("node")).groupBy("node")
+        .agg(F.count("*").alias("n")).where("n > 1").select("node"), "kmer-repeated"
+    )
+    each = classes.select("num", F.posexplode(F.arrays_zip("held.node", "held.pos", "held.seg")).alias("i", "x")).select(
+        "num", "i", *[F.col("x").getField(c).alias(c) for c in ("node", "pos", "seg")]
     )
-    each = longs.select("cls", F.posexplode(F.arrays_zip("node", "pos", "seg")).alias("i", "x")).select("cls", "i", "x.node", "x.pos", "x.seg")
-    places = stage(large_join(each, repeated, "node").select("cls", "i", "pos", "node", "seg").distinct(), "kmer-places")
-    spans = path_spans(places, classes.select("cls", "rank"), length)
-    where = places.groupBy("cls").agg(F.sort_array(F.collect_list("pos")).alias("nodes"))
-    asked = classes.select("cls", "num", "rep", F.col("rank.id").alias("id")).join(where, "cls").join(spans, "cls", "left")
+    places = stage(large_join(each, repeated, "node").select("num", "i", "pos", "node", "seg"), "kmer-places")
+    spans = path_spans(places, classes.select("num", "rank"), length)
+    where = places.groupBy("num").agg(F.sort_array(F.collect_list("pos")).alias("nodes"))
+    asked = classes.select("num", "rep", F.col("rank.id").alias("id")).join(where, "num").join(spans, "num", "left")
     # Equal rows share a key: one of them is kept, and the join needs no exchange after that.
     texts = source.select("key", "text").mapInArrow(_compress, "key binary, packed binary").dropDuplicates(["key"])
     met = texts.join(asked.hint("shuffle_hash"), F.col("key") == F.col("rep")).select("num", "id", "packed", "nodes", "spans")
