@@ -73,11 +73,13 @@ def fold_of(folds: int, seed: int, keys=KEYS):
 
 
 def tune(train: DataFrame, features, family: str, grid: dict, metric: str = "areaUnderPR",
-         method: str = "split", folds: int = 5, parallelism: int = 8, seed: int = 42, keys=KEYS, **params):
+         method: str = "split", folds: int = 5, parallelism: int = 8, seed: int = 42, keys=KEYS,
+         fold_col: str | None = None, **params):
     """Grid search inside the training rows; returns (best model, best params, best metric).
 
     ``split`` holds out the first hash fold, ``folds`` each in turn; either way a row's part
-    depends on its key alone.
+    depends on its key alone. ``fold_col`` names a column of folds 0, 1, ... to use instead,
+    such as the spatial ones of ``splits.grouped_folds``.
     """
     estimator = classifier(family, seed=seed, **params)
     maps = param_grid(estimator, grid)
@@ -85,7 +87,8 @@ def tune(train: DataFrame, features, family: str, grid: dict, metric: str = "are
     evaluator = BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="rawPrediction", metricName=metric
     )
-    rows = in_order(train, keys).withColumn("fold", fold_of(folds, seed, keys)).persist()
+    part = F.col(fold_col).cast("int") if fold_col else fold_of(folds, seed, keys)
+    rows = in_order(train, keys).withColumn("fold", part).persist()
     try:
         if method == "split":
             held, fits = rows.where("fold = 0"), whole.fitMultiple(rows.where("fold <> 0"), maps)

@@ -120,6 +120,34 @@ def zone_split(df: DataFrame, test_zones, name: str = "split") -> DataFrame:
     return df.withColumn(name, F.when(F.col("zone").isin(list(test_zones)), "test").otherwise("train"))
 
 
+def grouped_folds(
+    df: DataFrame, label: str, keys=("zone",), block: int = 64, folds: int = 5, seed: int = SEED, name: str = "fold",
+) -> DataFrame:
+    """Add a fold per spatial block, so that neighbours share it and folds are even in rows and classes.
+
+    Square blocks of ``block`` cells are told apart by their share of class 1, in quarters, and
+    each kind is dealt largest first, back and forth over the folds. Two folds then differ in
+    rows of a kind by at most its largest block. Ranks come from sliced running totals, a
+    block is one row there. NULL labels count as rows without a class.
+    """
+    keys = list(keys)
+    place = [F.expr(f"CAST({axis} DIV {block} AS INT)").alias(f"block_{axis}") for axis in ("r", "c")]
+    marked = df.select("*", *place)
+    at = [*keys, "block_r", "block_c"]
+    sizes = marked.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("ones"))
+    kinds = sizes.withColumns({
+        "kind": F.floor(4 * F.col("ones") / F.col("n")).cast("int"), "one": F.lit(1),
+        "order": F.struct((-F.col("n")).alias("n"), key_digest(seed, *at).alias("digest"), *at),
+    })
+    rank = F.col("cum_one") - 1
+    turn, seat = F.floor(rank / folds), rank % folds
+    back = (turn + F.col("kind")) % 2 == 1
+    dealt = running_totals(kinds, ["kind"], "order", ["one"]).select(
+        *at, F.when(back, folds - 1 - seat).otherwise(seat).cast("int").alias(name)
+    )
+    return lookup_join(marked, stage(dealt, "block_folds"), at, null_safe=True).select(*df.columns, name)
+
+
 def undersample(df: DataFrame, label: str, keys, ratio: float = 0.5, seed: int = SEED) -> DataFrame:
     """Keep at most ``minority / ratio`` rows of each class, chosen by hash rank."""
     one_row_each = Window.partitionBy()

@@ -575,6 +575,27 @@ def oracle_sql() -> dict[str, str]:
         "oversample": f"""WITH {_RANKED}, goal AS (SELECT *, CAST(greatest(n, ceil(largest * 0.5e0)) AS BIGINT) AS goal FROM size)
             SELECT doc_id, label, CAST(unnest(range(1, goal // n + CASE WHEN rn <= goal % n THEN 1 ELSE 0 END + 1)) AS INT) AS copy
             FROM ranked JOIN goal USING (label)""",
+        "grouped_folds": f"""WITH {_PIXEL_LABELS}, p AS (SELECT *, r // 8 AS br, c // 8 AS bc FROM pixel_label WHERE label <> -1),
+            b AS (SELECT zone, br, bc, count(*) AS n, CAST(floor(4 * count(*) FILTER (label = 1) / count(*)) AS INT) AS kind FROM p GROUP BY ALL),
+            k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, md5('42-' || zone || '-' || br || '-' || bc)) - 1 AS k FROM b)
+            SELECT p.zone, p.r, p.c, p.label, CAST(CASE WHEN (k.k // 5 + kind) % 2 = 1 THEN 4 - k.k % 5 ELSE k.k % 5 END AS INT) AS fold
+            FROM p JOIN k USING (zone, br, bc)""",
+        "oversample_interpolated": f"""WITH {_PX},
+            comp AS (SELECT zone, r, c, round(median(b03), 9) AS b03, round(median(b04), 9) AS b04, round(median(ndvi), 9) AS ndvi FROM obs GROUP BY ALL),
+            lab AS (SELECT *, CASE WHEN ndvi > 0.25e0 THEN 1 ELSE 0 END AS label, zone || '-' || r || '-' || c AS name FROM comp),
+            ranked AS (SELECT *, md5('42-' || name) AS key, row_number() OVER (PARTITION BY label ORDER BY md5('42-' || name)) AS rn FROM lab),
+            size AS (SELECT label, count(*) AS n, CAST(greatest(count(*), ceil(max(count(*)) OVER () * 0.8e0)) AS BIGINT) AS goal FROM lab GROUP BY label),
+            copies AS (SELECT ranked.*, unnest(range(2, goal // n + CASE WHEN rn <= goal % n THEN 1 ELSE 0 END + 1)) AS copy
+                       FROM ranked JOIN size USING (label)),
+            wanted AS (SELECT DISTINCT label FROM copies),
+            pair AS (SELECT a.key, b.b03, b.b04, b.ndvi, row_number() OVER (PARTITION BY a.key ORDER BY
+                       (a.b03 - b.b03) * (a.b03 - b.b03) + (a.b04 - b.b04) * (a.b04 - b.b04) + (a.ndvi - b.ndvi) * (a.ndvi - b.ndvi), b.key) - 1 AS k
+                     FROM ranked a JOIN ranked b ON a.label = b.label AND a.key <> b.key WHERE a.label IN (SELECT label FROM wanted)),
+            drawn AS (SELECT c.*, CAST('0x' || substr(md5('45-' || name || '-' || copy), 1, 6) AS BIGINT) % (SELECT least(3, n - 1) FROM size s WHERE s.label = c.label) AS k,
+                             CAST('0x' || substr(md5('46-' || name || '-' || copy), 1, 6) AS BIGINT) / 16777216e0 AS u FROM copies c)
+            SELECT zone, r, c, label, round(b03, 10) AS b03, round(b04, 10) AS b04, round(ndvi, 10) AS ndvi, 1 AS copy FROM lab
+            UNION ALL SELECT d.zone, d.r, d.c, d.label, round(d.b03 + u * (p.b03 - d.b03), 10), round(d.b04 + u * (p.b04 - d.b04), 10),
+                             round(d.ndvi + u * (p.ndvi - d.ndvi), 10), CAST(copy AS INT) FROM drawn d JOIN pair p ON p.key = d.key AND p.k = d.k""",
         "confusion_matrix": f"WITH {_SCORED} SELECT * FROM conf",
         "weighted_metrics": f"""WITH {_SCORED} SELECT round((tn + tp) / (n0 + n1), 9) AS accuracy,
             round((p0 * n0 + p1 * n1) / (n0 + n1), 9) AS weighted_precision, round((r0 * n0 + r1 * n1) / (n0 + n1), 9) AS weighted_recall,

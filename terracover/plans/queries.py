@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grid import acquisition_time, bounds_check, clamp_index, grid_index, pixel_center, tile_epsg
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
-from terracover.operators import dataset, metrics, models, placement, quality, regrid, rings, splits, tiles, weights
+from terracover.operators import dataset, metrics, models, neighbours, placement, quality, regrid, rings, splits, tiles, weights
 from terracover.operators.composite import (
     FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
@@ -726,6 +726,22 @@ def oversample(spark, sf_dir):
     return splits.oversample(land.class_labels(spark, sf_dir), "label", ["doc_id"])
 
 
+@query
+def grouped_folds(spark, sf_dir):
+    """Labelled pixels in folds of 8 x 8 blocks."""
+    rows = _class_rows(spark, sf_dir).where("label <> -1")
+    return splits.grouped_folds(rows, "label", block=8)
+
+
+@query
+def oversample_interpolated(spark, sf_dir):
+    """The rarer of two greenness classes filled up with rows between neighbours."""
+    medians = temporal_composite(_obs(spark, sf_dir), bands=("b03", "b04", "ndvi"))
+    rows = medians.select(*CELL, *(F.round(f"{b}_med", 9).alias(b) for b in ("b03", "b04", "ndvi")))
+    classed = stage(rows.withColumn("label", (F.col("ndvi") > 0.25).cast("int")), "classed")
+    return rounded(neighbours.oversample_interpolated(classed, "label", CELL, ["b03", "b04", "ndvi"], 0.8, 3, block_rows=64), 10)
+
+
 # metrics ---------------------------------------------------------------------------
 
 @query
