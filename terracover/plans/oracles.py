@@ -445,6 +445,8 @@ def oracle_sql() -> dict[str, str]:
                    {', '.join(f'round(sum({b} * w), 4) AS {b}_sum' for b in _ALL)} FROM placed_cell GROUP BY ALL""",
         "scene_blocks_read": f"""WITH {_PX}, {_SRC} SELECT zone, r, c, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM src WHERE b02 <> 0""",
+        "sketched_thresholds": f"""WITH {_PX} SELECT zone, scene, count(*) AS n_clear, true AS bright_within, true AS dark_within
+            FROM px WHERE scl NOT IN (3, 8, 9, 10, 11) GROUP BY ALL""",
         "clip_perimeter": f"""WITH {_CELLS} SELECT zone, r, c, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)}
             FROM px SEMI JOIN (SELECT * FROM cell WHERE layer = 'perimeter') k USING (zone, r, c)""",
         "clip_outcome": f"""WITH {_CELLS}, wood AS (SELECT zone, r, c FROM cell WHERE layer = 'forest'),

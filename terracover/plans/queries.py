@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terracover.functions.grid import acquisition_time, bounds_check, clamp_index, grid_index, pixel_center, tile_epsg
 from terracover.functions.spectral import BANDS, scale_bands, with_indices
-from terracover.operators import dataset, metrics, models, neighbours, placement, quality, regrid, rings, splits, tiles, weights
+from terracover.operators import dataset, metrics, models, neighbours, placement, quality, regrid, rings, sketches, splits, tiles, weights
 from terracover.operators.composite import (
     FEATURES, composite_stats, index_quantiles, min_support, observation_profile, requested_stats, support_profile,
     temporal_composite, valid_observations, with_window_start,
@@ -23,7 +23,7 @@ from terracover.operators.composite import (
 from terracover.operators.joins import lookup_join
 from terracover.operators.labels import erosion_stats, label_counts, label_grid
 from terracover.operators.masks import (
-    clear_before_dilation, clear_mask, clear_scenes, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
+    class_clear, clear_before_dilation, clear_mask, clear_scenes, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
 from terracover.operators.morphology import dilate, erode, l1_depth, l1_reach
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
@@ -297,6 +297,27 @@ def clear_thresholds(spark, sf_dir):
     return rounded(looks.join(limits, ["zone", "scene"], "left"))
 
 
+@query
+def sketched_thresholds(spark, sf_dir):
+    """Thresholds from sketches of two halves of each scene, merged: are their exact ranks within the bound?"""
+    keys = ["zone", "scene"]
+    px = _px(spark, sf_dir).select("zone", "scene", "c", "scl", "b8a", "ndvi")
+    halves = [stage(sketches.scene_sketches(px.where(F.col("c") % 2 == half)), "sketch") for half in (0, 1)]
+    merged = stage(sketches.merge(halves, [*keys, "low"]), "sketch")
+    limits = stage(sketches.sketched_thresholds(merged), "limits")
+    clear = lookup_join(px.where(class_clear(F.col("scl"))), limits, keys)
+    code, left = sketches.code_of(F.col("b8a")), ~((F.col("ndvi") < 0.1) & (F.col("b8a") > F.col("bright")))
+    top = lambda c: F.round(F.col(c) * sketches.TOP).cast("int")
+    # Shares below and up to a threshold enclose the rank it was asked for.
+    ranks = clear.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_clear"), F.count_if(code < top("bright")).alias("b0"), F.count_if(code <= top("bright")).alias("b1"),
+        F.count_if(left).alias("n_left"), F.count_if(left & (code < top("dark"))).alias("d0"), F.count_if(left & (code <= top("dark"))).alias("d1"),
+    )
+    near = lambda low, high, n, q, off: (F.col(low) <= q * F.col(n) + off) & (F.col(high) >= q * F.col(n) - off)
+    off = 2 * sketches.rank_bound(sketches.K) * F.col("n_clear") + 1
+    return ranks.select(*keys, "n_clear", near("b0", "b1", "n_clear", 0.8, off).alias("bright_within"), near("d0", "d1", "n_left", 0.2, off).alias("dark_within"))
+
+
 @query
 def clear_whitelist(spark, sf_dir):
     return _px(spark, sf_dir).where(whitelist_clear(F.col("scl"))).select(*CELL, "ts", "scl")
