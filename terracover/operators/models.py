@@ -36,8 +36,9 @@ RF_FIXED = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5}
 # How trees are grown, not what is grown: node statistics per pass and cached node ids.
 EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
 
-# A row's key, and the partitions of a fit: fixed, so that trees see rows in the same order everywhere.
-KEYS, FIT_PARTITIONS = ("zone", "r", "c"), 32
+# A row's key. Partitions of a fit follow the counted rows alone, so that trees see rows in the
+# same order everywhere: small ones for up to 64 tasks, large ones beyond.
+KEYS, FIT_ROWS, FIT_TASKS, MOST_FIT_ROWS = ("zone", "r", "c"), 1 << 13, 64, 1 << 20
 
 FAMILIES = {"RandomForest": RandomForestClassifier, "GBT": GBTClassifier}
 
@@ -62,9 +63,18 @@ def param_grid(estimator, grid: dict) -> list:
 
 
 def in_order(rows: DataFrame, keys=KEYS) -> DataFrame:
-    """Rows dealt to ``FIT_PARTITIONS`` by key and sorted, so a fit does not depend on the file layout."""
+    """Rows dealt by key and sorted, so a fit does not depend on the file layout.
+
+    """
     keys = [k for k in keys if k in rows.columns]
-    return rows.repartition(FIT_PARTITIONS, *keys).sortWithinPartitions(*keys) if keys else rows
+    if not keys:
+        return rows
+    return rows.repartition(fit_partitions(rows.count()), *keys).sortWithinPartitions(*keys)
+
+
+def fit_partitions(n_rows: int) -> int:
+    """Partitions of a fit: ``FIT_ROWS`` rows each up to ``FIT_TASKS``, at most ``MOST_FIT_ROWS`` each beyond."""
+    return max(1, min(FIT_TASKS, -(-n_rows // FIT_ROWS)), -(-n_rows // MOST_FIT_ROWS))
 
 
 def fold_of(folds: int, seed: int, keys=KEYS):
@@ -122,6 +132,12 @@ def choose(scores: dict[str, float]) -> str:
     return max(scores, key=lambda name: (scores[name], name == "GBT"))
 
 
+def choices(table: DataFrame, keys, family: str = "family", metric: str = "metric") -> DataFrame:
+    """:func:`choose` for every run of a table (keys, family, metric): ``winner`` and its metric."""
+    best = F.max(F.struct(F.col(metric).alias("metric"), (F.col(family) == "GBT").alias("boosted"), F.col(family).alias("family")))
+    return table.groupBy(*keys).agg(best.alias("best")).select(*keys, F.col("best.family").alias("winner"), F.col("best.metric").alias("metric"))
+
+
 def score(model: PipelineModel, df: DataFrame, threshold: float | None = None) -> DataFrame:
     """Predictions with ``score``, the probability of class 1; optional own threshold."""
     scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])

@@ -307,6 +307,11 @@ def _share(source: str, pool: str, fraction: str, name: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _oracles()
+    return found | {"json_read_back": found["quarantine"]}
+
+
+def _oracles() -> dict[str, str]:
     highest = ", ".join(f"round(max({b}), 9) AS {b}" for b in _ALL)
     sums = ", ".join(f"round(sum({b}), 6) AS {b}_sum" for b in _BANDS)
     ends = ", ".join(f"round(min({b}), 6) AS {b}_min, round(max({b}), 6) AS {b}_max" for b in _BANDS)
@@ -598,6 +603,36 @@ def oracle_sql() -> dict[str, str]:
             SELECT zone, r, c, label, round(b03, 10) AS b03, round(b04, 10) AS b04, round(ndvi, 10) AS ndvi, 1 AS copy FROM lab
             UNION ALL SELECT d.zone, d.r, d.c, d.label, round(d.b03 + u * (p.b03 - d.b03), 10), round(d.b04 + u * (p.b04 - d.b04), 10),
                              round(d.ndvi + u * (p.ndvi - d.ndvi), 10), CAST(copy AS INT) FROM drawn d JOIN pair p ON p.key = d.key AND p.k = d.k""",
+        "vote_scores": f"""WITH {_PX},
+            s AS (SELECT zone, CASE WHEN b04 > 0.5e0 THEN 1 ELSE 0 END AS label, CASE WHEN scl NOT IN (1, 3) THEN round(b03, 6) END AS a,
+                         CASE WHEN scl > 1 THEN round(b8a, 6) END AS b FROM px),
+            v AS (SELECT *, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END AS score FROM s)
+            SELECT zone, label, round(sum(score), 4) AS score, count(*) FILTER (score >= 0.4e0) AS n_positive,
+                   count(*) FILTER (score IS NULL) AS n_without FROM v GROUP BY ALL""",
+        "ranked_features": f"""WITH {_PX}, f AS ({' UNION ALL '.join(f"SELECT '{b}' AS feature, round(stddev_pop({b}), 6) AS importance FROM px" for b in _ALL)})
+            SELECT * FROM f ORDER BY importance DESC, feature LIMIT 10""",
+        "family_choices": f"""WITH {_PX},
+            s AS (SELECT zone, b04 > 0.5e0 AS y, b03 AS a, b8a AS b FROM px WHERE scl NOT IN (0, 1, 3)),
+            m AS (SELECT zone, round(avg(CASE WHEN (round(a, 6) >= 0.5e0) = y THEN 1e0 ELSE 0 END), 1) AS rf,
+                         round(avg(CASE WHEN (round(b, 6) >= 0.5e0) = y THEN 1e0 ELSE 0 END), 1) AS gbt FROM s GROUP BY zone)
+            SELECT zone, CASE WHEN gbt >= rf THEN 'GBT' ELSE 'RandomForest' END AS winner, greatest(rf, gbt) AS metric FROM m""",
+        "leaderboard_saved": f"""WITH {_SCORED}
+            SELECT 'RandomForest' AS winner, 15 AS n_features, round(avg(CASE WHEN label = prediction THEN 1e0 ELSE 0 END), 9) AS accuracy,
+                   round(avg(label), 9) AS weighted_f1, round(avg(score), 9) AS roc_auc FROM pred GROUP BY CAST(floor(score * 10) AS BIGINT) % 3""",
+        "csv_read_back": f"""WITH {_PIXEL_LABELS},
+            n AS (SELECT zone, {counts}, CAST(grouping(zone) AS INT) AS is_total FROM pixel_label WHERE label <> -1 GROUP BY ROLLUP (zone))
+            SELECT *, coalesce({ratio}, 0) AS ratio, round(n_forest / n_total * 100, 9) AS pct_forest FROM n""",
+        "scene_read_back": f"""WITH {_PX} SELECT zone, r, c, scene, ts, {', '.join(f'round({b}, 9) AS {b}' for b in _ALL)} FROM px
+            WHERE zone = 2 AND scene = (SELECT max(scene) FROM px WHERE zone = 2)""",
+        "feature_names": f"""WITH {_PIXEL_LABELS}, f(place, feature) AS (VALUES
+            {', '.join(f"({i}, '{n}')" for i, n in enumerate([*(f'{b}_med' for b in _ALL), 'ndvi_p10', 'ndvi_p90', 'n_obs', 'ndvi_range']))})
+            SELECT place, feature, (SELECT count(*) FROM pixel_label WHERE label <> -1) AS n_rows FROM f""",
+        "report_lines": f"""WITH {_SCORED},
+            spread AS ({' UNION ALL '.join(f"SELECT '{b}' AS feature, stddev_pop({b}) AS x FROM px" for b in _ALL)})
+            SELECT 'counts' AS part, 'tn' AS name, CAST(tn AS VARCHAR) AS value FROM conf UNION ALL SELECT 'counts', 'fp', CAST(fp AS VARCHAR) FROM conf
+            UNION ALL SELECT 'counts', 'fn', CAST(fn AS VARCHAR) FROM conf UNION ALL SELECT 'counts', 'tp', CAST(tp AS VARCHAR) FROM conf
+            {' '.join(f"UNION ALL SELECT 'class {k}', '{n}_{k}', format('{{:.4f}}', {c}{k}) FROM f" for k in (0, 1) for n, c in (('precision', 'p'), ('recall', 'r'), ('f1', 'f')))}
+            UNION ALL SELECT CAST(row_number() OVER (ORDER BY x DESC, feature) AS VARCHAR), feature, format('{{:.4f}}', x) FROM spread""",
         "confusion_matrix": f"WITH {_SCORED} SELECT * FROM conf",
         "weighted_metrics": f"""WITH {_SCORED} SELECT round((tn + tp) / (n0 + n1), 9) AS accuracy,
             round((p0 * n0 + p1 * n1) / (n0 + n1), 9) AS weighted_precision, round((r0 * n0 + r1 * n1) / (n0 + n1), 9) AS weighted_recall,

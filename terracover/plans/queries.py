@@ -26,6 +26,7 @@ from terracover.operators.masks import (
     class_clear, clear_before_dilation, clear_mask, clear_scenes, clear_stats, masked_observations, scene_thresholds, whitelist_clear,
 )
 from terracover.operators.morphology import dilate, erode, l1_depth, l1_reach
+from terracover.operators.report import evaluation_report
 from terracover.operators.polygons import clip_outcome, clip_reduction, clip_to_layer, polygon_cells, polygon_edges
 from terracover.plans import jobs, zones
 from terracover.sources import catalog, landscape as land, sinks, store
@@ -821,8 +822,11 @@ def metric_grades(spark, sf_dir):
 
 # models ----------------------------------------------------------------------------
 
-_SMALL_RF = {"numTrees": [10], "maxDepth": [4, 6]}
-_SMALL_GBT = {"maxIter": [5], "maxDepth": [3]}
+# Published points: single fits take the first of each range, searches two of them a family.
+RF_POINT = {"numTrees": 200, "maxDepth": 10, "maxBins": 64, "featureSubsetStrategy": "sqrt"}
+GBT_POINT = {"maxDepth": 6, "maxBins": 64, "maxIter": 100, "stepSize": 0.1}
+RF_POINTS = {k: [v] for k, v in RF_POINT.items()} | {"featureSubsetStrategy": ["sqrt", "log2"]}
+GBT_POINTS = {k: [v] for k, v in GBT_POINT.items()} | {"stepSize": [0.1, 0.2]}
 
 
 def _ml_rows(spark, sf_dir):
@@ -844,13 +848,13 @@ def _predictions(model, rows):
 @query
 def rf_predictions(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    return _predictions(_fit(rows, "RandomForest", numTrees=20, maxDepth=6), rows)
+    return _predictions(_fit(rows, "RandomForest", **RF_POINT), rows)
 
 
 @query
 def gbt_predictions(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    return _predictions(_fit(rows, "GBT", maxIter=10, maxDepth=4), rows)
+    return _predictions(_fit(rows, "GBT", **GBT_POINT), rows)
 
 
 @query
@@ -862,17 +866,18 @@ def rf_fixed(spark, sf_dir):
 @query
 def champion(spark, sf_dir):
     composite = land.signal_labels(temporal_composite(_obs(spark, sf_dir)))
-    result = jobs.train_models(composite, CELL, {"RandomForest": _SMALL_RF, "GBT": _SMALL_GBT})
+    result = jobs.train_models(composite, CELL, {"RandomForest": RF_POINTS, "GBT": GBT_POINTS})
     return jobs.summary_row(spark, result)
 
 
 @query
 def cross_validated(spark, sf_dir):
-    """Best boosted model of a k-fold search, scored on the held-out rows."""
+    """Best forest of a search over five spatial folds, scored on the held-out rows."""
     rows = _ml_rows(spark, sf_dir)
-    train = rows.where("split = 'train'").persist()
+    folded = splits.grouped_folds(rows.where("split = 'train'"), "label", block=8)
+    train = folded.persist()
     model, _, _ = models.tune(
-        train, dataset.feature_columns(rows), "GBT", {"maxIter": [3, 5]}, method="folds", folds=3, maxDepth=3
+        train, dataset.feature_columns(rows), "RandomForest", RF_POINTS, method="folds", folds=5, fold_col="fold"
     )
     train.unpersist()
     return metrics.evaluation(models.score(model, rows.where("split = 'test'")))
@@ -883,7 +888,7 @@ def evaluation_job(spark, sf_dir):
     """Saved model, reloaded and evaluated on the stored test rows; metrics read back."""
     rows = _ml_rows(spark, sf_dir)
     root = staging_path(spark, "evaluation")
-    sinks.save_model(_fit(rows, "RandomForest", numTrees=10, maxDepth=5), f"{root}/model")
+    sinks.save_model(_fit(rows, "RandomForest", **RF_POINT), f"{root}/model")
     jobs.evaluate_model(spark, f"{root}/model", rows, f"{root}/out")
     return spark.read.json(f"{root}/out/metrics")
 
@@ -891,7 +896,7 @@ def evaluation_job(spark, sf_dir):
 @query
 def top_features(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    return models.top_features(models.importances(_fit(rows, "RandomForest", numTrees=20, maxDepth=6)), 10)
+    return models.top_features(models.importances(_fit(rows, "RandomForest", **RF_POINT)), 10)
 
 
 @query
@@ -899,7 +904,7 @@ def model_leaderboard(spark, sf_dir):
     """Summaries of two saved runs, read back and ranked."""
     composite = stage(land.signal_labels(temporal_composite(_obs(spark, sf_dir))), "composite")
     root = staging_path(spark, "runs")
-    for name, grid in (("rf", {"RandomForest": _SMALL_RF}), ("gbt", {"GBT": _SMALL_GBT})):
+    for name, grid in (("rf", {"RandomForest": RF_POINTS}), ("gbt", {"GBT": GBT_POINTS})):
         jobs.save_run(spark, jobs.train_models(composite, CELL, grid), f"{root}/{name}")
     return jobs.leaderboard(spark, f"{root}/*/metrics/summary").drop("path")
 
@@ -907,14 +912,14 @@ def model_leaderboard(spark, sf_dir):
 @query
 def predict_zone(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    model = _fit(rows.where("zone <> 3"), "RandomForest", numTrees=20, maxDepth=6)
+    model = _fit(rows.where("zone <> 3"), "RandomForest", **RF_POINT)
     return jobs.predict_zones(model, rows.where("zone = 3"))
 
 
 @query
 def vote_ensemble(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
-    fitted = [_fit(rows, "RandomForest", numTrees=10, maxDepth=5), _fit(rows, "GBT", maxIter=5, maxDepth=3)]
+    fitted = [_fit(rows, "RandomForest", **RF_POINT), _fit(rows, "GBT", **GBT_POINT)]
     voted = models.vote(fitted, rows.where("split = 'test'"))
     return voted.select(*CELL, "label", "score", "prediction")
 
@@ -924,7 +929,110 @@ def learning_curve(spark, sf_dir):
     rows = _ml_rows(spark, sf_dir)
     return models.learning_curve(
         rows.where("split = 'train'"), rows.where("split = 'test'"),
-        dataset.feature_columns(rows), CELL, numTrees=10, maxDepth=5,
+        dataset.feature_columns(rows), CELL, **RF_POINT,
+    )
+
+
+# selection and files, on tables that SQL can follow -----------------------------------
+
+def _two_scores(spark, sf_dir):
+    """Two scores per look, each missing for some, and the label."""
+    px = _px(spark, sf_dir)
+    return px.select(
+        *CELL, (F.col("b04") > 0.5).cast("int").alias("label"), F.when(~F.col("scl").isin(1, 3), F.round(F.col("b03"), 6)).alias("score_0"),
+        F.when(F.col("scl") > 1, F.round(F.col("b8a"), 6)).alias("score_1"),
+    )
+
+
+@query
+def vote_scores(spark, sf_dir):
+    """Mean vote of two score columns over the looks of a zone and class."""
+    voted = _two_scores(spark, sf_dir).withColumns(models.mean_vote(["score_0", "score_1"], 0.4))
+    return rounded(voted.groupBy("zone", "label").agg(
+        F.sum("score").alias("score"), F.sum("prediction").cast("long").alias("n_positive"), F.count_if(F.col("score").isNull()).alias("n_without")
+    ), 4)
+
+
+@query
+def ranked_features(spark, sf_dir):
+    """The ten columns that spread most, ranked as importances are."""
+    spread = _px(spark, sf_dir).agg(*(F.round(F.stddev_pop(b), 6).alias(b) for b in FEATURES))
+    table = spread.unpivot([], list(FEATURES), "feature", "importance")
+    return models.top_features(table, 10)
+
+
+@query
+def family_choices(spark, sf_dir):
+    """Per zone the family whose score agrees more often with the label; ties go to boosting."""
+    rows = _two_scores(spark, sf_dir).where("score_0 IS NOT NULL AND score_1 IS NOT NULL")
+    right = lambda c: F.round(F.avg(((F.col(c) >= 0.5).cast("int") == F.col("label")).cast("double")), 1)
+    both = rows.groupBy("zone").agg(right("score_0").alias("RandomForest"), right("score_1").alias("GBT"))
+    return models.choices(both.unpivot(["zone"], ["RandomForest", "GBT"], "family", "metric"), ["zone"])
+
+
+@query
+def leaderboard_saved(spark, sf_dir):
+    """Run summaries saved as JSON, one folder per zone, read back and ranked."""
+    root = staging_path(spark, "saved")
+    scored = land.scored(spark, sf_dir).withColumn("run", F.floor(F.col("score") * 10) % 3)
+    share = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    runs = scored.groupBy("run").agg(
+        F.map_from_arrays(F.array(*map(F.lit, ("accuracy", "weighted_f1", "roc_auc"))),
+                          F.array(F.round(share, 9), F.round(F.avg("label"), 9), F.round(F.avg("score"), 9))).alias("test_metrics"),
+        F.first(F.lit("RandomForest")).alias("winner"), F.first(F.lit(15)).alias("n_features"),
+    )
+    for run in range(3):
+        sinks.write_json(runs.where(F.col("run") == run).drop("run"), f"{root}/run{run}/metrics/summary")
+    return jobs.leaderboard(spark, f"{root}/*/metrics/summary").drop("path")
+
+
+@query
+def csv_read_back(spark, sf_dir):
+    """Zone statistics written as CSV and read back."""
+    path = staging_path(spark, "csv")
+    table = rounded(dataset.zone_stats(_class_rows(spark, sf_dir).where("label <> -1")))
+    sinks.write_table(table, path, "csv")
+    return spark.read.option("header", True).schema(table.schema).csv(path)
+
+
+@query
+def json_read_back(spark, sf_dir):
+    """Nested quarantine entries written as JSON and read back."""
+    path = staging_path(spark, "json")
+    table = quality.quarantine(land.product_meta(spark, sf_dir))
+    sinks.write_json(table, path)
+    return spark.read.schema(table.schema).json(path)
+
+
+@query
+def scene_read_back(spark, sf_dir):
+    """One zone's latest scene out of the scene table on disk."""
+    path = staging_path(spark, "scenes")
+    sinks.write_scenes(_px(spark, sf_dir).select(*CELL, "scene", "ts", *FEATURES), path)
+    stored = spark.read.parquet(path).where("zone = 2")
+    last = stored.agg(F.max("scene")).first()[0]
+    return rounded(stored.where(F.col("scene") == F.lit(last)))
+
+
+@query
+def feature_names(spark, sf_dir):
+    """Columns that training takes as features."""
+    rows = splits.hash_split(_training(spark, sf_dir), CELL)
+    names = dataset.feature_columns(rows)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.posexplode(F.array(*map(F.lit, names))).alias("place", "feature"), "n_rows")
+
+
+@query
+def report_lines(spark, sf_dir):
+    """Count and class lines of the Markdown report of a saved evaluation."""
+    path = staging_path(spark, "report")
+    evaluation = metrics.evaluation(land.scored(spark, sf_dir))
+    spread = _px(spark, sf_dir).agg(*(F.stddev_pop(b).alias(b) for b in FEATURES)).unpivot([], list(FEATURES), "feature", "importance")
+    sinks.write_text(spark, evaluation_report(evaluation, spread, "Vote"), path)
+    lines = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", "\n")).alias("line"))
+    cells = F.split(F.trim(F.btrim("line", F.lit("|"))), " \\| ")
+    return lines.where("line RLIKE '^\\\\| (counts|class|[0-9])'").select(
+        F.trim(cells[0]).alias("part"), F.trim(cells[1]).alias("name"), F.trim(cells[2]).alias("value")
     )
 
 
