@@ -12,40 +12,51 @@ nothing is saved, or after ``rounds``.
 
 Shape of the job: one Python pass makes the pieces; the table of pieces (numbers, no text)
 is staged, as is every round. The driver sees counts and a histogram of piece lengths,
-which has at most ``capacity`` rows. Tokenising looks words up in a cache per task and
-sends only new words through the tokenizer, which treats blank-separated words apart.
+which has at most ``capacity`` rows. Tokenising splits batches of texts into distinct words
+by array kernels, looks these up in a cache per task and sends only new ones through the
+tokenizer, which treats blank-separated words apart.
 
 Defined results: a null or empty text is the end id alone. Repeated rows are packed one by
-one. Null ids are carried along. An empty table gives an empty table.
+one. Null ids are carried along. Very long texts are cut into pieces like any other, whole.
+Only the two named columns are read, clashing names have no effect. An empty table gives an
+empty table.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
-from struct import pack as packed_ints
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terracover.llm.alignment import byte_letters
 from terracover.llm.text import rows_in_chunks
 from terracover.sources.staging import stage
 
 PART = 1 << 16
 CACHE = 400_000
+BATCH = 8 << 20
+#: What chunks must not change: cases, marks, digits, blanks of all kinds, letters beyond ASCII.
+PROBE = "Hello, World's  don't 1234 a1b2?! x.y;\n\n\tTab\r\nÜber naïve 漢字 e\u0301 (re) it's...  #tag 3.14 <|a ß\x0bz\u00a0q -- ok"
+#: Latin letters that are composed already and whose lower case is one letter.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 _SEPARATOR, _MARK, _TAIL = "<|endoftext|>", b"<|", b".,;:!?#$%&*"
 
 
 class ChunkIds(dict):
     """Little-endian uint32 ids of blank-free chunks of text, made by a public tokenizer.
 
-    Valid for tokenizers whose normaliser and splitter treat what blanks separate apart and
+    Made for tokenizers whose normaliser and splitter treat what blanks separate apart and
     that know ``<|endoftext|>``: new chunks are encoded together with that token between
     them. Chunks of ASCII without capitals pass the normaliser unchanged and skip it; words of
-    these letters, and runs of common marks, go to the tokenizer's model directly.
+    these letters, and runs of common marks, go to the tokenizer's model directly. A probe is
+    encoded both ways at the start; where the ids differ, texts go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -54,7 +65,19 @@ class ChunkIds(dict):
 
         self.coder = Tokenizer.from_file(path)
         self.normal, self.none = self.coder.normalizer, normalizers.Sequence([])
+        self.model = self.coder.model
+        self.code = [i.to_bytes(4, "little") for i in range(self.coder.get_vocab_size())]
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.gap = self.coder.token_to_id(_SEPARATOR)
+        self.whole = self.gap is None
+        if not self.whole:
+            plain = np.array(self.coder.encode(PROBE, add_special_tokens=False).ids, "<u4").tobytes()
+            try:
+                self.whole = self.encode(pa.array([PROBE]))[0].tobytes() != plain
+            except (KeyError, ValueError):  # other ids between the separators
+                self.whole = True
+            self.coder.normalizer = self.normal
+            self.clear()
 
     def _together(self, chunks: list[bytes], normalizer) -> None:
         self.coder.normalizer = normalizer
@@ -68,54 +91,79 @@ class ChunkIds(dict):
                 self[chunk] = raw[start:end]
                 start = end + 4
 
+    def _word(self, letters: str) -> bytes:
+        """Ids of a word of byte-level letters, which is one token to the splitter."""
+        return b"".join([self.code[t.id] for t in self.model.tokenize(letters)])
+
     def learn(self, chunks: set[bytes]) -> None:
         """Encode what is new. Letters with marks behind them are two tokens to the splitter: each part is looked up."""
         if len(self) + len(chunks) > CACHE:
             self.clear()
-        parts, new = {}, set()
+        parts, new = [], set()
         for c in chunks - self.keys():
             core = c.rstrip(_TAIL)
             if len(core) < len(c) and (core.isalpha() or core.decode().isalpha()):
-                parts[c] = core, c[len(core):]
+                parts.append((c, core, c[len(core):]))
+                new.add(core)
+                new.add(c[len(core):])
             else:
                 new.add(c)
-        new.update(x for pair in parts.values() for x in pair)
         plain, other = [], []
-        word = self.coder.model.tokenize
         for c in new - self.keys():
             if c.isalpha() and c.islower() or not c.strip(_TAIL):
                 # One token to the splitter, nothing to normalise, bytes that stand for themselves.
-                ids = [t.id for t in word(c.decode())]
-                self[c] = packed_ints(f"<{len(ids)}I", *ids)
+                self[c] = self._word(c.decode())
+            elif c.isascii() and _MARK not in c:
+                (plain if c == c.lower() else other).append(c)
+            elif _LATIN.fullmatch(text := c.decode()):
+                self[c] = self._word(text.lower().encode().decode("latin-1").translate(self.letters))
             elif _MARK in c:  # may hold special tokens of its own
                 self.coder.normalizer = self.normal
-                self[c] = np.array(self.coder.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                self[c] = np.array(self.coder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                (plain if c.isascii() and c == c.lower() else other).append(c)
+                other.append(c)
         self._together(plain, self.none)
         self._together(other, self.normal)
-        for c, (core, tail) in parts.items():
+        for c, core, tail in parts:
             self[c] = self[core] + self[tail]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            raw = (text or "").encode()
-            # A-Z may be folded early unless a special token could be spelled.
-            raw = raw if _MARK in raw else raw.lower()
-            split.append([c for c in raw.replace(b"\n", b" ").split(b" ") if c])
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+    def ids_of(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk; what is not known yet is learnt."""
+        found = list(map(self.get, chunks))
+        if None in found:
+            self.learn({c for c, ids in zip(chunks, found) if ids is None})
+            found = [ids if ids is not None else self[c] for c, ids in zip(chunks, found)]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after one another, and where each text begins; a last entry ends them."""
+        texts = texts.fill_null("")
+        if self.whole:
+            coded = [x.ids for x in self.coder.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in coded for i in ids], "<u4"), np.cumsum([0, *map(len, coded)])
+        # A-Z may be folded early unless a special token could be spelled.
+        marked = pc.match_substring(texts, _MARK.decode())
+        split = pc.ascii_split_whitespace(pc.if_else(marked, texts, pc.ascii_lower(texts)))
+        words = split.flatten().dictionary_encode()
+        ids = self.ids_of(words.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        index = words.indices.to_numpy()
+        lengths = sizes[index]
+        ends = np.append(0, np.cumsum(lengths))
+        offsets = split.offsets.to_numpy()
+        return flat[np.repeat(starts[index] - ends[:-1], lengths) + np.arange(ends[-1])], ends[offsets - offsets[0]]
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = ChunkIds(path), np.array([end_id], "<u4").tobytes()
-        for batch in rows_in_chunks(batches, "text", 2 << 20):
+        for batch in rows_in_chunks(batches, "text", BATCH):
             rows: list[int] = []
             out: list[tuple] = []
-            for i, ids in enumerate(coder.encode(batch.column("text").to_pylist())):
-                ids += end
+            flat, begins = coder.encode(batch.column("text"))
+            for i, (begin, stop) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist())):
+                ids = flat[begin:stop].tobytes() + end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     held = ids[at:at + 4 * capacity]
                     rows.append(i)
@@ -241,6 +289,17 @@ def pack_documents(
     return pack(pieces, capacity, rounds).withColumnRenamed("id", id_col)
 
 
+def packing_quality(packed: DataFrame, capacity: int = 2048) -> DataFrame:
+    """One row: sequences used, the lower bound of all pieces together, tokens, and whether the bound is met."""
+    spark = packed.sparkSession
+    histogram = np.zeros(capacity + 1, np.int64)
+    for length, n in packed.groupBy("length").count().collect():  # at most ``capacity`` rows
+        histogram[length] = n
+    used = packed.where("offset = 0").count()
+    bound, tokens = lower_bound(histogram, capacity), int((histogram * np.arange(capacity + 1)).sum())
+    return spark.createDataFrame([(used, bound, tokens, used == bound)], "sequences bigint, bound bigint, tokens bigint, certified boolean")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """(sequence_id, n_tokens, ids): the training sequences of pieces that carry ``ids``."""
     placed = F.array_sort(F.collect_list(F.struct("offset", "ids")))

@@ -331,3 +331,42 @@ def test_registered_scores_use_trigrams(spark, sf_dir):
     assert got == pytest.approx(want)
     less = {r.doc_id: r.score for r in lm.lm_scores(docs, order=2).collect()}
     assert got != pytest.approx(less)
+
+
+def test_chunks_fall_back_to_the_whole_tokenizer(spark):
+    """A file whose splitter keeps blanks gets its own ids; the Latin short cut gives the tokenizer's."""
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [t for _, t in TEXTS] + ["ÀÉ Õñ straße ŒUVRE ſz ı İ ŉ ǅ", "Été. naïve, <|x ÉTÉ", "a" * 3000, "word " * 50_000]
+    for name, whole in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = public_tokenizers.path(name)
+        coder, chunks = Tokenizer.from_file(path), packing.ChunkIds(path)
+        assert chunks.whole == whole
+        for _ in range(2):
+            ids, begins = chunks.encode(pa.array(texts))
+            got = [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:])]
+            assert got == [coder.encode(t or "", add_special_tokens=False).ids for t in texts]
+    ids, begins = chunks.encode(pa.array([], pa.string()))
+    assert len(ids) == 0 and begins.tolist() == [0]
+
+
+def test_full_cache_is_emptied_and_learnt_again(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "CACHE", 20)
+    chunks = packing.ChunkIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(f"w{i}x{j}" for j in range(15)) for i in range(6)]
+    ids, begins = chunks.encode(pa.array(texts + texts))
+    half = len(ids) // 2
+    assert ids[:half].tolist() == ids[half:].tolist()
+    again, _ = chunks.encode(pa.array(texts[:1]))
+    assert again.tolist() == ids[begins[0]:begins[1]].tolist()
+
+
+def test_packing_says_whether_the_bound_is_met(spark):
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate([6, 6, 4, 4, 7, 3])], "id int, length bigint")
+    row = packing.packing_quality(packing.pack(pieces, 10), 10).first()
+    assert (row["sequences"], row["bound"], row["tokens"], row["certified"]) == (3, 3, 30, True)
