@@ -5,14 +5,17 @@ with A-Z lower-cased. Keys are hashed to 128 bits, distinct documents are counte
 and lines of frequent keys leave all documents; the others stay in order.
 
 Shape of the job: one pass hashes the lines (a staged table of hashes, a few per cent of
-the input); counts combine map-side, so a line that a third of all documents holds costs
-one row per task; the join back to line positions is an ordinary join whose hot keys the
-adaptive skew rule splits; texts move once, to meet their dropped positions.
-
-Defined results: a null or empty text is one empty line. Every row counts as a document,
-so repeated rows count as often as they occur, and get equal results. Blank lines have no
-key and stay. Input columns are kept; ``text``, ``n_lines`` and ``n_dropped`` of the
-result replace input columns of these names. An empty table gives an empty table.
+the input). Rows are counted per hash, combined map-side, so a line that a third of all
+documents holds costs one row per task; only hashes that enough rows hold are counted by
+distinct documents. What is counted is staged before line positions meet it, so Spark
+broadcasts it if it is small and splits hot hashes otherwise. Texts move once, to meet their
+dropped positions.
+
+Defined results: a null or empty text is one empty line. Documents are told apart by id, so
+rows that repeat an id count once; rows without an id are told apart by their text. Repeated
+rows get equal results. Blank lines have no key and stay. Very long texts and lines are
+handled whole. Input columns are kept; ``text``, ``n_lines`` and ``n_dropped`` of the result
+replace input columns of these names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from terracover.llm.text import packed, row_key, unpacked
 from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
-_HASHED = pa.schema([("key", pa.binary()), ("lines", pa.list_(pa.binary()))])
+_HASHED = pa.schema([("key", pa.binary()), ("doc", pa.binary()), ("lines", pa.list_(pa.binary()))])
 
 
 def _line_hashes(least: int):
@@ -44,7 +47,7 @@ def _line_hashes(least: int):
             texts = batch.column("text").to_pylist()
             hashes = [[digest(x) for x in (t or "").encode().split(b"\n")] for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").cast(pa.binary()), pa.array(hashes, pa.list_(pa.binary()))], schema=_HASHED
+                [*[batch.column(c).cast(pa.binary()) for c in ("key", "doc")], pa.array(hashes, pa.list_(pa.binary()))], schema=_HASHED
             )
 
     return run
@@ -61,9 +64,12 @@ def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
 
 
 def frequent_lines(hashed: DataFrame, min_docs: int) -> DataFrame:
-    """Hashes of ``hashed.lines`` that at least ``min_docs`` rows hold, with their counts."""
-    each = hashed.select(F.explode(F.array_distinct("lines")).alias("hash")).where("hash IS NOT NULL")
-    return each.groupBy("hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
+    """Hashes of ``hashed.lines`` that at least ``min_docs`` documents hold, with their counts."""
+    each = hashed.select("doc", F.explode(F.array_distinct("lines")).alias("hash")).where("hash IS NOT NULL")
+    # Documents have at least one row each, so few hashes are left for the exact count.
+    likely = stage(each.groupBy("hash").agg(F.count("*").alias("rows")).where(F.col("rows") >= min_docs).select("hash"), "likely-lines")
+    held = large_join(each, likely, "hash").select("hash", "doc").distinct()
+    return held.groupBy("hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
 
 
 def drop_frequent_lines(
@@ -72,13 +78,15 @@ def drop_frequent_lines(
 ) -> DataFrame:
     """``docs`` with ``text`` cleaned and, if wanted, ``n_lines`` (before) and ``n_dropped`` per document."""
     key = row_key(docs[id_col], docs[text_col])
-    keyed = docs.select(key.alias("key"), docs[text_col].alias("text"))
+    doc = F.when(docs[id_col].isNotNull(), row_key(docs[id_col])).otherwise(key)
+    keyed = docs.select(key.alias("key"), doc.alias("doc"), docs[text_col].alias("text"))
     hashed = stage(
-        keyed.mapInArrow(_line_hashes(min_key_chars), "key binary, lines array<binary>"), "line-hashes"
+        keyed.mapInArrow(_line_hashes(min_key_chars), "key binary, doc binary, lines array<binary>"), "line-hashes"
     )
+    frequent = stage(frequent_lines(hashed, min_docs).select("hash"), "frequent-lines")
     lines = hashed.select("key", F.posexplode("lines").alias("pos", "hash")).where("hash IS NOT NULL")
     gone = (
-        large_join(lines, frequent_lines(hashed, min_docs).select("hash"), "hash")
+        large_join(lines, frequent, "hash")
         .groupBy("key").agg(F.collect_set("pos").alias("gone"))
     )
     source = docs.select(packed(docs).alias("row"), key.alias("key"))

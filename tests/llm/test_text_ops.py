@@ -42,7 +42,11 @@ def test_line_dedup(docs, empty):
     assert {c.lower() for c in docs.columns} | {"n_dropped"} == {c.lower() for c in out.columns}
     split = [(i, (t or "").split("\n")) for i, t in TEXTS]
     key = lambda x: x.strip(" \t\n\x0b\f\r").translate(LOWER)
-    seen = Counter(k for _, lines in split for k in {key(x) for x in lines})
+    holders = defaultdict(set)  # documents, by id or else by text
+    for (i, t), (_, lines) in zip(TEXTS, split):
+        for x in lines:
+            holders[key(x)].add(i if i is not None else ("text", t))
+    seen = {k: len(d) for k, d in holders.items()}
     want = []
     for i, lines in split:
         kept = [x for x in lines if not key(x) or seen[key(x)] < 10]
@@ -52,6 +56,14 @@ def test_line_dedup(docs, empty):
     assert line_dedup.drop_frequent_lines(empty).count() == 0
 
 
+def test_lines_are_counted_by_document_not_by_row(spark):
+    rows_ = [(1, "said often\nown 1")] * 12 + [(i, f"said widely\nown {i}") for i in range(2, 12)] + [(None, "said widely\nx")] * 3
+    frame = spark.createDataFrame(rows_, "doc_id bigint, text string").repartition(5)
+    got = {(r.doc_id, r.text) for r in line_dedup.drop_frequent_lines(frame, min_docs=10).collect()}
+    assert got == {(1, "said often\nown 1"), (None, "x"), *((i, f"own {i}") for i in range(2, 12))}
+    assert {r.text for r in line_dedup.drop_frequent_lines(frame, min_docs=12).collect()} == {t for _, t in rows_}
+
+
 def test_quality_counts(docs, empty):
     want = []
     for i, t in TEXTS:
