@@ -17,7 +17,8 @@ are made a second time only for classes that share a band and move once per chun
 Defined results: null and blank texts have no shingles and are linked with nothing. A text
 of fewer words than the shingle width is one shingle. Rows with equal values are one
 class; null ids rank after all others. Similarity is compared in integers. An empty table
-gives an empty table.
+gives an empty table. Very long texts are sketched and compared whole, one at a time. Only the
+two named columns are read; :func:`keep_one` keeps all columns whatever their names.
 """
 
 from __future__ import annotations
@@ -133,16 +134,19 @@ def _links(percent: int):
 def _meetings(classes: DataFrame) -> DataFrame:
     """(cls, rep, meetings): for classes that share a band, the chunk pairs in which they meet others."""
     rows = classes.select("cls", "n", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("members"), F.min("cls").alias("home")).where("members > 1")
+    # Counted sides are staged: joins on a hot band or home then have plain inputs, which the
+    # adaptive rules broadcast if small and split otherwise.
+    shared = stage(rows.groupBy("band").agg(F.count("*").alias("members"), F.min("cls").alias("home")).where("members > 1"), "near-shared")
     held = stage(large_join(rows, shared.select("band", "home"), "band").select("band", "cls", "n", "home"), "near-bands")
     # A class takes the least home over its bands, once more over the homes of those it meets there.
     for turn in range(2):
         own = held.groupBy("cls").agg(F.min("home").alias("own"))
         met = held.drop("home").join(own, "cls")
-        best = met.groupBy("band").agg(F.min("own").alias("home"))
+        best = stage(met.groupBy("band").agg(F.min("own").alias("home")), "near-best")
         held = stage(met.drop("own").join(best, "band"), f"near-homes-{turn}")
     own = held.groupBy("cls").agg(F.min("home").alias("home"), F.first("n").alias("n"))
-    parts = own.groupBy("home").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / MEMBERS)).alias("parts"))
+    own = stage(own, "near-own")
+    parts = stage(own.groupBy("home").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / MEMBERS)).alias("parts")), "near-parts")
     chunk = F.unhex(F.md5(F.concat("home", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("string").cast("binary"))))
     chunks = stage(own.join(parts, "home").select("cls", chunk.alias("chunk")), "near-chunks")
     there = held.select("band", "cls").join(chunks, "cls").select("band", "chunk").distinct()
