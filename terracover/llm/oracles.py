@@ -44,13 +44,11 @@ windows AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM w),
 dup AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS n FROM windows),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM dup WHERE n > 1) GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, source, line, lower(regexp_replace(trim(line, {_BLANKS}), '{_RUN}', ' ', 'g')) AS norm
-  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM w) WHERE trim(line, {_BLANKS}) <> ''),
-prints AS (SELECT doc_id, max({{'n': length(norm), 'x': norm}}).x AS print FROM lines GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT print) AS n FROM lines JOIN prints USING (doc_id) GROUP BY source),
-bad AS (
-  SELECT l.source, l.norm FROM lines l JOIN prints USING (doc_id) JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, l.norm, h.n HAVING count(DISTINCT print) > greatest(20, 0.02e0 * h.n)),
+  SELECT doc_id, source, line, place, lower(regexp_replace(trim(line, {_BLANKS}), '{_RUN}', ' ', 'g')) AS norm
+  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS place FROM w)
+  WHERE trim(line, {_BLANKS}) <> ''),
+prints AS (SELECT doc_id, md5(string_agg(norm, chr(10) ORDER BY place)) AS print FROM lines GROUP BY doc_id),
+bad AS (SELECT source, norm FROM lines JOIN prints USING (doc_id) GROUP BY source, norm HAVING count(DISTINCT print) > 20),
 per_doc AS (
   SELECT l.doc_id, count(*) - count(DISTINCT line) AS n_dup,
          coalesce(sum(CASE WHEN b.norm IS NOT NULL THEN length(l.norm) - length(replace(l.norm, ' ', '')) + 1 END), 0) AS n_removed

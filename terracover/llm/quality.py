@@ -3,9 +3,10 @@
 A document fails the base rules if it has too few words or too large a share of words in
 repeated word windows. Beyond that, normalised lines (trimmed, blank runs collapsed,
 lower-cased) are hashed to 128 bits and distinct documents are counted per (host, hash).
-A line found in more documents of its host than the limit is boilerplate. Its words are
-counted as ``n_removed``, no text is changed; a document of which more than ``depleted`` of
-the words are so counted is rejected.
+A line found in more documents of its host than the limit is boilerplate: it is taken out of
+every document of the host, its words are counted as ``n_removed``, and a document that loses
+more than ``depleted`` of its words is rejected. :func:`judge` gives the verdicts,
+:func:`clean_good` the accepted documents without their boilerplate lines.
 
 Copies of a document must not make its own text boilerplate, they are the business of
 deduplication: documents whose normalised lines are all equal, in order, count once. Near
@@ -15,15 +16,18 @@ so counted and does not depend on the size of the host.
 Shape of the job: only native functions. The counts of a text are one narrow pass; the
 sole expensive part, locating repeated windows, runs for texts that have any. Lines are
 shuffled as hashes, pre-aggregated twice, so a hot host or line is split by hash and
-combined map-side. Texts are never shuffled for the verdict.
+combined map-side. Texts are never shuffled for the verdict; they move once, to meet the
+places of the lines they lose.
 
 Defined results: a null text has no words and fails. The null host is a host of its own.
-Rows with equal values get equal results. An empty table gives an empty table.
+Rows with equal values get equal results. Very long texts are counted whole. Only the three
+named columns are read; :func:`keep_good` and :func:`clean_good` keep all columns whatever
+their names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracover.llm.text import BLANK_RUN, BLANKS, packed, row_key, unpacked, word_array
@@ -75,16 +79,15 @@ def text_counts(df: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _lines(texts: DataFrame) -> DataFrame:
-    """One row per line with a word: key, host, fingerprint of the document, line hash, its words."""
+    """One row per line with a word: key, host, fingerprint of the document, line hash, its words, its place."""
     bare = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)))
-    held = texts.select("key", "host", F.filter(bare, lambda x: x != "").alias("lines")).where(F.size("lines") > 0)
-    normal = F.transform("lines", lambda x: F.lower(F.regexp_replace(x, BLANK_RUN, " ")))
-    held = held.select("key", "host", normal.alias("lines"))
+    normal = F.transform("bare", lambda x: F.lower(F.regexp_replace(x, BLANK_RUN, " ")))
+    held = texts.select("key", "host", bare.alias("bare")).select("key", "host", normal.alias("lines"))
     # All normalised lines in their order stand for the document and its copies.
-    whole = F.unhex(F.md5(F.array_join("lines", "\n")))
-    held = held.select("key", "host", whole.alias("print"), F.explode("lines").alias("line"))
+    whole = F.unhex(F.md5(F.array_join(F.filter("lines", lambda x: x != ""), "\n")))
+    held = held.select("key", "host", whole.alias("print"), F.posexplode("lines").alias("place", "line")).where("line <> ''")
     blanks = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
-    return held.select("key", "host", "print", F.unhex(F.md5("line")).alias("hash"), (blanks + 1).alias("words"))
+    return held.select("key", "host", "print", F.unhex(F.md5("line")).alias("hash"), (blanks + 1).alias("words"), "place")
 
 
 def boilerplate(lines: DataFrame, min_docs: int) -> DataFrame:
@@ -95,32 +98,39 @@ def boilerplate(lines: DataFrame, min_docs: int) -> DataFrame:
     )
 
 
-def judge(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, depleted: float = 0.6,
-) -> DataFrame:
-    """One row per document: ``key``, id, the counts, ``n_removed`` words, ``base_failed`` and ``kept``."""
-    source = docs.select(
+def _source(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    return docs.select(
         row_key(docs[id_col], docs[host_col], docs[text_col]).alias("key"),
         docs[id_col].alias("id"), docs[host_col].alias("host"), docs[text_col].alias("text"),
     )
+
+
+def _judged(source: DataFrame, min_words: int, max_repeat_pct: int, min_docs: int, depleted: float) -> DataFrame:
+    """Verdicts per row of ``source`` with ``gone``, the places of its boilerplate lines in ascending order."""
     lines = stage(_lines(source), "quality-lines")
-    bad = boilerplate(lines, min_docs).select(F.col("host").alias("at"), F.col("hash").alias("line"))
-    # A row of ``lines`` per occurrence; repeated rows share a key, hence the count of rows.
-    per_line = lines.groupBy("key", "host", "hash").agg(F.sum("words").alias("words"))
-    removed = (
-        per_line.join(bad, (F.col("hash") == F.col("line")) & F.col("host").eqNullSafe(F.col("at")))
-        .groupBy("key").agg(F.sum("words").alias("lost"))
+    bad = stage(boilerplate(lines, min_docs).select(F.col("host").alias("at"), F.col("hash").alias("line")), "quality-boilerplate")
+    # Repeated rows share a key, so every place of a line can come several times.
+    lost = (
+        lines.join(bad, (F.col("hash") == F.col("line")) & F.col("host").eqNullSafe(F.col("at")))
+        .select("key", "place", "words").distinct()
+        .groupBy("key").agg(F.sum("words").cast("long").alias("n_removed"), F.sort_array(F.collect_list("place")).alias("gone"))
     )
     # Staged, or a filter on the verdict would be pushed into the counts and repeat their work.
     counts = stage(text_counts(source).drop("text", "host"), "quality-counts")
-    rows = source.select("key").groupBy("key").agg(F.count("*").alias("rows"))
-    lost = removed.join(rows, "key").select("key", (F.col("lost") / F.col("rows")).cast("long").alias("n_removed"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     met = counts.join(lost, "key", "left").withColumn("n_removed", F.coalesce("n_removed", F.lit(0).cast("long")))
     return met.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("n_removed") <= depleted * F.col("n_words"))
-    ).withColumnRenamed("id", id_col)
+    )
+
+
+def judge(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+    min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, depleted: float = 0.6,
+) -> DataFrame:
+    """One row per document: ``key``, id, the counts, ``n_removed`` words, ``base_failed`` and ``kept``."""
+    judged = _judged(_source(docs, id_col, text_col, host_col), min_words, max_repeat_pct, min_docs, depleted)
+    return judged.drop("gone").withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
@@ -129,3 +139,28 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     good = verdicts.where("kept").select("key").distinct()
     source = docs.select(packed(docs).alias("row"), row_key(docs[id_col], docs[host_col], docs[text_col]).alias("key"))
     return unpacked(source.join(good.hint("shuffle_hash"), "key", "left_semi"), docs.columns, {})
+
+
+def without_places(text: Column, gone: Column) -> Column:
+    """The text without its lines at the ascending places ``gone``: the stretches between them, in time linear in the lines."""
+    lines = F.split(text, "\n", -1)
+    stops = F.concat(gone, F.array(F.size(lines)))
+
+    def stretch(stop: Column, i: Column) -> Column:
+        start = F.when(i == 0, 0).otherwise(F.get(gone, i - 1) + 1)
+        return F.slice(lines, start + 1, stop - start)
+
+    return F.array_join(F.flatten(F.transform(stops, stretch)), "\n")
+
+
+def clean_good(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+    min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, depleted: float = 0.6,
+) -> DataFrame:
+    """The documents that :func:`judge` keeps, without their boilerplate lines."""
+    judged = _judged(_source(docs, id_col, text_col, host_col), min_words, max_repeat_pct, min_docs, depleted)
+    good = judged.where("kept").groupBy("key").agg(F.first("gone").alias("gone"))
+    source = docs.select(packed(docs).alias("row"), row_key(docs[id_col], docs[host_col], docs[text_col]).alias("key"))
+    met = source.join(good.hint("shuffle_hash"), "key")
+    text = F.col("row").getField(text_col)
+    return unpacked(met, docs.columns, {text_col: F.when(F.col("gone").isNull(), text).otherwise(without_places(text, F.col("gone")))})

@@ -94,6 +94,41 @@ def test_quality_rejects_depleted_documents_but_not_copies(spark):
     assert all(judged[i].kept for i in [*range(30, 60), *range(100, 150)])
 
 
+def test_boilerplate_lines_leave_the_texts(spark):
+    menu = ["Home | About us | Contact", "all rights reserved by the publisher of this site"]
+    own = {i: [" ".join(f"w{i}x{j}" for j in range(k, 60, 3)) for k in range(3)] for i in range(40)}
+    texts = {i: "\n".join(["", menu[0].upper() if i % 2 else menu[0], own[i][0], "", *own[i][1:], f"  {menu[1]}\t", *([menu[0]] * (i % 3))]) for i in range(30)}
+    texts |= {i: "\n".join([*own[i], menu[1], ""]) for i in range(30, 40)}
+    data = [(i, t, "host" if i < 30 else "other", None) for i, t in texts.items()] + [(50, menu[0] + "\n" + " ".join("abcdefghijklmnopqrstuvw"), "host", 1), (50, texts[3], "host", 2), (51, None, "host", 3)]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string, source string, gone int")
+    bad = {" ".join(x.lower().split()) for x in menu}
+    clean = lambda t: "\n".join(x for x in t.split("\n") if " ".join(x.lower().split()) not in bad)
+    got = quality.clean_good(frame)
+    assert got.columns == frame.columns
+    same([(r.doc_id, r.text, r.gone) for r in got.collect()],
+         [(i, clean(t) if s == "host" else t, g) for i, t, s, g in data if t is not None])
+    tail = spark.createDataFrame([("a\nb\nc\n", [0, 1, 2, 3]), ("a\nb\nc\n", [1, 3]), ("a", []), ("", [0])], "t string, gone array<int>")
+    assert [r[0] for r in tail.select(quality.without_places(tail["t"], tail["gone"])).collect()] == ["", "a\nc", "a", ""]
+
+
+def test_registered_rule_equals_its_sql_where_documents_are_rejected(spark, tmp_path):
+    from compare import connect, differences
+    from terracover.llm.oracles import ORACLES
+    from terracover.llm.queries import REGISTRY
+
+    menu = "\n".join(" ".join(f"menu{k} x{j}" for j in range(12)) for k in range(8))
+    own = lambda i: "\n".join(" ".join(f"w{i}x{j}" for j in range(k, 60, 2)) for k in range(2))
+    data = [(i, own(i) + ("\n" + menu.upper() if i < 30 else ""), "a" if i % 4 else None) for i in range(120)]
+    data += [(200 + i, own(7), "a") for i in range(40)] + [(300, None, "a"), (301, "", None)]
+    spark.createDataFrame(data, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/parts")
+    con = connect(str(tmp_path))
+    con.execute(f"COPY (SELECT * FROM read_parquet('{tmp_path}/parts/*.parquet')) TO '{tmp_path}/documents.parquet' (FORMAT parquet)")
+    found = REGISTRY["op4_quality_rules"](spark, str(tmp_path)).cache()
+    assert differences(found, connect(str(tmp_path)), ORACLES["op4_quality_rules"]) == []
+    verdicts = Counter((r.n_removed > 0, r.base_failed, r.kept) for r in found.collect())
+    assert verdicts[True, False, False] >= 20 and verdicts[False, False, True] >= 100
+
+
 def test_quality_counts_documents_that_share_their_longest_line(spark):
     notice = " ".join(f"notice{j}" for j in range(60))
     data = [(i, f"short line of {i} with a few words\n{notice}", "host") for i in range(30)]
