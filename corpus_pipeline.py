@@ -1,9 +1,14 @@
 """Corpus pipeline: documents to packed token sequences in five stages.
 
-Quality rules reject documents, line dedup drops frequent lines, near-dedup leaves one
-document of each group, mixing repeats or leaves out documents by source, packing cuts and
-places their tokens. Each stage reads the table its predecessor wrote, all of it. All but
-the last return the columns of documents; ``n_chars`` follows the text where it changes.
+Quality rules reject documents and take out boilerplate lines, line dedup drops frequent
+lines, near-dedup leaves one document of each group, mixing repeats or leaves out documents
+by source, packing cuts and places their tokens. Each stage reads the table its predecessor
+wrote, all of it. All but the last return the columns of documents; ``n_chars`` follows the
+text where it changes.
+
+Defined results are those of the operators: null and empty texts fail the quality rules,
+repeated rows and copies leave one document, ties go to the least id, very long texts pass
+whole, extra columns are kept whatever their names, an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -16,15 +21,20 @@ from terracover.llm.queries import tokenizer
 from terracover.sources.staging import stage
 
 
+def _with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text where the table has it."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the line frequencies of their source leave, unchanged."""
-    return quality.keep_good(docs)
+    """Documents that the base rules and the line frequencies of their source leave, without boilerplate lines."""
+    return _with_length(quality.clean_good(docs))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more of them share."""
     clean = line_dedup.drop_frequent_lines(docs, min_docs=10, min_key_chars=1, with_counts=False)
-    return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in clean.columns else clean
+    return _with_length(clean)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
