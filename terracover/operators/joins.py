@@ -16,21 +16,31 @@ from pyspark.sql import functions as F
 LOOKUP_ROWS, LOOKUP_BYTES = 500_000, 64 << 20
 
 
-def row_width(df: DataFrame) -> int:
-    """Generous bytes per row: 8 a number, 64 a string, 512 anything nested."""
-    wide = {"string": 64, "binary": 512, "array": 512, "map": 512, "struct": 512}
-    return 16 + sum(wide.get(f.dataType.typeName(), 8) for f in df.schema)
+def stored_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table: texts are measured, numbers count 8 bytes, anything nested its JSON."""
+    fixed, measured = 16, []
+    for f in df.schema:
+        kind, column = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            measured.append(F.octet_length(column))
+        elif kind in ("array", "map", "struct"):
+            measured.append(F.octet_length(F.to_json(F.struct(column))))
+        else:
+            fixed += 8
+    one = reduce(lambda a, b: a + b, (F.coalesce(m, F.lit(0)).cast("bigint") for m in measured), F.lit(fixed))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(one), F.lit(0))).first()
+    return rows, size
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = LOOKUP_ROWS,
                 null_safe: bool = False) -> DataFrame:
     """Join a side table: broadcast when its counted rows allow, else sort-merge.
 
-    ``small`` should be a stored table, whose count comes from file metadata. With
-    ``null_safe`` NULL keys match each other.
+    ``small`` should be a stored table: its rows and bytes are counted first, which reads
+    its columns of text only. With ``null_safe`` NULL keys match each other.
     """
-    most = min(max_rows, LOOKUP_BYTES // row_width(small))
-    side = F.broadcast(small) if small.count() <= most else small.hint("merge")
+    rows, size = stored_size(small)
+    side = F.broadcast(small) if rows <= max_rows and size <= LOOKUP_BYTES else small.hint("merge")
     return null_safe_join(big, side, on, how) if null_safe else big.join(side, on, how)
 
 

@@ -67,11 +67,15 @@ def scene_thresholds(
 
 def clear_before_dilation(
     px: DataFrame, keys=SCENE, exclude_water: bool = False, ndvi_cloud: float = NDVI_CLOUD,
-    ndvi_shadow: float = NDVI_SHADOW, limit: int = GROUP_LIMIT,
+    ndvi_shadow: float = NDVI_SHADOW, limit: int = GROUP_LIMIT, thresholds: DataFrame | None = None,
 ) -> DataFrame:
-    """``px`` with ``clear`` (0/1) after classes, bright-cloud and dark-shadow rules."""
+    """``px`` with ``clear`` (0/1) after classes, bright-cloud and dark-shadow rules.
+
+    ``thresholds``: those of :func:`scene_thresholds` where they are known, or those of a sketch.
+    """
     keys = list(keys)
-    thresholds = scene_thresholds(px, keys, exclude_water, ndvi_cloud, limit)
+    if thresholds is None:
+        thresholds = scene_thresholds(px, keys, exclude_water, ndvi_cloud, limit)
     nir, ndvi = F.col("b8a"), F.col("ndvi")
     cloudy = _cloud(nir, ndvi, F.col("bright"), ndvi_cloud)
     shady = F.coalesce((ndvi < ndvi_shadow) & (nir < F.col("dark")), F.lit(False))

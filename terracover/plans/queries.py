@@ -291,10 +291,11 @@ def clear_mask_no_water(spark, sf_dir):
 def clear_thresholds(spark, sf_dir):
     """Bright and dark thresholds and clear looks per scene before dilation."""
     px = _px(spark, sf_dir)
-    looks = clear_before_dilation(px).groupBy("zone", "scene").agg(
+    known = scene_thresholds(px)
+    looks = clear_before_dilation(px, thresholds=known).groupBy("zone", "scene").agg(
         F.sum("clear").alias("n_clear"), F.count(F.lit(1)).alias("n_total")
     )
-    limits = scene_thresholds(px).select("zone", "scene", F.col("bright").alias("p80"), F.col("dark").alias("p20"))
+    limits = known.select("zone", "scene", F.col("bright").alias("p80"), F.col("dark").alias("p20"))
     return rounded(looks.join(limits, ["zone", "scene"], "left"))
 
 

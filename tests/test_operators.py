@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from terracover.operators import dataset, metrics, regrid, splits, weights
 from terracover.operators.composite import min_support, temporal_composite, valid_observations
-from terracover.operators.joins import lookup_join
+from terracover.operators.joins import lookup_join, stored_size
 from terracover.operators.labels import label_grid
 from terracover.operators.masks import clear_mask, scene_thresholds
 from terracover.operators.morphology import dilate, dilate_flags, erode
 from terracover.operators.polygons import grid_cells, polygon_cells, polygon_edges
 from terracover.operators.quantiles import group_quantiles
 from terracover.operators.ranking import running_totals
+from terracover.sources.staging import stage
 
 
 def rows_of(df, *columns):
@@ -68,6 +69,17 @@ def test_running_totals_sliced_equals_window(spark):
         assert rows_of(plain, *columns) == rows_of(sliced, *columns)
 
 
+def test_lookup_join_measures_texts(spark):
+    big = spark.range(50).selectExpr("id", "id % 5 AS k")
+    short = stage(spark.range(5).selectExpr("id AS k", "CAST(id AS STRING) AS name"), "short")
+    long = stage(spark.range(5).selectExpr("id AS k", "repeat('x', 20 * 1024 * 1024) AS name"), "long")
+    assert stored_size(short) == (5, 5 * 25) and stored_size(long) == (5, 5 * (24 + 20 * 1024 * 1024))
+    assert stored_size(short.selectExpr("array(name) AS a"))[1] > 5 * 16
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(lookup_join(big, short, "k"))
+    assert "SortMergeJoin" in plan(lookup_join(big, long, "k"))
+
+
 def test_lookup_join_same_rows_beyond_the_bound(spark):
     big = spark.range(100).withColumn("k", F.col("id") % 7)
     small = spark.createDataFrame([(k, k * 10) for k in range(5)], "k bigint, v bigint")
