@@ -13,17 +13,18 @@ from terracover.llm.queries import REGISTRY, URL_RULES
 
 import corpus_pipeline
 
-MEDIUM = "/root/testdata/sf0.01"
+SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
+@pytest.mark.parametrize("scale", [SMALL, MEDIUM])
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_oracles(spark, name):
-    found = REGISTRY[name](spark, MEDIUM)
-    assert differences(found, connect(MEDIUM), ORACLES[name]) == []
+def test_oracles(spark, name, scale):
+    found = REGISTRY[name](spark, scale)
+    assert differences(found, connect(scale), ORACLES[name]) == []
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in REGISTRY and len(corpus_pipeline.STAGES) == 5
 
 
@@ -99,6 +100,49 @@ def test_url_filters(spark):
     assert {r.verdict for r in one_class} == {"allow"}
 
 
+@pytest.mark.parametrize("missing", ["allow", "block", "both"])
+def test_left_out_urls_of_one_class(spark, missing):
+    """Labelled urls whose left-out fold lacks a class, or both: the cut is 0 and nothing fails."""
+    def held(url):
+        host, path, _ = judged(url)
+        return int(hashlib.md5((host + path).encode()).hexdigest()[:8], 16) % 5 == 0
+
+    urls_ = [(f"http://news{i}.com/fr/story{i}", "allow") for i in range(80)] + [(f"http://z{i}.com/de/casino{i}", "block") for i in range(80)]
+    kept = [u for u, kind in urls_ if not (held(u) and (missing == "both" or kind == missing))]
+    other = [f"http://news{i}.example.net/story{i}" for i in range(10)] + [f"http://z{i}.example.net/casino{i}" for i in range(10)]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(kept + other)], "page_id bigint, url string")
+    got = {r.url: r.verdict for r in urls.judge_urls(frame, URL_RULES).collect()}
+    assert {got[u] for u in other[:10]} == {"allow"} and {got[u] for u in other[10:]} == {"block"}
+
+
+def test_warc_records_by_a_parser_of_their_own(spark):
+    """Records read byte by byte from the format's own description, not by the library's reader."""
+    data = [(7, "http://example.org/a?b", "<title>T</title><p>Grüße</p>"), (8, "http://example.org/c", "")]
+    responses = warc.responses_of(spark.createDataFrame(data, "page_id bigint, url string, html string"))
+    held = warc.derive(responses, "id", "record_id", "uri", "date", "http", "payload").collect()
+    source = {r["id"]: r for r in responses.collect()}
+    kinds = {}
+    for r in held:
+        raw = r.record.encode() if isinstance(r.record, str) else bytes(r.record)
+        head, _, rest = raw.partition(b"\r\n\r\n")
+        first, *lines = head.decode().split("\r\n")
+        fields = {n.lower(): v for n, v in (line.split(": ", 1) for line in lines)}
+        assert first.startswith("WARC/1.") and len(fields) == len(lines)
+        size = int(fields["content-length"])
+        block = rest[:size]
+        assert len(rest) - size in (0, 4)  # the blank lines between records belong to the file
+        assert fields["warc-refers-to"] == source[r.id]["record_id"]
+        algorithm, value = fields["warc-block-digest"].split(":")
+        import base64
+
+        own = getattr(hashlib, algorithm)(block).digest()
+        assert value in (base64.b32encode(own).decode().rstrip("="), base64.b32encode(own).decode(), own.hex())
+        kinds.setdefault(r.id, set()).add(fields["warc-type"])
+        if fields["warc-type"] == "conversion" and r.id == 7:
+            assert "Grüße" in block.decode() and "<p>" not in block.decode()
+    assert kinds == {7: {"metadata", "conversion"}, 8: {"metadata", "conversion"}}
+
+
 def test_page_text():
     html = ("<html><head><title>A &amp; B</title><style>p{}</style><script>var t='</p>';</script></head><body><p>One<br>two <b>bold</b>"
             "<!-- no <p>this</p> --><a href='/x?a=1&amp;b'>link</a><div>x &lt; y</div><script>open")
