@@ -85,7 +85,9 @@ def _lines(texts: DataFrame) -> DataFrame:
     held = texts.select("key", "host", bare.alias("bare")).select("key", "host", normal.alias("lines"))
     # All normalised lines in their order stand for the document and its copies.
     whole = F.unhex(F.md5(F.array_join(F.filter("lines", lambda x: x != ""), "\n")))
-    held = held.select("key", "host", whole.alias("print"), F.posexplode("lines").alias("place", "line")).where("line <> ''")
+    # The fingerprint first: a row per line must not carry all lines of its text.
+    held = held.select("key", "host", whole.alias("print"), "lines")
+    held = held.select("key", "host", "print", F.posexplode("lines").alias("place", "line")).where("line <> ''")
     blanks = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
     return held.select("key", "host", "print", F.unhex(F.md5("line")).alias("hash"), (blanks + 1).alias("words"), "place")
 
