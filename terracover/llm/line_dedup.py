@@ -68,7 +68,8 @@ def frequent_lines(hashed: DataFrame, min_docs: int) -> DataFrame:
     each = hashed.select("doc", F.explode(F.array_distinct("lines")).alias("hash")).where("hash IS NOT NULL")
     # Documents have at least one row each, so few hashes are left for the exact count.
     likely = stage(each.groupBy("hash").agg(F.count("*").alias("rows")).where(F.col("rows") >= min_docs).select("hash"), "likely-lines")
-    held = large_join(each, likely, "hash").select("hash", "doc").distinct()
+    # Dealt anew by document, or the hot hashes of the join could not be split.
+    held = large_join(each, likely, "hash").select("hash", "doc").repartition("hash", "doc").distinct()
     return held.groupBy("hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
 
 
