@@ -17,8 +17,9 @@ with the corpus, so their size stays.
 
 Defined results: a null or empty text is the end token alone. Rows are scored one by one,
 repeated rows alike; null ids count as training. Without training documents the uniform
-share is all there is. N-grams are told apart by 61-bit hashes. An empty table gives an
-empty table.
+share is all there is. N-grams are told apart by 61-bit hashes. A very long text is scored
+whole, in a batch of its own. Only the two named columns are read, clashing names have no
+effect. An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ Defined results: a null text has size 0. The null source is a source of its own,
 order. Rows with equal values share a key and are interchangeable. Empty sources get the
 target 0. The document at which the budget ends is taken if that brings the source nearer
 to its target. Reruns give the same mix. An empty table gives an empty table. Result
-columns replace input columns of the same name.
+columns replace input columns of the same name. Very long texts are counted whole.
 """
 
 from __future__ import annotations

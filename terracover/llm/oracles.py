@@ -85,7 +85,7 @@ drawn AS (
            -ln((CAST('0x' || substr(md5('1-' || key), 1, 13) AS BIGINT) + 0.5e0) / 4503599627370496e0) / quality, key
            ROWS UNBOUNDED PRECEDING) AS upto
   FROM s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, round(CAST(target AS DOUBLE), 6) AS target,
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
        CAST((epochs + CASE WHEN upto <= rest OR (rest > upto - size AND upto - rest < rest - (upto - size)) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM drawn
 """

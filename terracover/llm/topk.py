@@ -22,7 +22,9 @@ Defined results: vectors that are null, or hold null or non-finite components, a
 without an id take no part. Shorter vectors count as padded with zeros. Repeated rows count
 once; rows with the same id and different vectors are separate candidates, and a query
 never finds a row of its own id. Ties go to the smaller id. Scores are exact as long as
-they fit 63 bits. Empty tables give an empty result.
+they fit 63 bits. Vectors of any length are held whole; blocks hold a fixed number of rows.
+Only the two named columns and the query condition are read, clashing names have no effect.
+Empty tables give an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,12 @@ that page alone. HTML is read by a single scan over its tags, linear in its leng
 
 Defined results: a null payload is empty, a null target uri leaves its headers out,
 null headers are no headers. Control characters in header values are percent-encoded.
-Repeated rows give repeated records with equal ids. An empty table gives an empty table.
+Repeated rows give repeated records with equal ids. Very long payloads are read whole, one at
+a time. Only the named columns are read; clashing names have no effect. An empty table gives
+an empty table.
+
+``responses_of`` makes response records from a table of urls and html, which has no HTTP
+headers or dates: the status line, the content type and the date of its records are its own.
 """
 
 from __future__ import annotations
