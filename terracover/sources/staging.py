@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
+
+
+def _application(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", "local")
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -24,14 +29,28 @@ def staging_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    app = spark.conf.get("spark.app.id", "local")
+    app = _application(spark)
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="terracover-")
     return _local_roots[app]
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(_application(spark), []).append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this application staged so far; results that still read it must be written first.
+
+    Returns the number of tables that were there.
+    """
+    context, gone = spark.sparkContext, 0
+    for path in _made.pop(_application(spark), []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        gone += place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return gone
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -119,3 +119,17 @@ def test_stored_query_equals_oracle_at_a_larger_scale(spark):
         found = entry.queries()[name](spark, medium)
         assert not found.isEmpty()
         assert differences(found, connect(medium), oracle_sql()[name]) == []
+
+
+def test_staged_tables_can_be_dropped(spark, sf_dir):
+    import os
+
+    from terracover.sources.staging import drop_staged
+
+    drop_staged(spark)
+    first = stage(spark.range(5), "first")
+    stage(spark.range(7), "second")
+    files = [f.removeprefix("file://") for f in first.inputFiles()]
+    assert first.count() == 5 and all(map(os.path.exists, files))
+    assert drop_staged(spark) == 2 and not any(map(os.path.exists, files))
+    assert drop_staged(spark) == 0
