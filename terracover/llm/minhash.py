@@ -6,13 +6,17 @@ with all classes that share a band with it. The band's width follows from the th
 the widest that misses a pair at the threshold with probability below ``miss``.
 
 Comparisons never become rows. Classes get a *home*, the least class they meet over their
-bands, and homes are cut into chunks of bounded total set size by hash. Pairs of chunks
-that share a band meet in one task, which intersects the full sets with matrix products
-and returns at most one edge per class: a spanning forest of the links it found. A large
-group of near copies so becomes many bounded tasks, and no link is lost by a cap.
+bands, and homes are cut into chunks of bounded total set size by hash. In a first round each
+chunk meets by itself, with its home among its members, in one task, which intersects the full
+sets with matrix products and returns at most one edge per class: a spanning forest of the
+links it found. Classes so connected are settled among themselves: in a second round only
+chunks meet that share a band and belong to different groups. A large group of near copies so
+costs about one bounded meeting per chunk instead of one per pair of chunks, what is left is
+compared exhaustively, and no link is lost by a cap.
 
 Shape of the job: one pass makes signatures; band rows hold a hash and a class; full sets
-are made a second time only for classes that share a band and move once per chunk pair.
+are made again, for the first round, for classes that share a band, and for the second for
+those whose bands are not settled; they move once per meeting.
 
 Defined results: null and blank texts have no shingles and are linked with nothing. A text
 of fewer words than the shingle width is one shingle. Rows with equal values are one
@@ -131,8 +135,8 @@ def _links(percent: int):
     return run
 
 
-def _meetings(classes: DataFrame) -> DataFrame:
-    """(cls, rep, meetings): for classes that share a band, the chunk pairs in which they meet others."""
+def _shared_bands(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(band, cls) of the bands that several classes share, and (cls, home, n): the least class each can reach over them."""
     rows = classes.select("cls", "n", F.explode("bands").alias("band"))
     # Counted sides are staged: joins on a hot band or home then have plain inputs, which the
     # adaptive rules broadcast if small and split otherwise.
@@ -144,28 +148,52 @@ def _meetings(classes: DataFrame) -> DataFrame:
         met = held.drop("home").join(own, "cls")
         best = stage(met.groupBy("band").agg(F.min("own").alias("home")), "near-best")
         held = stage(met.drop("own").join(best, "band"), f"near-homes-{turn}")
-    own = held.groupBy("cls").agg(F.min("home").alias("home"), F.first("n").alias("n"))
-    own = stage(own, "near-own")
-    parts = stage(own.groupBy("home").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / MEMBERS)).alias("parts")), "near-parts")
-    chunk = F.unhex(F.md5(F.concat("home", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("string").cast("binary"))))
-    chunks = stage(own.join(parts, "home").select("cls", chunk.alias("chunk")), "near-chunks")
-    there = held.select("band", "cls").join(chunks, "cls").select("band", "chunk").distinct()
-    other = there.select(F.col("band").alias("at"), F.col("chunk").alias("mate"))
-    pairs = there.join(other, (F.col("band") == F.col("at")) & (F.col("chunk") <= F.col("mate")))
-    pairs = pairs.select("chunk", "mate").distinct()
-    # A chunk that meets others is compared with itself there, too.
-    busy = pairs.where("chunk <> mate")
-    alone = pairs.where("chunk = mate").join(
-        busy.select("chunk").union(busy.select("mate")).distinct(), "chunk", "left_anti"
-    )
-    pairs = stage(
-        alone.unionByName(busy).select(F.unhex(F.md5(F.concat("chunk", "mate"))).alias("meeting"), "chunk", "mate"), "near-meetings"
-    )
-    sides = pairs.select("meeting", "chunk", F.lit(0).alias("side")).union(
-        pairs.where("chunk <> mate").select("meeting", "mate", F.lit(1))
-    )
-    by_chunk = sides.groupBy("chunk").agg(F.collect_list(F.struct("meeting", "side")).alias("meetings"))
-    return chunks.join(by_chunk, "chunk").join(classes.select("cls", "rep"), "cls").select("cls", "rep", "meetings")
+    own = stage(held.groupBy("cls").agg(F.min("home").alias("home"), F.first("n").alias("n")), "near-own")
+    return held.select("band", "cls"), own
+
+
+def _chunks(own: DataFrame, group: str) -> DataFrame:
+    """(cls, group, chunk): each group cut by hash into chunks of bounded size."""
+    parts = stage(own.groupBy(group).agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / MEMBERS)).alias("parts")), "near-parts")
+    chunk = F.unhex(F.md5(F.concat(group, F.pmod(F.xxhash64("cls"), F.col("parts")).cast("string").cast("binary"))))
+    return stage(own.join(parts, group).select("cls", group, chunk.alias("chunk")), "near-chunks")
+
+
+def _asked(sides: DataFrame, chunks: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, rep, meetings) from (meeting, chunk, side)."""
+    by_chunk = stage(sides.groupBy("chunk").agg(F.collect_list(F.struct("meeting", "side")).alias("meetings")), "near-sides")
+    return chunks.select("cls", "chunk").join(by_chunk, "chunk").join(classes.select("cls", "rep"), "cls").select("cls", "rep", "meetings")
+
+
+def _at_home(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """Meetings of the first round: every chunk of a home by itself, with the home among its members."""
+    chunks = _chunks(own, "home")
+    members = chunks.select("cls", "chunk").union(chunks.select(F.col("home").alias("cls"), "chunk")).distinct()
+    asked = members.groupBy("cls").agg(F.collect_list(F.struct(F.col("chunk").alias("meeting"), F.lit(0).alias("side"))).alias("meetings"))
+    return asked.join(classes.select("cls", "rep"), "cls").select("cls", "rep", "meetings")
+
+
+def _across(bands: DataFrame, own: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Meetings of the second round: chunks of classes that share a band and are not connected yet.
+
+    Connected classes need no comparison, whatever their similarity, so a band whose members
+    are all connected is settled, and of the others only members of different groups meet.
+    """
+    known = stage(own.select("cls", "n").join(labels, F.col("cls") == F.col("node"), "left").select(
+        "cls", "n", F.coalesce("label", "cls").alias("label")
+    ), "near-labels")
+    labelled = bands.join(known.select("cls", "label"), "cls")
+    open_ = stage(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"), "near-open")
+    left = stage(large_join(labelled, open_, "band").select("band", "cls"), "near-left")
+    chunks = _chunks(known.join(left.select("cls").distinct(), "cls"), "label")
+    there = left.join(chunks, "cls").select("band", "label", "chunk").distinct()
+    other = there.select(F.col("band").alias("at"), F.col("label").alias("other"), F.col("chunk").alias("mate"))
+    pairs = there.join(other, (F.col("band") == F.col("at")) & (F.col("chunk") < F.col("mate")) & (F.col("label") != F.col("other")))
+    pairs = stage(pairs.select("chunk", "mate").distinct().select(
+        F.unhex(F.md5(F.concat("chunk", "mate"))).alias("meeting"), "chunk", "mate"
+    ), "near-meetings")
+    sides = pairs.select("meeting", "chunk", F.lit(0).alias("side")).union(pairs.select("meeting", "mate", F.lit(1)))
+    return _asked(sides, chunks, classes)
 
 
 def near_duplicates(
@@ -190,15 +218,22 @@ def near_duplicates(
     classes = stage(least.join(shapes, "cls").select(
         "cls", "n", "bands", F.col("rank.key").alias("rep"), F.struct("rank.no_id", "rank.id").alias("rank")
     ), "near-classes")
-    meetings = _meetings(classes.select("cls", "n", "bands", "rep"))
-    needed = source.select("key", "text").join(
-        meetings.hint("shuffle_hash"), F.col("key") == F.col("rep")
-    ).select("text", "cls", "meetings")
-    links = (
-        needed.mapInArrow(_sets_for(width), "meeting binary, cls binary, side int, shingles binary")
-        .groupBy("meeting").applyInArrow(_links(percent), "a binary, b binary")
-    )
-    labels = connected_components(stage(links, "near-links"), "near-components")
+    named_classes = classes.select("cls", "rep")
+
+    def linked(meetings: DataFrame, name: str) -> DataFrame:
+        needed = source.select("key", "text").join(
+            meetings.hint("shuffle_hash"), F.col("key") == F.col("rep")
+        ).select("text", "cls", "meetings")
+        return stage(
+            needed.mapInArrow(_sets_for(width), "meeting binary, cls binary, side int, shingles binary")
+            .groupBy("meeting").applyInArrow(_links(percent), "a binary, b binary"), name,
+        )
+
+    bands, own = _shared_bands(classes.select("cls", "n", "bands"))
+    first = linked(_at_home(own, named_classes), "near-links-1")
+    some = connected_components(first, "near-groups")
+    second = linked(_across(bands, own, some, named_classes), "near-links-2")
+    labels = connected_components(first.unionByName(second), "near-components")
     labelled = classes.join(labels, F.col("cls") == F.col("node"), "left").select(
         "cls", "rank", F.coalesce("label", "cls").alias("label")
     )

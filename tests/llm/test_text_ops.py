@@ -231,6 +231,62 @@ def test_many_near_copies_meet_in_chunks(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
 
 
+def test_drifting_copies_in_small_chunks_equal_brute_force(spark, monkeypatch):
+    """Chains whose ends are not alike, in chunks of a few members: links across chunks decide the groups."""
+    import random
+
+    monkeypatch.setattr(minhash, "MEMBERS", 3)
+    rng = random.Random(12)
+    data = []
+    for chain in range(8):
+        current = [f"c{chain}w{j}" for j in range(60)]
+        for step in range(14):
+            data.append((len(data), " ".join(current)))
+            for _ in range(rng.choice([1, 1, 2])):
+                current[rng.randrange(60)] = f"n{rng.random()}"
+    data += [(1000 + i, f"lonely {i} " + " ".join(f"l{i}x{j}" for j in range(30))) for i in range(10)]
+    rng.shuffle(data)
+    sets = {i: {tuple(t.split()[k:k + 3]) for k in range(len(t.split()) - 2)} for i, t in data}
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                up[b] = a
+    found = minhash.near_duplicates(spark.createDataFrame(data, "doc_id bigint, text string").repartition(5), width=3, percent=75)
+    got = {r.doc_id: r.component_id for r in found.collect()}
+    assert got == {i: find(i) for i in sets}
+    assert 10 < len(set(got.values())) < len(data)
+
+
+def test_meetings_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "MEMBERS", 8)
+    seen, plain = {}, minhash.stage
+
+    def watched(df, name):
+        out = plain(df, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stage", watched)
+    rows_of_sets = {}
+    for n in (80, 320):
+        seen.clear()
+        base = [f"w{j}" for j in range(400)]
+        data = [(i, " ".join(base[:i] + [f"new{i}"] + base[i + 1:])) for i in range(n)]
+        frame = spark.createDataFrame(data, "doc_id bigint, text string")
+        assert {r.component_id for r in minhash.near_duplicates(frame).collect()} == {0}
+        assert seen["near-meetings"] == 0  # the first round connects them all
+        rows_of_sets[n] = seen["near-chunks"]
+    assert rows_of_sets[320] <= 1.1 * 4 * rows_of_sets[80]
+
+
 def test_substrings(docs, empty):
     seen, want = {}, []
     for i, t in TEXTS:
