@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from terracover.operators import models
 from terracover.operators.composite import temporal_composite, valid_observations
 from terracover.operators.dataset import feature_columns, join_labels
+from terracover.operators.joins import lookup_join
 from terracover.operators.labels import label_grid
 from terracover.operators.masks import clear_mask, masked_by_cell, masked_observations
 from terracover.operators.metrics import evaluation
+from terracover.operators.polygons import clip_to_layer
 from terracover.operators.report import evaluation_report
 from terracover.operators.splits import hash_split
 from terracover.operators.weights import add_class_weight
-from terracover.sources import sinks
+from terracover.plans.zones import ZoneRun
+from terracover.sources import sinks, store
 from terracover.sources.staging import stage
 
 
@@ -30,6 +33,36 @@ def build_training(px: DataFrame, edges: DataFrame, extent: DataFrame, erosion_p
     return join_labels(composite, label_grid(edges, extent, erosion_px))
 
 
+def clip_stored(spark: SparkSession, path: str, edges: DataFrame, extent: DataFrame, layer: str = "perimeter") -> DataFrame:
+    """Pixels of sorted files (see ``sources.store``) inside a layer; row groups outside its bounds are skipped."""
+    wanted = stage(edges.where(F.col("layer") == layer), "layer")
+    near = store.within(spark.read.parquet(path), store.layer_bounds(wanted, extent))
+    return clip_to_layer(near, wanted, extent, layer)
+
+
+def zone_steps(run: ZoneRun, px: DataFrame, edges: DataFrame, extent: DataFrame, erosion_px: int = 1, use_masks: bool = False) -> dict:
+    """Steps of a committed run over zones: composite, labels without ignored cells, and their union.
+
+    Each takes its pending zones and works on these alone; the union reads what the two
+    before it have committed.
+    """
+    of = lambda df, zones: lookup_join(df, zones, "zone", "left_semi")
+
+    def features(zones: DataFrame) -> DataFrame:
+        looks = of(px, zones)
+        looks = masked_observations(looks, clear_mask(looks)) if use_masks else looks
+        return temporal_composite(valid_observations(looks), at_most=px)
+
+    def labels(zones: DataFrame) -> DataFrame:
+        grid = stage(of(extent, zones), "zone_extent")
+        return label_grid(of(edges, zones), grid, erosion_px).where("label <> -1")
+
+    def union(zones: DataFrame) -> DataFrame:
+        return join_labels(run.output("03_features", zones), run.output("04_labels", zones))
+
+    return {"03_features": features, "04_labels": labels, "05_union": union}
+
+
 def stored_training(obs: DataFrame, labels: DataFrame) -> DataFrame:
     """Training rows from buckets of observations and labels (see ``sources.store``): no exchange."""
     return join_labels(temporal_composite(obs, together=True), labels)

@@ -406,9 +406,7 @@ def clip_pruned(spark, sf_dir):
     path = staging_path(spark, "sorted")
     store.write_sorted(_px(spark, sf_dir).select(*CELL, "ts", *FEATURES), path)
     edges, extent = _chosen_parcels(spark, sf_dir)
-    edges = stage(edges, "parcels")
-    near = store.within(spark.read.parquet(path), store.layer_bounds(edges, extent))
-    return rounded(clip_to_layer(near, edges, extent, "forest"))
+    return rounded(jobs.clip_stored(spark, path, edges, extent, "forest"))
 
 
 @query
@@ -468,14 +466,9 @@ def scene_blocks_read(spark, sf_dir):
 @query
 def zone_run_committed(spark, sf_dir):
     """A run of all expected zones, stopped after its first step and taken up again."""
-    run = zones.ZoneRun(spark, staging_path(spark, "run"))
-    of = lambda df, z: df.join(z, "zone", "left_semi")
-    labels = stage(_labels(spark, sf_dir).where("label <> -1"), "labels")
-    steps = {
-        "03_features": lambda z: of(_obs(spark, sf_dir).select(*CELL).distinct(), z),
-        "04_labels": lambda z: of(labels, z),
-        "05_union": lambda z: run.output("03_features", z).join(run.output("04_labels", z), list(CELL)),
-    }
+    run, extent = zones.ZoneRun(spark, staging_path(spark, "run")), _extent(spark, sf_dir)
+    px = _px(spark, sf_dir).select(*CELL, "b02", "ndvi")
+    steps = jobs.zone_steps(run, px, stage(_edges(spark, sf_dir, extent), "edges"), extent)
     expected = land.run_log(spark, sf_dir).select("zone")
     run.run(expected, {"03_features": steps["03_features"]})
     return run.run(expected, steps).drop("message")

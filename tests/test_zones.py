@@ -129,3 +129,21 @@ def test_two_pixels_in_a_cell_are_an_error(spark):
     with pytest.raises(Exception, match="more than one pixel"):
         tiles.pixels_to_blocks(px, ["zone"], ["b1"], 4).collect()
     assert tiles.pixels_to_blocks(px.where("false"), ["zone"], ["b1"], 4).count() == 0
+
+
+@pytest.mark.parametrize("use_masks", [False, True])
+def test_committed_training_equals_the_joint_job(spark, sf_dir, tmp_path, use_masks):
+    from terracover.operators.polygons import polygon_edges
+    from terracover.plans import jobs
+    from terracover.sources import landscape as land
+    from terracover.sources.staging import stage
+
+    px = stage(land.reflectances(spark, sf_dir).select("zone", "r", "c", "scene", "scl", "b02", "b8a", "ndvi"), "px")
+    extent = stage(land.zone_extent(spark, sf_dir), "extent")
+    edges = stage(polygon_edges(land.vertices(spark, sf_dir, extent)), "edges")
+    run = ZoneRun(spark, f"{tmp_path}/run")
+    outcome = run.run(extent.select("zone"), jobs.zone_steps(run, px, edges, extent, use_masks=use_masks))
+    assert {r["status"] for r in outcome.collect()} == {"success"}
+    want = jobs.build_training(px, edges, extent, use_masks=use_masks)
+    got = run.output("05_union").select(want.columns)
+    assert want.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
