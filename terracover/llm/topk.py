@@ -14,9 +14,11 @@ then blocks, then node pairs inside a block, where both trees are descended toge
 leaves are visited from the highest bound down.
 
 Shape of the job: vectors move once to their block and trees are staged as one row per
-block; query blocks meet the blocks of the cells they could not drop, by a join on the
-cell. Tasks hold one pair of blocks at a time. At most ``k`` rows per query and pair come
-back. Cells and pivots are bounded by parameters and travel with the tasks.
+block. Pairs of blocks are dropped by centres and radii alone; blocks of the pairs that are
+left meet in groups of about 16 by 16, so a block moves once per group of the other side.
+A task holds one pair of groups, some tens of megabytes in 64 dimensions. At most ``k`` rows
+per query and meeting come back. Cells and pivots are bounded by parameters and travel with
+the tasks.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows
 without an id take no part. Shorter vectors count as padded with zeros. Repeated rows count
@@ -40,6 +42,7 @@ from terracover.sources.staging import stage
 
 SAMPLE, CELLS = 4096, 256
 DATA_BLOCK, QUERY_BLOCK, LEAF = 2048, 512, 32
+GROUP = 16  # blocks of a side that meet in one task, about
 NONE = np.iinfo(np.int64).min
 
 
@@ -285,23 +288,56 @@ def _targets(cells: tuple, first: bool):
     return run
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Centre and covering radius of each block's root."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = _open(row)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row["cell"]], pa.int32()), pa.array([row["part"]], pa.int64()),
+                pa.array([block["centres"][0].tobytes()], pa.binary()), pa.array([float(block["nodes"][0, 1])]),
+            ], names=["cell", "part", "centre", "radius"])
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a query block and a data block that may hold a better row; blocks themselves are not looked at."""
+    names = ["cell", "part", "target", "there", "floor"]
+    for batch in batches:
+        vectors = [np.stack([np.frombuffer(x, np.float64) for x in batch.column(c).to_pylist()]) for c in ("q_centre", "d_centre")] if batch.num_rows else []
+        if not vectors:
+            continue
+        top = _bound(vectors[1], batch.column("d_radius").to_numpy(), vectors[0], batch.column("q_radius").to_numpy())
+        worst = np.array([NONE if f is None else np.frombuffer(f, np.int64).min() for f in batch.column("floor").to_pylist()], np.float64)
+        yield batch.select(names).filter(pa.array(top >= worst))
+
+
 def _meet(k: int):
+    """All query blocks of a group against all data blocks of another."""
     names = ["cell", "part", "place", "query_id", "vec_id", "score"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                queries, data = _open(row["q"]), _open(row["d"])
-                floor = np.frombuffer(row["floor"], np.int64) if row["floor"] else None
-                best = Best(len(queries["ids"]), k, floor)
-                search(queries, data, best)
-                place, column = np.nonzero(best.score != NONE)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([row["q"]["cell"]] * len(place), pa.int32()), pa.array([row["q"]["part"]] * len(place), pa.int64()),
-                    pa.array(place.astype(np.int32)), pa.array(queries["ids"][place]),
-                    pa.array(best.id[place, column]), pa.array(best.score[place, column]),
-                ], names=names)
+    def run(rows: pa.Table) -> pa.Table:
+        held = rows.to_pylist()
+        there = [_open(r) for r in held if r["side"] == 1]
+        out = []
+        for row in held:
+            if row["side"]:
+                continue
+            queries = _open(row)
+            best = Best(len(queries["ids"]), k, np.frombuffer(row["floor"], np.int64) if row["floor"] else None)
+            # From the root with the highest bound down, so that the k-th scores rise early.
+            root = queries["nodes"][0]
+            top = [float(_bound(d["centres"][0], d["nodes"][0, 1], queries["centres"][0], root[1])) for d in there]
+            for i in sorted(range(len(there)), key=lambda i: -top[i]):
+                if top[i] >= best.worst().min():
+                    search(queries, there[i], best)
+            place, column = np.nonzero(best.score != NONE)
+            out.append([
+                np.full(len(place), row["cell"]), np.full(len(place), row["part"]), place, queries["ids"][place],
+                best.id[place, column], best.score[place, column],
+            ])
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 6
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
     return run
 
@@ -341,12 +377,30 @@ def top_k(
     queries = _blocks(rows.where("asks").select("id", "v").mapInArrow(_assign(centres), kind), QUERY_BLOCK, width, "topk-queries")
     cells = _cells(data, centres)
 
+    fields = [c.split()[0] for c in _BLOCK.split(", ")]
+    head = "cell int, part bigint, centre binary, radius double"
+    q_heads = stage(queries.mapInArrow(_heads, head), "topk-heads").withColumnsRenamed({"centre": "q_centre", "radius": "q_radius"})
+    d_heads = stage(data.mapInArrow(_heads, head), "topk-heads").withColumnsRenamed(
+        {"cell": "target", "part": "there", "centre": "d_centre", "radius": "d_radius"}
+    )
+    # Blocks meet in groups: a block is sent once per group of the other side, not once per block.
+    groups = [max(1, -(-blocks.count() // GROUP)) for blocks in (queries, data)]
+
     def met(pairs: DataFrame, name: str) -> DataFrame:
-        fields = [c.split()[0] for c in _BLOCK.split(", ")]
-        q = queries.select("cell", "part", F.struct(*fields).alias("q"))
-        d = data.select(F.col("cell").alias("target"), F.struct(*fields).alias("d"))
-        joined = pairs.join(q, ["cell", "part"]).join(d, "target").select("q", "d", "floor")
-        return stage(joined.mapInArrow(_meet(k), "cell int, part bigint, place int, query_id bigint, vec_id bigint, score bigint"), name)
+        close = pairs.join(q_heads, ["cell", "part"]).join(d_heads, "target").mapInArrow(
+            _near, "cell int, part bigint, target int, there bigint, floor binary"
+        )
+        close = stage(close.withColumns({
+            "asking": F.pmod(F.xxhash64("cell", "part"), F.lit(groups[0])), "asked": F.pmod(F.xxhash64("target", "there"), F.lit(groups[1])),
+        }), f"{name}-pairs")
+        place = ["asking", "asked"]
+        q_sent = close.groupBy("cell", "part", *place).agg(F.first("floor").alias("floor"))
+        d_sent = close.select(F.col("target").alias("cell"), F.col("there").alias("part"), *place).distinct()
+        sent = q_sent.join(queries, ["cell", "part"]).select(*place, F.lit(0).alias("side"), "floor", *fields).unionByName(
+            d_sent.join(data, ["cell", "part"]).select(*place, F.lit(1).alias("side"), F.lit(None).cast("binary").alias("floor"), *fields)
+        )
+        found = sent.groupBy(*place).applyInArrow(_meet(k), "cell int, part bigint, place int, query_id bigint, vec_id bigint, score bigint")
+        return stage(found, name)
 
     pair = "cell int, part bigint, target int, floor binary"
     first = met(queries.mapInArrow(_targets(cells, True), pair), "topk-first")

@@ -31,6 +31,7 @@ def test_every_operator_is_registered():
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "DATA_BLOCK", 40)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(topk, "GROUP", 2)
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(4, 8))
     data = [(i, [float(x) for x in centre[i % 4] + 0.1 * rng.normal(size=8)]) for i in range(300)]
