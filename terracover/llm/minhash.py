@@ -42,6 +42,7 @@ from terracover.operators.joins import large_join
 from terracover.sources.staging import stage
 
 CHUNK, MEMBERS = 1 << 18, 512  # shingles (about 2 MB) and classes of a chunk
+LARGE = 64  # classes from which a connected group has chunks of its own
 BATCH = 4 << 20  # bytes of text handled at a time
 
 
@@ -177,22 +178,36 @@ def _across(bands: DataFrame, own: DataFrame, labels: DataFrame, classes: DataFr
     """Meetings of the second round: chunks of classes that share a band and are not connected yet.
 
     Connected classes need no comparison, whatever their similarity, so a band whose members
-    are all connected is settled, and of the others only members of different groups meet.
+    are all connected is settled. Of the others, members of a large group are cut into chunks
+    of their own, which do not meet each other; the rest is cut by home and meets all.
     """
-    known = stage(own.select("cls", "n").join(labels, F.col("cls") == F.col("node"), "left").select(
-        "cls", "n", F.coalesce("label", "cls").alias("label")
+    known = stage(own.join(labels, F.col("cls") == F.col("node"), "left").select(
+        "cls", "n", "home", F.coalesce("label", "cls").alias("label")
     ), "near-labels")
     labelled = bands.join(known.select("cls", "label"), "cls")
-    open_ = stage(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"), "near-open")
-    left = stage(large_join(labelled, open_, "band").select("band", "cls"), "near-left")
-    chunks = _chunks(known.join(left.select("cls").distinct(), "cls"), "label")
-    there = left.join(chunks, "cls").select("band", "label", "chunk").distinct()
-    other = there.select(F.col("band").alias("at"), F.col("label").alias("other"), F.col("chunk").alias("mate"))
-    pairs = there.join(other, (F.col("band") == F.col("at")) & (F.col("chunk") < F.col("mate")) & (F.col("label") != F.col("other")))
-    pairs = stage(pairs.select("chunk", "mate").distinct().select(
-        F.unhex(F.md5(F.concat("chunk", "mate"))).alias("meeting"), "chunk", "mate"
-    ), "near-meetings")
-    sides = pairs.select("meeting", "chunk", F.lit(0).alias("side")).union(pairs.select("meeting", "mate", F.lit(1)))
+    unsettled = stage(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"), "near-open")
+    left = stage(large_join(labelled, unsettled, "band").select("band", "cls"), "near-left")
+    members = known.join(left.select("cls").distinct(), "cls")
+    large = stage(members.groupBy("label").agg(F.count("*").alias("many")).where(F.col("many") >= LARGE).select(F.col("label").alias("own_label")), "near-large")
+    tagged = lambda mark, column: F.unhex(F.md5(F.concat(F.lit(mark).cast("binary"), column)))
+    grouped = members.join(large, F.col("label") == F.col("own_label"), "left").withColumn(
+        "group", F.when(F.col("own_label").isNotNull(), tagged("label", F.col("own_label"))).otherwise(tagged("home", F.col("home")))
+    )
+    grouped = stage(grouped.select("cls", "n", "own_label", "group"), "near-grouped")
+    chunks = _chunks(grouped.select("cls", "n", "group"), "group")
+    there = left.join(chunks.join(grouped.select("cls", "own_label"), "cls"), "cls").select("band", "chunk", "own_label").distinct()
+    other = there.select(F.col("band").alias("at"), F.col("chunk").alias("mate"), F.col("own_label").alias("theirs"))
+    apart = ~F.coalesce(F.col("own_label") == F.col("theirs"), F.lit(False))
+    pairs = there.join(other, (F.col("band") == F.col("at")) & (F.col("chunk") <= F.col("mate")) & apart).select("chunk", "mate").distinct()
+    # A chunk that meets others is compared with itself there, too.
+    busy = pairs.where("chunk <> mate")
+    alone = pairs.where("chunk = mate").join(busy.select("chunk").union(busy.select("mate")).distinct(), "chunk", "left_anti")
+    pairs = stage(
+        alone.unionByName(busy).select(F.unhex(F.md5(F.concat("chunk", "mate"))).alias("meeting"), "chunk", "mate"), "near-meetings"
+    )
+    sides = pairs.select("meeting", "chunk", F.lit(0).alias("side")).union(
+        pairs.where("chunk <> mate").select("meeting", "mate", F.lit(1))
+    )
     return _asked(sides, chunks, classes)
 
 

@@ -236,6 +236,7 @@ def test_drifting_copies_in_small_chunks_equal_brute_force(spark, monkeypatch):
     import random
 
     monkeypatch.setattr(minhash, "MEMBERS", 3)
+    monkeypatch.setattr(minhash, "LARGE", 5)
     rng = random.Random(12)
     data = []
     for chain in range(8):
