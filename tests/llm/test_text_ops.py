@@ -474,3 +474,50 @@ def test_packing_says_whether_the_bound_is_met(spark):
     pieces = spark.createDataFrame([(i, n) for i, n in enumerate([6, 6, 4, 4, 7, 3])], "id int, length bigint")
     row = packing.packing_quality(packing.pack(pieces, 10), 10).first()
     assert (row["sequences"], row["bound"], row["tokens"], row["certified"]) == (3, 3, 30, True)
+
+
+def test_steps_of_the_model_hold_little_beside_their_grams(monkeypatch):
+    """Peak bytes per n-gram of a batch and of a hash range; the estimates of a batch are made part by part."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    from terracover.llm.sketch import WordHashes
+
+    rng, cache = random.Random(3), WordHashes()
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(1000)).encode() for _ in range(200)]
+    sizes, raw = np.array([len(t) for t in texts], np.int64).tobytes(), zstandard.compress(b"".join(texts))
+    lm.Grams(sizes, raw, 3, cache)
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return work(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    grams, most = peak(lambda: lm.Grams(sizes, raw, 3, cache))
+    tokens = 200 * 1001
+    assert most < 55 * 3 * tokens
+    assert (np.diff(grams.distinct.astype(object)) > 0).all() and grams.place.shape == (3, tokens)
+    marks = grams.distinct[grams.place] & np.uint64(7)
+    assert (marks == np.array([[1], [2], [3]], np.uint64)).all()
+    asked = lm._zip_sorted(grams.distinct, 3)
+    counts = np.bincount(grams.place.ravel(), minlength=len(grams.distinct))
+    rows = pa.table({
+        "range": pa.array([0] * 6, pa.int32()), "batch": pa.array(range(6), pa.int64()), "apart": [False, True] * 3,
+        "grams": pa.array([asked] * 6, pa.list_(pa.binary())), "counts": pa.array([lm._zip_planes(counts)] * 6, pa.binary()),
+    })
+    found, most = peak(lambda: lm._answer(rows).to_pylist())
+    assert most < 50 * 6 * len(grams.distinct)
+    assert [(r["batch"], r["kept"] is None) for r in found] == [*((i, i % 2 == 0) for i in range(6)), (None, True)]
+    assert all((lm._unzip_planes(r["every"], np.int64) == 6 * counts).all() for r in found[:6])
+    assert all((lm._unzip_planes(r["kept"], np.int64) == 3 * counts).all() for r in found[1:6:2])
+    assert (found[6]["tokens"], found[6]["kept_tokens"]) == (6 * tokens, 3 * tokens)
+    monkeypatch.setattr(lm, "PART", 1000)
+    whole = grams.estimates(counts, tokens, 200, slice(None))
+    parts = [grams.estimates(counts, tokens, 200, part) for part in grams.parts()]
+    assert len(parts) == -(-len(grams.one) // 1000) and all((np.concatenate(p, -1) == w).all() for p, w in zip(zip(*parts), whole))
