@@ -40,6 +40,10 @@ BATCH = 4 << 20  # bytes of text in a batch
 RANGE = 3 << 20  # n-grams asked for in a hash range, about
 PART = 1 << 17  # tokens of a batch estimated at once
 POWERS = 48
+RANDOM = 5  # low bytes of a difference between sorted hashes that no code shortens
+SHORT = 24  # bytes of a word that is hashed with all others at once
+BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
@@ -93,25 +97,46 @@ def _batches(deleted: int):
 
 
 def _zip_planes(values: np.ndarray) -> bytes:
-    """Byte by byte: the high bytes of small numbers are all but empty."""
-    return zstandard.compress(np.ascontiguousarray(values, values.dtype).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    """Byte by byte, as many as the largest number has: the high bytes of small numbers are all but empty."""
+    values = values.view(np.uint64)
+    many = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = np.empty((many, len(values)), np.uint8)
+    for i in range(many):
+        planes[i] = values >> np.uint64(8 * i) & np.uint64(255)
+    return bytes([many]) + zstandard.compress(planes, 1)
 
 
 def _unzip_planes(data: bytes, kind) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    values = planes[0].astype(np.uint64)
+    for i in range(1, len(planes)):
+        values |= planes[i].astype(np.uint64) << np.uint64(8 * i)
+    return values.view(kind)
 
 
 def _zip_sorted(values: np.ndarray, order: int) -> list[bytes]:
-    """Ascending hashes, order by order without its mark, as differences."""
+    """Ascending hashes, order by order without its mark, as differences.
+
+    Their low bytes are random and go as they are; the high ones are compressed apart, byte by byte,
+    so that the code for them is not spoilt by the low ones.
+    """
     marks = values & np.uint64(7)
-    parts = [values[marks == np.uint64(m)] >> np.uint64(3) for m in range(1, order + 1)]
-    return [_zip_planes(np.diff(x, prepend=np.uint64(0))) for x in parts]
+    parts = [np.diff(values[marks == np.uint64(m)] >> np.uint64(3), prepend=np.uint64(0)) for m in range(1, order + 1)]
+    low = [x.view(np.uint8).reshape(-1, 8)[:, :RANDOM].tobytes() for x in parts]
+    return [*low, _zip_planes(np.concatenate(parts) >> np.uint64(8 * RANDOM))]
 
 
 def _unzip_sorted(parts: list[bytes]) -> np.ndarray:
-    found = [np.cumsum(_unzip_planes(x, np.uint64), dtype=np.uint64) << np.uint64(3) | np.uint64(m) for m, x in enumerate(parts, 1)]
-    return np.sort(np.concatenate(found), kind="stable")
+    *low, high = parts
+    ends = np.cumsum([len(x) // RANDOM for x in low])
+    found = np.zeros((ends[-1], 8), np.uint8)
+    found[:, :RANDOM] = np.frombuffer(b"".join(low), np.uint8).reshape(-1, RANDOM)
+    found = found.view(np.uint64).ravel()
+    found |= _unzip_planes(high, np.uint64) << np.uint64(8 * RANDOM)
+    for m, (i, j) in enumerate(zip([0, *ends[:-1]], ends), 1):
+        found[i:j] = np.cumsum(found[i:j], dtype=np.uint64) << np.uint64(3) | np.uint64(m)
+    found.sort(kind="stable")
+    return found
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -137,26 +162,56 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _word_hashes(raw: bytes, sizes: np.ndarray, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts that follow each other in ``raw``, and their number by text.
+
+    Short words are mixed eight bytes at a time, all words at once; longer ones go through the cache.
+    """
+    ends = np.cumsum(sizes)
+    starts = (ends - sizes)[sizes > 0]
+    inside = ~BLANK[np.frombuffer(raw, np.uint8)]
+    edge = inside.copy()
+    edge[1:] &= ~inside[:-1]
+    edge[starts] = inside[starts]
+    begins = np.flatnonzero(edge)
+    np.copyto(edge, inside)
+    edge[:-1] &= ~inside[1:]
+    edge[starts[1:] - 1] = inside[starts[1:] - 1]
+    lengths = np.flatnonzero(edge) + 1 - begins
+    del inside, edge
+    # Any eight bytes of the texts, as one number.
+    eights = np.ndarray(len(raw) + 1, "<u8", raw + bytes(8), strides=1)
+    found = lengths.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        found *= _GOLD
+        for at in range(0, SHORT, 8):
+            live = np.flatnonzero(lengths > at)
+            chunk = eights[begins[live] + at] & LOW_BYTES[np.minimum(lengths[live] - at, 8)]
+            found[live] = mix64(found[live] ^ chunk)
+    long = np.flatnonzero(lengths > SHORT)
+    found[long] = cache.of([raw[i:i + n] for i, n in zip(begins[long].tolist(), lengths[long].tolist())])
+    return found, np.diff(np.searchsorted(begins, ends), prepend=0)
+
+
 class Grams:
     """N-grams of a batch: sorted distinct ones, and for every token where its own are."""
 
     def __init__(self, sizes: bytes, texts: bytes, order: int, cache: WordHashes):
-        raw, at, parts, lengths = zstandard.decompress(texts), 0, [], []
-        for size in np.frombuffer(sizes, np.int64).tolist():
-            words = raw[at:at + size].split()
-            at += size
-            parts += [np.full(order, START), cache.of(words), np.array([END], np.uint64)]
-            lengths.append(len(words) + 1)
-        items = np.concatenate(parts)
+        words, lengths = _word_hashes(zstandard.decompress(texts), np.frombuffer(sizes, np.int64), cache)
+        lengths += 1
         # ``order`` start marks before each document: the context of its first token is all marks.
-        token = np.ones(len(items), bool)
-        begins = np.cumsum([0, *[n + order for n in lengths[:-1]]])
+        token = np.ones(len(words) + len(lengths) * (order + 1), bool)
+        begins = np.cumsum(lengths + order) - lengths - order
         for k in range(order):
             token[begins + k] = False
+        items, ends = np.full(len(token), START), begins + order + lengths - 1
+        items[ends], token[ends] = END, False
+        items[token] = words
+        token[ends] = True
         self.document = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         self.first = np.zeros(len(self.document), bool)
-        self.first[np.cumsum([0, *lengths[:-1]])] = True
-        del raw, parts
+        self.first[np.cumsum(lengths) - lengths] = True
+        del words
         # One order at a time: the mark in the low bits tells the orders apart, and so where each order's values are among all.
         found, level = [], np.zeros(len(items), np.uint64)
         self.order, self.place = order, np.empty((order, len(self.document)), np.int32)
@@ -173,12 +228,12 @@ class Grams:
             self.place[m - 1] = np.flatnonzero((self.distinct & np.uint64(7)) == m).astype(np.int32)[self.place[m - 1]]
         # The longest n-gram of a token settles its estimates: one token stands for all of the same.
         longest = self.place[-1]
-        one = np.full(len(self.distinct), -1, np.int32)
-        one[longest[::-1]] = np.arange(len(longest), dtype=np.int32)[::-1]
-        used = np.flatnonzero(one >= 0)
-        number = np.empty(len(self.distinct), np.int32)
-        number[used] = np.arange(len(used), dtype=np.int32)
-        self.one, self.like = one[used], number[longest]
+        # These tokens are kept in their order in the texts, so that what is looked up for neighbours lies together.
+        number, tokens = np.empty(len(self.distinct), np.int32), np.arange(len(longest), dtype=np.int32)
+        number[longest[::-1]] = tokens[::-1]
+        self.one = tokens[number[longest] == tokens]
+        number[longest[self.one]] = tokens[:len(self.one)]
+        self.like = number[longest]
 
     def ranges(self, many: int) -> list[tuple[int, int]]:
         """Slices of ``distinct`` by equal hash ranges."""

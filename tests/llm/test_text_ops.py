@@ -521,3 +521,44 @@ def test_steps_of_the_model_hold_little_beside_their_grams(monkeypatch):
     whole = grams.estimates(counts, tokens, 200, slice(None))
     parts = [grams.estimates(counts, tokens, 200, part) for part in grams.parts()]
     assert len(parts) == -(-len(grams.one) // 1000) and all((np.concatenate(p, -1) == w).all() for p, w in zip(zip(*parts), whole))
+
+
+def test_hashes_travel_in_little_more_than_their_information():
+    """Sorted 61-bit hashes of a range and an order need log2(step) + log2(e) bits each; messages may take 3 % more."""
+    import numpy as np
+
+    rng, many, order = np.random.default_rng(5), 16, 3
+    hashes = rng.integers(0, 1 << 61, 300_000, dtype=np.uint64) << np.uint64(3)
+    marks = rng.choice([1, 2, 3], len(hashes), p=[0.1, 0.4, 0.5]).astype(np.uint64)
+    values = np.unique(hashes | marks)
+    least = sum(n * (61 - math.log2(n) + math.log2(math.e)) / 8 for n in np.bincount((values & np.uint64(7)).astype(int))[1:])
+    edges = np.searchsorted(values, np.array([r << 60 for r in range(1, many)], np.uint64))
+    sent = 0
+    for part in np.split(values, edges):
+        asked = lm._zip_sorted(part, order)
+        assert (lm._unzip_sorted(asked) == part).all()
+        sent += sum(map(len, asked))
+    assert least < sent < 1.03 * least
+    for part in (values[:0], values[:1], values[marks.argmax():][:2], np.array([1, 3, (1 << 64) - 7, (1 << 64) - 5], np.uint64)):
+        assert lm._unzip_sorted(lm._zip_sorted(part, order)).tolist() == part.tolist()
+
+
+def test_short_words_are_hashed_at_once_and_told_apart():
+    """Same hash for same word, wherever its text begins or ends; only long words go through the cache."""
+    import numpy as np
+
+    from terracover.llm.sketch import WordHashes
+
+    lengths = [1, 2, 7, 8, 9, 15, 16, 17, 23, 24, 25, 26, 60]
+    near = [x * n for n in lengths for x in ("a", "b", "\0")] + ["a" * n + "\0" for n in lengths] + ["ab", "ba", "é", "\x85", "\xa0x", "\x1fy", "語" * 8, "語" * 9]
+    texts = [
+        "", " ", "a", "a", "", "b a", "\t\n\v\f\r a\n\nb \r\n", *near, "\n".join(near), " " + "\x0b".join(near[::-1]) + "\t", "", "a" * 8 + " " + "a" * 16, "  ",
+    ]
+    for some in (texts, texts[::-1], [""], ["", ""], [" "], ["a" * 30], ["x", "", "", "y"]):
+        raw, cache = [t.encode() for t in some], WordHashes()
+        split = [t.split() for t in raw]
+        found, counts = lm._word_hashes(b"".join(raw), np.array([len(t) for t in raw], np.int64), cache)
+        assert counts.tolist() == [len(w) for w in split]
+        plain = [w for each in split for w in each]
+        assert len(found) == len(plain) and len(set(zip(plain, found.tolist()))) == len(set(plain)) == len(set(found.tolist()))
+        assert set(cache) == {w for w in plain if len(w) > 24}
