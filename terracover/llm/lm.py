@@ -444,7 +444,7 @@ def lm_scores(
         .mapInArrow(_ask(order, many), "range int, batch bigint, apart boolean, grams array<binary>, counts binary")
         .groupBy("range").applyInArrow(
             _answer, "range int, batch bigint, every binary, kept binary, vocabulary bigint, tokens bigint, kept_tokens bigint"
-        ), "lm-answers",
+        ), "lm-answers", free=True,
     )
     vocabulary, total, kept_total = [x or 0 for x in answers.agg(F.sum("vocabulary"), F.sum("tokens"), F.sum("kept_tokens")).first()]
 
@@ -455,7 +455,7 @@ def lm_scores(
     apart = met(held.where("apart").select("batch", "sizes", "texts"), "kept")
     grams = stage(apart.mapInArrow(
         _held_out(order, kept_total, kept_documents), "buckets binary, estimates binary, times binary"
-    ), "lm-held-out")
+    ), "lm-held-out", free=True)
     weights = learn_weights(grams, order, 1 / (vocabulary + 1), rounds, tolerance)
     scored = met(held.select("batch", "keys", "ids", "folds", "sizes", "texts"), "every").mapInArrow(
         _score(order, weights, vocabulary, total, documents),

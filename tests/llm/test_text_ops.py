@@ -562,3 +562,25 @@ def test_short_words_are_hashed_at_once_and_told_apart():
         plain = [w for each in split for w in each]
         assert len(found) == len(plain) and len(set(zip(plain, found.tolist()))) == len(set(plain)) == len(set(found.tolist()))
         assert set(cache) == {w for w in plain if len(w) > 24}
+
+
+def test_questions_of_the_model_do_not_stay_on_disk(spark):
+    """Shuffle files of staged steps are gone when the scores are asked for, whenever the driver collects garbage."""
+    import os
+    import random
+
+    import terracover.sources.staging as staging
+
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffled():
+        return {p: os.path.getsize(p) for f in folders for at, _, names in os.walk(f) for n in names if n.startswith("shuffle_") for p in [os.path.join(at, n)]}
+
+    rng, held = random.Random(8), spark.conf.get(staging.FREE_KEY, None)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(500))) for i in range(400)]
+    docs, before = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), shuffled()
+    scores = lm.lm_scores(docs, order=3, rounds=1)
+    left = sum(n for p, n in shuffled().items() if p not in before)
+    assert left < 500_000  # 600,000 n-grams of five bytes and more were asked for
+    assert spark.conf.get(staging.FREE_KEY, None) == held
+    assert scores.count() == len(rows)
