@@ -96,3 +96,39 @@ def test_tuning_takes_the_given_folds(spark):
     folded = grouped_folds(df.withColumn("class_weight", F.lit(1.0)), "label", block=3, folds=3)
     _, params, best = tune(folded, ["a"], "RandomForest", {"numTrees": [3], "maxDepth": [2]}, method="folds", folds=3, fold_col="fold", parallelism=1)
     assert params == {"numTrees": 3, "maxDepth": 2} and best > 0.9
+
+
+def test_rows_meet_near_cells_only(spark, monkeypatch):
+    """In three features rows ask a few of 64 cells; a cut along one of them alone reached 10 and more."""
+    from terracover.operators import neighbours
+
+    rng = random.Random(9)
+    rows = [(f"k{i}", 0, rng.random(), rng.random(), rng.random()) for i in range(4096)]
+    df = spark.createDataFrame(rows, "id string, kind int, a double, b double, c double")
+    asked, reached = [], neighbours._reached
+
+    def counted(boxes):
+        inner = reached(boxes)
+        asked.append(spark.sparkContext.accumulator(0))
+
+        def run(batches, seen=asked[-1]):
+            for batch in inner(batches):
+                seen.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(neighbours, "_reached", counted)
+    got = {r["key"]: [x["key"] for x in r["near"]] for r in nearest_neighbours(df, "id", "kind", ["a", "b", "c"], 3, 64).collect()}
+    for i, _, *f in rows[:40]:
+        others = sorted((sum((x - y) ** 2 for x, y in zip(f, g)), j) for j, _, *g in rows if j != i)
+        assert got[i] == [j for _, j in others[:3]]
+    assert 0 < asked[0].value < 6 * len(rows)
+
+
+def test_copies_of_a_row_fill_many_cells(spark):
+    rows = [(f"k{i:03d}", 0, 1.0, 2.0) for i in range(300)] + [("z", 0, float("inf"), 0.0), ("y", 0, 1.0, 2.5)]
+    df = spark.createDataFrame(rows, "id string, kind int, a double, b double")
+    near = {r["key"]: [x["key"] for x in r["near"]] for r in nearest_neighbours(df, "id", "kind", ["a", "b"], 2, 8).collect()}
+    assert near["k000"] == ["k001", "k002"] and near["k299"] == ["k000", "k001"] and near["y"] == ["k000", "k001"]
+    assert near["z"] == ["k000", "k001"]
