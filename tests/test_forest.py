@@ -130,3 +130,12 @@ def test_a_search_fits_each_point_once(spark, rows, monkeypatch):
     assert len(fits) == 2 and result["winner"] == "GBT" and result["metrics"] == result["families"]["GBT"]["test"]
     with pytest.raises(ValueError):
         models.tune(rows.withColumn("f", F.lit(0)), FEATURES, "GBT", {"maxIter": [2]}, method="folds", folds=2, fold_col="f")
+
+
+def test_searches_and_curves_grow_forests_side_by_side(spark, rows, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 500)
+    table = rows.withColumnRenamed("c0", "c_").where("a IS NOT NULL AND NOT isnan(a)")
+    _, params, score = models.tune(table, FEATURES, "RandomForest", {"numTrees": [3], "maxDepth": [3, 4]}, method="folds", folds=2, keys=("zone", "r"))
+    assert params["maxDepth"] in (3, 4) and score > 0.8
+    curve = models.learning_curve(table, table, FEATURES, ("zone", "r"), numTrees=3, maxDepth=3).collect()
+    assert [r["fraction"] for r in curve] == [0.25, 0.5, 1.0] and all(r["accuracy"] > 0.8 for r in curve)
